@@ -142,3 +142,17 @@ def score_table(scores: DataFrame, keys: Sequence[str], metrics: Sequence[str])
     """Scores as text with four decimals, or N/A."""
     return scores.select(*keys, *[score_text(F.col(m)).alias(m) for m in metrics])
 
+
+
+def merge_updates(updates: DataFrame, order: Sequence[str], history: str) -> DataFrame:
+    """Counters after a series of partial updates: the last value given of each, and the history length.
+
+    A null in an update leaves the counter as it was. An update counts towards the history
+    when it names the time of its run (column ``history``).
+    """
+    moment = F.struct(*order)
+    columns = [c for c in updates.columns if c not in order]
+    return updates.agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), moment)).alias(c) for c in columns],
+        F.count(history).alias("history_rows"),
+    )

@@ -156,8 +156,8 @@ def process_source(spark: SparkSession, family: str, source: Mapping[str, Any],
             row["accuracy"], row["timeliness"], row["schema_valid"], run.run_at, None,
         )
     except Exception as failure:
-        log.warning("source %s failed: %s", name, failure)
         reason = str(failure).split("\n", 1)[0]
+        log.warning("source %s failed: %s", name, reason)
         return (run.run_id, seq, name, family, "failed", None, 0, None, None, None, None, run.run_at, reason)
 
 

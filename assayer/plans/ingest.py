@@ -173,11 +173,18 @@ def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.csv_payload_rows(spark, landed, schema, escape='"', multiLine="true")
 
 
-@register("xml_payload", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+@register("xml_payload", f"SELECT source, page, id, v, kind FROM {EVENT_PAGES}")
 def xml_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.to_xml(F.struct(F.col("items").alias("row")), {"rowTag": "rows"})
+    pages = views.event_pages(spark, sf_dir).select("source", "page", text.alias("payload"))
+    return payloads.xml_text_rows(pages, ITEM)
+
+
+@register("xml_files", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = fresh_path(spark, "xml-payload")
-    row = F.to_xml(F.struct("c_custkey", "c_name", "c_acctbal"), {"rowTag": "row"})
-    views.table(spark, sf_dir, "customer").select(row.alias("value")).write.text(landed)
+    customers = views.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    customers.write.format("xml").options(rootTag="rows", rowTag="row").save(landed)
     return payloads.xml_payload_rows(spark, landed, "row", "c_custkey bigint, c_name string, c_acctbal double")
 
 
@@ -279,9 +286,7 @@ def parse_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def infer_event_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
     sample = events.select("value").where(F.col("value").isNotNull()).first()["value"]
-    ddl = payloads.infer_json_schema(spark, sample)
-    fields = ddl.removeprefix("STRUCT<").removesuffix(">")
-    return payloads.parse_value(events, fields).select("event_id", "k")
+    return payloads.parse_value(events, payloads.infer_json_schema(spark, sample)).select("event_id", "k")
 
 
 @register(

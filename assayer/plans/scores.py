@@ -209,7 +209,7 @@ def group_quality_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALES_SOURCE = {"name": "sales_transactions", "validation_rules": QUANTITY_RULE}
 
 
-def _quality_sql(columns: str) -> str:
+def quality_sql(columns: str) -> str:
     return f"""WITH sales AS (SELECT * FROM {SALES_SRC}),
 m AS (SELECT {SALES_COMPLETENESS} AS c, {SALES_ACCURACY} AS a, 0.5e0 AS t, (min(quantity) >= 1 AND max(quantity) <= 10000) AS valid,
       count(*) FILTER (WHERE regexp_matches(payment_method, '^(CREDIT|DEBIT|CASH|CHECK|TRANSFER)$')) / (count(*) * 1.0e0) AS r FROM sales),
@@ -220,7 +220,7 @@ SELECT {columns} FROM sales, g"""
 
 @register(
     "quality_columns",
-    _quality_sql(
+    quality_sql(
         """transaction_id, g.tier AS data_classification, round(g.c, 6) AS metric_completeness, round(g.a, 6) AS metric_accuracy,
  g.t AS metric_timeliness, g.valid AS schema_valid, CAST(CASE WHEN g.valid THEN 0 ELSE 1 END AS INT) AS schema_error_count,
  CAST(CASE WHEN g.r < 0.9 THEN 1 ELSE 0 END AS INT) AS schema_warning_count,

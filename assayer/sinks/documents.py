@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -41,16 +43,17 @@ def to_kafka_rows(
     key: Column | None = None,
     headers: dict[str, Column] | None = None,
     moment: Column | None = None,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of a message topic: JSON value with a ``_timestamp`` in epoch milliseconds, key, headers."""
-    fields = [F.col(c) for c in df.columns]
-    if "_timestamp" not in df.columns:
+    content = [F.col(c) for c in fields or df.columns]
+    if "_timestamp" not in (fields or df.columns):
         stamp = F.current_timestamp() if moment is None else moment
-        fields.append(F.unix_millis(stamp.cast("timestamp")).alias("_timestamp"))
+        content.append(F.unix_millis(stamp.cast("timestamp")).alias("_timestamp"))
     rows = [
         F.lit(topic).alias("topic"),
         (F.lit(None) if key is None else key).cast("string").alias("key"),
-        F.to_json(F.struct(*fields)).alias("value"),
+        F.to_json(F.struct(*content)).alias("value"),
     ]
     if headers:
         pairs = [F.struct(F.lit(k).alias("key"), F.encode(v.cast("string"), "UTF-8").alias("value")) for k, v in headers.items()]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayer.functions.payload import is_truthy, lookup, lookup_array
 
@@ -73,14 +74,20 @@ def infer_json_schema(spark: SparkSession, sample: str) -> str:
 
 
 def csv_payload_rows(spark: SparkSession, path: str, schema: str | None = None, **options: str) -> DataFrame:
-    """Rows of landed CSV payloads, each file with its own header; types are inferred unless declared."""
+    """Rows of landed CSV payloads, each file with its own header; types are inferred unless declared.
+
+    Values with line breaks inside quotes need the option ``multiLine``.
+    """
     reader = spark.read.option("header", "true").options(**options)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
     return reader.csv(path)
 
 
 def csv_text_rows(payloads: DataFrame, schema: str, payload: str = "payload") -> DataFrame:
-    """Rows of CSV payloads held in a column; the first line is the header."""
+    """Rows of CSV payloads held in a column; the first line is the header.
+
+    Every line is a record: payloads with line breaks inside quotes are to be landed as files.
+    """
     others = [c for c in payloads.columns if c != payload]
     lines = F.filter(F.split(F.col(payload), "\r?\n"), lambda line: line != "")
     body = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
@@ -99,11 +106,19 @@ def xml_payload_rows(spark: SparkSession, path: str, row_tag: str = "row", schem
     return reader.load(path)
 
 
+def xml_text_rows(payloads: DataFrame, element: str, row_tag: str = "row", payload: str = "payload") -> DataFrame:
+    """Rows of XML payloads held in a column, by row element below the root."""
+    others = [c for c in payloads.columns if c != payload]
+    read = F.from_xml(F.col(payload), f"`{row_tag}` array<{element}>")
+    return payloads.select(*others, F.explode(read[row_tag]).alias("item")).select(*others, "item.*")
+
+
 def parse_value(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """JSON values as columns of a declared schema; a value that is no JSON object goes to ``_corrupt``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     others = [c for c in df.columns if c != value]
-    parsed = F.from_json(F.col(value).cast("string"), f"{schema}, _corrupt string", options)
+    wanted = T.StructType([*T.DataType.fromDDL(schema), T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(value).cast("string"), wanted, options)
     return df.select(*others, F.col(value).alias("_raw"), parsed.alias("v")).select(*others, "_raw", "v.*")
 
 
