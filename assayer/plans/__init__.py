@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-QUERY_MODULES = ("scores", "schemas", "ingest", "monitoring", "storage")
+QUERY_MODULES = ("scores", "schemas", "ingest", "monitoring", "storage", "streams")
 
 
 def load_queries():

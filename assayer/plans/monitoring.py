@@ -365,7 +365,7 @@ def document_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "kafka_rows",
     """SELECT 'events' AS topic, CAST(user_id AS VARCHAR) AS key, CAST(to_json({'event_id': event_id, 'event_type': event_type, 'value': value,
- '_timestamp': epoch_ms(ts)}) AS VARCHAR) AS value, 'feed-' || event_type AS origin FROM events""",
+ '_timestamp': epoch_us(ts) // 1000}) AS VARCHAR) AS value, 'feed-' || event_type AS origin FROM events""",
 )
 def kafka_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id", "ts")
