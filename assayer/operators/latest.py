@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayer.session import cut_lineage
+
 ROWS_PER_SLICE = 1_000_000
-MOST_SLICES = 1024
-SAMPLES_PER_SLICE = 64
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,37 +38,26 @@ def running_total(
 ) -> DataFrame:
     """Cumulative sum over the whole dataset in a total order.
 
-    A window without partitions would pull all rows into one task. Instead the order is cut
-    into slices of about ``rows_per_slice`` rows at sampled boundaries, each slice is summed
-    up on its own, and the totals of the slices before it are added. The sample only places
-    the cuts; every row is in exactly one slice. ``order`` must identify a row, so that rows
-    of one moment can be split as well.
+    A window without partitions would pull all rows into one task. Beyond ``rows_per_slice``
+    rows the data is cut into consecutive ranges of the order, each range is summed up on its
+    own, and what the ranges before it add up to is put on top. ``order`` must identify a row,
+    so that rows of one moment can be told apart and spread as well.
     """
-    row_count = df.count()
-    slices = min(MOST_SLICES, -(-row_count // rows_per_slice))
-    cuts = _slice_cuts(df, order, slices, row_count) if slices > 1 else []
-    key = F.struct(*order)
-    if cuts:
-        kind = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-        bounds = F.array(*[F.struct(*[F.lit(v) for v in cut]).cast(kind) for cut in cuts])
-        sliced = df.withColumn("__slice", F.size(F.filter(bounds, lambda cut: cut <= key)))
-    else:
-        sliced = df.withColumn("__slice", F.lit(0))
-    sums = {r["__slice"]: r["s"] or 0 for r in sliced.groupBy("__slice").agg(F.sum(value).alias("s")).collect()}
-    before, so_far = [], 0
-    for i in range(len(cuts) + 1):
-        before.append(so_far)
-        so_far += sums.get(i, 0)
-    kind = df.agg(F.sum(value).alias("s")).schema["s"].dataType
-    offset = F.element_at(F.array(*[F.lit(b).cast(kind) for b in before]), F.col("__slice") + 1)
+    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = -(-df.count() // rows_per_slice)
+    if slices <= 1:
+        return df.withColumn(result, F.coalesce(F.sum(value).over(running), F.lit(0)))
+    # Written out, so that range and rows stay as they are however often they are read.
+    ranged = cut_lineage(df.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id()))
+    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranged.groupBy("__slice")
+        .agg(F.sum(value).alias("s"))
+        .select("__slice", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("__before"))
+    )
     within = Window.partitionBy("__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sliced.withColumn(result, F.coalesce(F.sum(value).over(within), F.lit(0)) + offset).drop("__slice")
-
-
-def _slice_cuts(df: DataFrame, order: Sequence[str], slices: int, row_count: int) -> list[tuple]:
-    share = min(1.0, SAMPLES_PER_SLICE * slices / row_count)
-    sample = sorted(tuple(r) for r in df.select(*order).sample(share, seed=17).collect())
-    if not sample:
-        return []
-    picked = [sample[len(sample) * i // slices] for i in range(1, slices)]
-    return sorted(set(picked))
+    return (
+        ranged.join(F.broadcast(before), "__slice")  # one row per range: a millionth of the data
+        .withColumn(result, F.coalesce(F.sum(value).over(within), F.lit(0)) + F.col("__before"))
+        .drop("__slice", "__before")
+    )

@@ -8,10 +8,11 @@ joins on (schema, field), whose sides hold one row per key and so cannot be skew
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators.latest import latest_per_key
@@ -57,10 +58,19 @@ def get_version(spark: SparkSession, table_path: str, name: str, version: str |
     return definition_from_json(found[0]["definition"], name, found[0]["version"])
 
 
-def evolve(spark: SparkSession, table_path: str, name: str, changes: dict, new_version: str | int) -> SchemaDefinition:
-    """Apply changes to the latest version and register the result."""
+def evolve(
+    spark: SparkSession,
+    table_path: str,
+    name: str,
+    changes: dict,
+    new_version: str | int,
+    events_path: str | None = None,
+) -> SchemaDefinition:
+    """Apply changes to the latest version, register the result, and note a ``schema_evolved`` event."""
     evolved = evolve_definition(get_version(spark, table_path, name), changes, new_version)
     register_version(spark, table_path, evolved)
+    if events_path:
+        append_event(spark, events_path, "schema_evolved", name, evolved.version, json.dumps(changes, default=str))
     return evolved
 
 
@@ -224,38 +234,31 @@ def version_status(in_use: DataFrame, latest: DataFrame, current: str = "current
     return in_use.join(latest, "schema_name").select("schema_name", current, "latest", state.alias("version_state"))
 
 
-def schema_event(
-    event_type: str, schema_name: Column, version: Column, changes: Column, request_id: Column, moment: Column
-) -> list[Column]:
-    """The columns of a row of the schema event table."""
-    return [
-        F.uuid().alias("event_id"),
-        F.lit(event_type).alias("event_type"),
-        schema_name.alias("schema_name"),
-        version.cast("int").alias("version"),
-        request_id.alias("request_id"),
-        changes.alias("changes"),
-        moment.alias("timestamp"),
-    ]
-
-
-def request_evolution(
-    change_rows: DataFrame, schema_name: str, request_id: str, events_path: str, moment: Column | None = None
+def append_event(
+    spark: SparkSession,
+    events_path: str,
+    event_type: str,
+    schema_name: str,
+    version: int | None = None,
+    changes: str | None = None,
+    request_id: str | None = None,
+    moment: datetime | None = None,
 ) -> None:
-    """Append one ``evolution_requested`` event that carries the inferred changes of a schema."""
-    changes = F.to_json(F.array_sort(F.collect_list(F.struct("field", "change", "old_type", "new_type", "nullable"))))
-    (
-        change_rows.where(F.col("schema_name") == schema_name)
-        .agg(changes.alias("changes"))
-        .select(
-            *schema_event(
-                "evolution_requested", F.lit(schema_name), F.lit(None), F.col("changes"), F.lit(request_id),
-                F.current_timestamp() if moment is None else moment,
-            )
-        )
-        .write.mode("append")
-        .parquet(events_path)
+    """Append one row to the schema event table."""
+    stamp = moment or datetime.now(timezone.utc)
+    row = (str(uuid.uuid4()), event_type, schema_name, version, request_id, changes, stamp)
+    spark.createDataFrame([row], EVENT_SCHEMA).write.mode("append").parquet(events_path)
+
+
+def request_evolution(change_rows: DataFrame, schema_name: str, events_path: str) -> str:
+    """Append an ``evolution_requested`` event with the inferred changes of a schema; gives the request's id."""
+    request_id = str(uuid.uuid4())
+    rows = change_rows.where(F.col("schema_name") == schema_name).orderBy("field").toJSON().collect()
+    append_event(
+        change_rows.sparkSession, events_path, "evolution_requested", schema_name,
+        changes="[" + ",".join(rows) + "]", request_id=request_id,
     )
+    return request_id
 
 
 def frame_field_rows(df: DataFrame, schema_name: str) -> DataFrame:
@@ -263,7 +266,3 @@ def frame_field_rows(df: DataFrame, schema_name: str) -> DataFrame:
     rows = [(schema_name, f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
     return df.sparkSession.createDataFrame(rows, "schema_name string, name string, type string, nullable boolean")
 
-
-def event_json(definition: SchemaDefinition) -> dict:
-    """A definition as plain data, for events that carry old and new versions."""
-    return json.loads(definition_to_json(definition))

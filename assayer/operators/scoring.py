@@ -36,6 +36,7 @@ class QualitySpec:
     """How one dataset is scored and graded.
 
     ``rules`` maps a column to any of ``min`` with ``max``, ``pattern`` and ``allowed_values``.
+    ``streaming`` may be a condition on the group columns where several sources share a frame.
     ``metrics`` holds further named aggregate columns that ride in the same scan; they are
     not additive counts and so are left out when partial counts are merged.
     """
@@ -44,7 +45,7 @@ class QualitySpec:
     rules: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
     date_column: str | None = None
     max_age_days: float = MAX_AGE_DAYS
-    streaming: bool = False
+    streaming: bool | Column = False
     thresholds: Mapping[str, Mapping[str, float]] = field(default_factory=lambda: TIER_THRESHOLDS)
     metrics: Mapping[str, Column] = field(default_factory=dict)
 
@@ -129,7 +130,8 @@ def score_columns(spec: QualitySpec, has_date: bool) -> dict[str, Column]:
         fresh = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - average_age / F.lit(float(spec.max_age_days))))
         timeliness = F.when(F.col("dated_count") > 0, fresh).otherwise(F.lit(NEUTRAL_TIMELINESS))
     else:
-        timeliness = F.lit(STREAM_TIMELINESS if spec.streaming else NEUTRAL_TIMELINESS)
+        streaming = spec.streaming if isinstance(spec.streaming, Column) else F.lit(spec.streaming)
+        timeliness = F.when(streaming, F.lit(STREAM_TIMELINESS)).otherwise(F.lit(NEUTRAL_TIMELINESS))
     return {
         "completeness": share_without("missing_cells"),
         "accuracy": share_without("violations" if spec.rules else "missing_cells"),

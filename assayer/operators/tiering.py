@@ -12,13 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from assayer.operators.scoring import QualitySpec, score
-from assayer.session import cut_lineage
+from assayer.session import broadcast_if_small
 
 TIERS = ("gold", "silver", "bronze", "rejected")
 
-# Beyond this many groups the metrics are joined by shuffle instead of being broadcast.
-BROADCAST_GROUPS = 100_000
-
 
 def merge_thresholds(
     defaults: Mapping[str, Mapping[str, float]], override: Mapping[str, Mapping[str, float]] | None
@@ -101,22 +98,18 @@ def add_quality_columns(
 def add_group_quality_columns(df: DataFrame, graded: DataFrame, by: Sequence[str]) -> DataFrame:
     """Tier and scores of each record's group, for datasets that arrive together in one frame.
 
-    The grades are written out once, then counted: up to ``BROADCAST_GROUPS`` rows they are
-    broadcast and the records are not shuffled at all; beyond that Spark joins by shuffle and
-    splits hot groups at run time.
+    The grades are materialised and counted; while they are few they are broadcast and the
+    records are not shuffled at all.
     """
-    grades = cut_lineage(
+    grades = broadcast_if_small(
         graded.select(
-            *by,
+            *[F.col(name).alias(f"__{name}") for name in by],
             "data_classification",
             *[F.col(name).alias(f"metric_{name}") for name in ("completeness", "accuracy", "timeliness")],
         )
     )
-    if grades.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-        grades = F.broadcast(grades)
-    renamed = grades.withColumnsRenamed({name: f"__{name}" for name in by})
-    same_group = reduce(and_, [df[name].eqNullSafe(renamed[f"__{name}"]) for name in by])
-    return df.join(renamed, same_group, "left").drop(*[f"__{name}" for name in by])
+    same_group = reduce(and_, [df[name].eqNullSafe(grades[f"__{name}"]) for name in by])
+    return df.join(grades, same_group, "left").drop(*[f"__{name}" for name in by])
 
 
 def add_ingest_columns(df: DataFrame, tier_name: str | Column, ingested_at: datetime | Column | None = None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -12,19 +13,25 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayer.functions.text import document_index
 from assayer.operators.checks import check_aggregates, issues_column, summary_columns
+from assayer.operators.documents import document_rows, stamp_metrics
 from assayer.operators.monitor import run_totals
+from assayer.operators.profile import profile_columns
+from assayer.operators.registry import append_event
 from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame
-from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
+from assayer.operators.scoring import COUNT_COLUMNS, TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
+from assayer.sinks.documents import write_documents, write_metrics
 from assayer.sinks.tiers import write_tier_files
 from assayer.sources.catalog import read_table
-from assayer.sources.config import all_sources
+from assayer.sources.config import all_sources, find_source
 from assayer.sources.cve import filter_cves, published_between, read_cve_pages
 from assayer.sources.files import declared_struct, read_files
 from assayer.sources.jdbc import read_jdbc
 from assayer.sources.kafka import read_kafka_range
 from assayer.sources.payloads import normalise_pages
+from assayer.streaming.batches import overwrite_batch
 
 log = logging.getLogger(__name__)
 
@@ -33,17 +40,27 @@ RESULT_SCHEMA = (
     "record_count bigint, completeness double, accuracy double, timeliness double, schema_valid boolean, "
     "finished_at timestamp_ntz, message string"
 )
+ISSUE_SCHEMA = (
+    "run_id string, source_name string, column_name string, issue_type string, severity string, description string"
+)
 
 
 @dataclass
 class Run:
-    """What all sources of a run share."""
+    """What all sources of a run share.
+
+    Without ``target_paths`` nothing is written. ``monitor_path`` is the folder of the monitoring
+    tables (source_runs, pipeline_runs, issues, column_profile, schema_events), ``documents_path``
+    that of the optional document store.
+    """
 
     run_id: str
     run_at: datetime
     target_paths: Mapping[str, str] = field(default_factory=dict)
     thresholds: Mapping[str, Mapping[str, float]] = field(default_factory=lambda: TIER_THRESHOLDS)
     schemas: Mapping[tuple[str, int], SchemaDefinition] = field(default_factory=dict)
+    monitor_path: str | None = None
+    documents_path: str | None = None
 
     def definition(self, name: str, version: int | str | None = None) -> SchemaDefinition | None:
         """A schema by name, in the newest version unless one is named."""
@@ -151,7 +168,7 @@ def process_source(spark: SparkSession, family: str, source: Mapping[str, Any],
         tier = row["data_classification"]
         if run.target_paths:
             write_tier_files(graded, tier, name, run.target_paths, run.run_at)
-        return (
+        result = (
             run.run_id, seq, name, family, "success", tier, row["record_count"], row["completeness"],
             row["accuracy"], row["timeliness"], row["schema_valid"], run.run_at, None,
         )
@@ -159,12 +176,59 @@ def process_source(spark: SparkSession, family: str, source: Mapping[str, Any],
         reason = str(failure).split("\n", 1)[0]
         log.warning("source %s failed: %s", name, reason)
         return (run.run_id, seq, name, family, "failed", None, 0, None, None, None, None, run.run_at, reason)
+    try:
+        report_source(spark, graded, row, name, run)
+    except Exception as failure:  # the primary write succeeded, and that is what counts
+        log.warning("source %s was written, its reports were not: %s", name, str(failure).split("\n", 1)[0])
+    return result
+
+
+def report_source(spark: SparkSession, graded: DataFrame, row: Any, name: str, run: Run) -> None:
+    """Keep what is known of a graded source: issues, a schema event, and its records as documents."""
+    if run.monitor_path:
+        issues = [(run.run_id, name, *issue) for issue in row["issues"]]
+        if issues:
+            spark.createDataFrame(issues, ISSUE_SCHEMA).write.mode("append").parquet(f"{run.monitor_path}/issues")
+        append_event(
+            spark, f"{run.monitor_path}/schema_events", "schema_validated", name,
+            changes=json.dumps({"is_valid": row["schema_valid"], "errors": row["schema_error_count"],
+                                "warnings": row["schema_warning_count"]}),
+            request_id=run.run_id,
+        )
+    if run.documents_path:
+        index = document_index(F.col("data_classification"), F.lit(name), F.lit(run.run_at.date()))
+        write_documents(document_rows(graded, index), run.documents_path)
+
+
+def profile_source(df: DataFrame, name: str, run: Run, distinct: str = "approx") -> None:
+    """Append the column profile of a source to the monitoring tables."""
+    rows = profile_columns(df, distinct=distinct)
+    rows.withColumns({"run_id": F.lit(run.run_id), "source_name": F.lit(name)}).write.mode("append").parquet(
+        f"{run.monitor_path}/column_profile"
+    )
+
+
+def process_one(spark: SparkSession, config: Mapping[str, Any], name: str, run: Run) -> DataFrame:
+    """Process one source by name."""
+    family, source = find_source(config, name)
+    return spark.createDataFrame([process_source(spark, family, source, run)], RESULT_SCHEMA)
 
 
 def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run) -> DataFrame:
-    """Process every enabled source in family order: one result row per source."""
-    results = [process_source(spark, family, s, run, i) for i, (family, s) in enumerate(all_sources(config))]
-    return spark.createDataFrame(results, RESULT_SCHEMA)
+    """Process every enabled source in family order: one result row per source.
+
+    With a monitoring folder the results and the run's totals are appended to its tables.
+    """
+    started = time.time()
+    results = spark.createDataFrame(
+        [process_source(spark, family, s, run, i) for i, (family, s) in enumerate(all_sources(config))], RESULT_SCHEMA
+    )
+    if run.monitor_path:
+        results.write.mode("append").parquet(f"{run.monitor_path}/source_runs")
+        record = run_record(results, run, "batch", started)
+        record.write.mode("append").parquet(f"{run.monitor_path}/pipeline_runs")
+        write_metrics(stamp_metrics(record, run.run_at), f"{run.monitor_path}/metrics")
+    return results
 
 
 def run_record(results: DataFrame, run: Run, mode: str, started: float) -> DataFrame:
@@ -179,3 +243,29 @@ def run_record(results: DataFrame, run: Run, mode: str, started: float) -> DataF
         F.lit(took).alias("duration_seconds"),
         "*",
     )
+
+
+def grade_and_write_batches(path: str, source: Mapping[str, Any], run: Run) -> Callable[[DataFrame, int], None]:
+    """Full treatment of a stream: each micro-batch is evolved, graded as a dataset of its own and written.
+
+    Rows go to ``<path>/rows`` with tier and scores, the counts behind them to ``<path>/counts``;
+    both by batch id, so that a repeated batch replaces itself.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read once for the scores and once for the write
+        try:
+            if batch.isEmpty():
+                return
+            graded, row = grade_source(batch, source, run, streaming=True)
+            overwrite_batch(graded, f"{path}/rows", batch_id, ("data_classification",))
+            counts = {name: row[name] for name in COUNT_COLUMNS}
+            counted = batch.sparkSession.createDataFrame(
+                [(*counts.values(), row["data_classification"])],
+                ", ".join(f"{name} bigint" for name in counts) + ", data_classification string",
+            )
+            overwrite_batch(counted, f"{path}/counts", batch_id)
+        finally:
+            batch.unpersist()
+
+    return handle

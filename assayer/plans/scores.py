@@ -117,12 +117,9 @@ def timeliness(spark: SparkSession, sf_dir: str) -> DataFrame:
  FROM (SELECT DISTINCT source_type FROM {SOURCE_RUNS}) q""",
 )
 def timeliness_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = views.source_runs(spark, sf_dir)
-    streams, others = runs.where("source_type = 'kafka'"), runs.where("source_type <> 'kafka'")
-    scored = scoring.score(streams, QualitySpec(streaming=True), AS_OF, ["source_type"]).unionByName(
-        scoring.score(others, QualitySpec(), AS_OF, ["source_type"])
-    )
-    return scored.select("source_type", "timeliness")
+    spec = QualitySpec(streaming=F.col("source_type") == "kafka")
+    scores = scoring.score(views.source_runs(spark, sf_dir), spec, AS_OF, ["source_type"])
+    return scores.select("source_type", "timeliness")
 
 
 @register(

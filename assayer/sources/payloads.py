@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayer.functions.payload import is_truthy, lookup, lookup_array
+from assayer.session import broadcast_if_small
 
 # Fixed value: pages read per source unless the source says otherwise.
 MAX_PAGES = 10
@@ -35,31 +36,28 @@ def normalise_pages(
 
     Reading stops behind the first page that names no further one, and before the first page
     whose results are no list. A missing path counts as an empty list. The stop of each source
-    is one row of an aggregate, so a source with most of the pages is read by all tasks.
+    is one row of an aggregate, so a source with most of the pages is read by all tasks, and
+    only pages that are kept have their items parsed.
     """
     read = pages.where(F.col("page") <= max_pages)
     payload = F.col("payload")
     found = lookup(payload, results_path)
-    items = F.when(found.isNull(), F.array().cast(f"array<{element}>")).otherwise(
-        lookup_array(payload, results_path, element)
-    )
+    is_list = F.coalesce(found.isNull() | F.startswith(F.trim(found), F.lit("[")), F.lit(False))
     if next_link_path:
         last = ~is_truthy(lookup(payload, next_link_path))
     elif has_more_path:
         last = ~is_truthy(lookup(payload, has_more_path))
     else:
         last = F.lit(False)
-    is_list = F.coalesce(found.isNull() | F.startswith(F.trim(found), F.lit("[")), F.lit(False))
-    stops = read.select("source", "page", is_list.alias("is_list"), last.alias("last")).groupBy("source").agg(
-        F.min(F.when(F.col("is_list") & F.col("last"), F.col("page"))).alias("last_page"),
-        F.min(F.when(~F.col("is_list"), F.col("page"))).alias("bad_page"),
+    stops = read.groupBy("source").agg(
+        F.min(F.when(is_list & last, F.col("page"))).alias("last_page"),
+        F.min(F.when(~is_list, F.col("page"))).alias("bad_page"),
     )
     return (
-        read.select("source", "page", items.alias("items"))
-        .join(stops, "source")
+        read.join(broadcast_if_small(stops), "source")
         .where(F.coalesce(F.col("page") <= F.col("last_page"), F.lit(True)))
         .where(F.coalesce(F.col("page") < F.col("bad_page"), F.lit(True)))
-        .select("source", "page", F.posexplode("items").alias("position", "item"))
+        .select("source", "page", F.posexplode(lookup_array(payload, results_path, element)).alias("position", "item"))
     )
 
 
