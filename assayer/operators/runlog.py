@@ -25,8 +25,8 @@ SOURCE_SCHEMA = (
 def parse_lines(lines: DataFrame, tail: int | None = LOG_TAIL) -> DataFrame:
     """Kind and payload of the newest ``tail`` log lines (all if None), ordered by time and sequence.
 
-    Lines without a marker or with a payload that is no JSON are left out. Payloads are parsed
-    as JSON only, never evaluated.
+    Lines without a marker or with a payload that is no JSON object (quotes may be single) are
+    left out. Payloads are parsed, never evaluated.
     """
     parsed = lines.select(
         F.try_to_timestamp(F.regexp_extract("value", LINE, 1), F.lit("yyyy-MM-dd HH:mm:ss,SSS")).alias("logged_at"),
@@ -40,9 +40,10 @@ def parse_lines(lines: DataFrame, tail: int | None = LOG_TAIL) -> DataFrame:
 
 
 def run_rows(parsed: DataFrame) -> DataFrame:
-    """One row per logged run."""
+    """One row per logged run; counters it does not name are 0."""
     runs = parsed.where(F.col("kind") == "pipeline")
-    return runs.select("logged_at", F.from_json("payload", RUN_SCHEMA).alias("r")).select("logged_at", "r.*")
+    read = runs.select("logged_at", F.from_json("payload", RUN_SCHEMA).alias("r")).select("logged_at", "r.*")
+    return read.fillna(0, [c for c in read.columns if c not in ("logged_at", "seq", "end_time")])
 
 
 def source_rows(parsed: DataFrame) -> DataFrame:
