@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,61 +60,77 @@ def check_aggregates(df: DataFrame, definition: SchemaDefinition) -> list[Column
     return aggregates
 
 
-def issues_column(df: DataFrame, definition: SchemaDefinition) -> Column:
-    """All issues as an array, over a row that holds ``record_count`` and the check aggregates."""
-    issues = [
-        _issue(column, kind, severity, f"{kind} field: {column}")
+@dataclass(frozen=True)
+class Check:
+    """A possible issue: it is one where ``condition`` holds, or always where there is no condition."""
+
+    column: str
+    kind: str
+    severity: str
+    text: Column | str
+    condition: Column | None = None
+
+    def issue(self) -> Column:
+        found = _issue(self.column, self.kind, self.severity, self.text)
+        return found if self.condition is None else F.when(self.condition, found)
+
+
+def checks_of(df: DataFrame, definition: SchemaDefinition) -> list[Check]:
+    """All checks of a definition, over a row that holds ``record_count`` and the check aggregates."""
+    found = [
+        Check(column, kind, severity, f"{kind} field: {column}")
         for column, kind, severity in field_states(df.schema, definition)
     ]
     for column, pattern in definition.patterns.items():
         if column not in df.columns:
-            issues.append(_issue(column, "pattern", "warning", "column is absent, pattern not checked"))
+            found.append(Check(column, "pattern", "warning", "column is absent, pattern not checked"))
             continue
         share = cells.ratio(F.col(f"`hits {column}`"), F.col("record_count"))
         text = F.concat(F.format_string("%.4f", share), F.lit(f" of the values match {pattern}"))
-        issues.append(F.when(share < WARN_BELOW, _issue(column, "pattern", "warning", text)))
-        issues.append(F.when(share < FAIL_BELOW, _issue(column, "pattern", "error", text)))
+        found.append(Check(column, "pattern", "warning", text, share < WARN_BELOW))
+        found.append(Check(column, "pattern", "error", text, share < FAIL_BELOW))
     for column, bounds in definition.ranges.items():
         if column not in df.columns:
-            issues.append(_issue(column, "range", "warning", "column is absent, range not checked"))
+            found.append(Check(column, "range", "warning", "column is absent, range not checked"))
             continue
         low, high = F.col(f"`low {column}`"), F.col(f"`high {column}`")
-        issues.append(F.when(low.isNull(), _issue(column, "range", "warning", "no values, range not checked")))
+        found.append(Check(column, "range", "warning", "no values, range not checked", low.isNull()))
         if "min" in bounds:
             text = F.concat(F.lit("least value "), low.cast("string"), F.lit(f" is below {bounds['min']}"))
-            issues.append(F.when(low < bounds["min"], _issue(column, "range", "error", text)))
+            found.append(Check(column, "range", "error", text, low < bounds["min"]))
         if "max" in bounds:
             text = F.concat(F.lit("greatest value "), high.cast("string"), F.lit(f" is above {bounds['max']}"))
-            issues.append(F.when(high > bounds["max"], _issue(column, "range", "error", text)))
-    if not issues:
-        return F.array().cast(ISSUE_TYPE)
-    return F.filter(F.array(*issues), lambda issue: issue.isNotNull()).cast(ISSUE_TYPE)
+            found.append(Check(column, "range", "error", text, high > bounds["max"]))
+    return found
 
 
-def summary_columns(issues: Column) -> dict[str, Column]:
-    """Validity and issue counts. All extra fields of a dataset together make one warning."""
+def result_columns(checks: list[Check]) -> dict[str, Column]:
+    """Validity, issue counts and the issues. All extra fields of a dataset together make one warning."""
 
-    def matching(condition) -> Column:
-        return F.size(F.filter(issues, condition))
+    def count(severity: str) -> Column:
+        always = sum(c.condition is None and c.severity == severity and c.kind != "extra" for c in checks)
+        if severity == "warning":
+            always += any(c.kind == "extra" for c in checks)
+        flags = [cells.as_flag(c.condition) for c in checks if c.condition is not None and c.severity == severity]
+        return F.lit(always) + cells.total(flags) if flags else F.lit(always)
 
-    warnings = matching(lambda i: (i["severity"] == "warning") & (i["issue_type"] != "extra"))
-    extra = F.when(matching(lambda i: i["issue_type"] == "extra") > 0, 1).otherwise(0)
-    errors = matching(lambda i: i["severity"] == "error")
+    if checks:
+        issues = F.filter(F.array(*[c.issue() for c in checks]), lambda issue: issue.isNotNull())
+    else:
+        issues = F.array()
     return {
-        "schema_valid": errors == 0,
-        "schema_error_count": errors,
-        "schema_warning_count": warnings + extra,
+        "schema_valid": count("error") == 0,
+        "schema_error_count": count("error"),
+        "schema_warning_count": count("warning"),
+        "issues": issues.cast(ISSUE_TYPE),
     }
 
 
 def validate(df: DataFrame, definition: SchemaDefinition, by: Sequence[str] = ()) -> DataFrame:
     """Valid flag, issue counts and the list of issues: one row per dataset or per group, one scan."""
     checked = df.groupBy(*by).agg(F.count(F.lit(1)).alias("record_count"), *check_aggregates(df, definition))
-    return (
-        checked.select(*by, "record_count", issues_column(df, definition).alias("issues"))
-        .withColumns(summary_columns(F.col("issues")))
-        .select(*by, "record_count", "schema_valid", "schema_error_count", "schema_warning_count", "issues")
-    )
+    results = result_columns(checks_of(df, definition))
+    return checked.select(*by, "record_count", *[c.alias(name) for name, c in results.items()])
 
 
 def issue_rows(validated: DataFrame, by: Sequence[str] = ()) -> DataFrame:

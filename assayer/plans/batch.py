@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.text import document_index
-from assayer.operators.checks import check_aggregates, issues_column, summary_columns
+from assayer.operators.checks import check_aggregates, checks_of, result_columns
 from assayer.operators.documents import document_rows, stamp_metrics
 from assayer.operators.monitor import run_totals
 from assayer.operators.profile import profile_columns
@@ -128,7 +128,7 @@ def assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None
         *[metric.alias(name) for name, metric in spec.metrics.items()],
     )
     scored = row.withColumns(score_columns(spec, spec.date_column in df.columns))
-    judged = scored.withColumn("issues", issues_column(df, checked)).withColumns(summary_columns(F.col("issues")))
+    judged = scored.withColumns(result_columns(checks_of(df, checked)))
     if definition is None:  # the generated schema fits by construction; say that it was generated
         judged = judged.withColumn("schema_warning_count", F.lit(1))
     return classify(judged, spec.thresholds, F.col("schema_valid"))
