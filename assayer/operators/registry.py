@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,15 @@ def read_registry(spark: SparkSession, table_path: str) -> DataFrame:
     return latest_per_key(numbered, ["schema_name", "version"], ["registered_at"])
 
 
+def has_schema(spark: SparkSession, table_path: str, name: str) -> bool:
+    """Whether any version of a schema is registered."""
+    try:
+        rows = spark.read.schema(REGISTRY_SCHEMA).parquet(table_path)
+    except AnalysisException:  # nothing was registered yet
+        return False
+    return not rows.where(F.col("schema_name") == name).isEmpty()
+
+
 def get_version(spark: SparkSession, table_path: str, name: str, version: str | int = "latest") -> SchemaDefinition:
     """One schema version; ``latest`` is the greatest number. Reads only this schema's partition."""
     versions = read_registry(spark, table_path).where(F.col("schema_name") == name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -18,9 +18,9 @@ from assayer.operators.checks import check_aggregates, checks_of, result_columns
 from assayer.operators.documents import document_rows, stamp_metrics
 from assayer.operators.monitor import run_totals
 from assayer.operators.profile import profile_columns
-from assayer.operators.registry import append_event
-from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame
-from assayer.operators.scoring import COUNT_COLUMNS, TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
+from assayer.operators.registry import append_event, get_version, has_schema, register_version
+from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame, version_number
+from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
 from assayer.sinks.documents import write_documents, write_metrics
 from assayer.sinks.tiers import write_tier_files
@@ -31,7 +31,6 @@ from assayer.sources.files import declared_struct, read_files
 from assayer.sources.jdbc import read_jdbc
 from assayer.sources.kafka import read_kafka_range
 from assayer.sources.payloads import normalise_pages
-from assayer.streaming.batches import overwrite_batch
 
 log = logging.getLogger(__name__)
 
@@ -51,7 +50,8 @@ class Run:
 
     Without ``target_paths`` nothing is written. ``monitor_path`` is the folder of the monitoring
     tables (source_runs, pipeline_runs, issues, column_profile, schema_events), ``documents_path``
-    that of the optional document store.
+    that of the optional document store. Schemas that are not given are looked up in the registry
+    table, where sources without any leave the one generated from their data.
     """
 
     run_id: str
@@ -61,17 +61,24 @@ class Run:
     schemas: Mapping[tuple[str, int], SchemaDefinition] = field(default_factory=dict)
     monitor_path: str | None = None
     documents_path: str | None = None
+    registry_path: str | None = None
 
     def definition(self, name: str, version: int | str | None = None) -> SchemaDefinition | None:
-        """A schema by name, in the newest version unless one is named."""
+        """A schema by name, in the newest version unless one is named; None if there is no such schema."""
         versions = {v: d for (n, v), d in self.schemas.items() if n == name}
         if not versions:
-            return None
-        wanted = max(versions) if version in (None, "latest") else int(str(version).lstrip("v"))
+            return self._registered(name, version)
+        wanted = max(versions) if version in (None, "latest") else version_number(version)
         if wanted not in versions:
             raise ValueError(f"no schema {name!r} in version {version!r}")
         return versions[wanted]
 
+    def _registered(self, name: str, version: int | str | None) -> SchemaDefinition | None:
+        spark = SparkSession.getActiveSession()
+        if not self.registry_path or not has_schema(spark, self.registry_path, name):
+            return None
+        return get_version(spark, self.registry_path, name, version or "latest")
+
 
 def read_source(spark: SparkSession, family: str, source: Mapping[str, Any]) -> DataFrame:
     """Read a source by family."""
@@ -152,7 +159,10 @@ def grade_source(df: DataFrame, source: Mapping[str, Any], run: Run, streaming:
     evolved = evolve_if_needed(df, source, run)
     spec = quality_spec(source, run.thresholds, streaming)
     version = source.get("target_schema_version") or source.get("schema_version", "latest")
-    row = assess(evolved, spec, run.definition(spec.name, version), run.run_at).first()
+    definition = run.definition(spec.name, version)
+    if definition is None and run.registry_path:
+        register_version(df.sparkSession, run.registry_path, definition_from_frame(evolved, spec.name))
+    row = assess(evolved, spec, definition, run.run_at).first()
     return add_quality_columns(evolved, row, spec.name, run.run_at), row
 
 
@@ -243,29 +253,3 @@ def run_record(results: DataFrame, run: Run, mode: str, started: float) -> DataF
         F.lit(took).alias("duration_seconds"),
         "*",
     )
-
-
-def grade_and_write_batches(path: str, source: Mapping[str, Any], run: Run) -> Callable[[DataFrame, int], None]:
-    """Full treatment of a stream: each micro-batch is evolved, graded as a dataset of its own and written.
-
-    Rows go to ``<path>/rows`` with tier and scores, the counts behind them to ``<path>/counts``;
-    both by batch id, so that a repeated batch replaces itself.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # read once for the scores and once for the write
-        try:
-            if batch.isEmpty():
-                return
-            graded, row = grade_source(batch, source, run, streaming=True)
-            overwrite_batch(graded, f"{path}/rows", batch_id, ("data_classification",))
-            counts = {name: row[name] for name in COUNT_COLUMNS}
-            counted = batch.sparkSession.createDataFrame(
-                [(*counts.values(), row["data_classification"])],
-                ", ".join(f"{name} bigint" for name in counts) + ", data_classification string",
-            )
-            overwrite_batch(counted, f"{path}/counts", batch_id)
-        finally:
-            batch.unpersist()
-
-    return handle

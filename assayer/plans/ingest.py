@@ -149,6 +149,13 @@ def json_array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.json_array_rows(pages, ITEM).select("source", "page", "item.*")
 
 
+@register("json_files", "SELECT id, v, kind FROM " + EVENT_PAGES)
+def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = fresh_path(spark, "json-payload")
+    views.event_pages(spark, sf_dir).select(F.to_json("items").alias("value")).write.text(landed)
+    return payloads.json_files_rows(spark, landed).select("id", "v", "kind")
+
+
 @register("csv_payload", f"SELECT source, page, id, v, kind FROM {EVENT_PAGES}")
 def csv_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.transform("items", lambda i: F.concat_ws(",", i["id"].cast("string"), i["v"].cast("string"), i["kind"]))

@@ -30,6 +30,13 @@ def kafka_options(source: Mapping[str, Any]) -> dict[str, str]:
     return options
 
 
+def kafka_sink_options(source: Mapping[str, Any], topic: str) -> dict[str, str]:
+    """Writer options of a topic on the brokers a source is read from."""
+    read = kafka_options(source)
+    shared = {k: v for k, v in read.items() if k.startswith("kafka.") and k != "kafka.group.id"}
+    return {**shared, "topic": topic}
+
+
 def read_kafka_stream(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
     """A topic as a stream, with the message value as text."""
     stream = spark.readStream.format("kafka").options(**kafka_options(source)).load()

@@ -66,6 +66,12 @@ def json_array_rows(payloads: DataFrame, element: str, payload: str = "payload")
     return extract_path(payloads, "", element, payload)
 
 
+def json_files_rows(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Rows of landed JSON arrays, one per line (or, with ``multi_line``, one per file); inferred unless declared."""
+    reader = spark.read.option("multiLine", str(multi_line).lower())
+    return (reader.schema(schema) if schema else reader).json(path)
+
+
 def infer_json_schema(spark: SparkSession, sample: str) -> str:
     """The DDL type of one sample value."""
     return spark.range(1).select(F.schema_of_json(F.lit(sample)).alias("ddl")).first()["ddl"]

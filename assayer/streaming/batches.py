@@ -111,9 +111,14 @@ def batch_stats(path: str) -> Handler:
     return handle
 
 
-def add_stream_columns(df: DataFrame, definition: SchemaDefinition | None = None) -> DataFrame:
-    """Schema flag and times of handling. The flag comes from the stream's columns and needs no job."""
-    valid = True if definition is None else fields_conform(df.schema, definition)
+def add_stream_columns(df: DataFrame, definition: SchemaDefinition | None = None, valid: bool = True) -> DataFrame:
+    """Schema flag and times of handling.
+
+    On a stream the flag comes from its columns and needs no job; for a batch whose values were
+    checked it is given.
+    """
+    if definition is not None:
+        valid = fields_conform(df.schema, definition)
     added = {"_schema_valid": F.lit(valid), "_quality_check_time": F.current_timestamp()}
     if "_processing_time" not in df.columns:
         added["_processing_time"] = F.current_timestamp()

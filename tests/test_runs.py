@@ -208,3 +208,18 @@ def test_landed_api_and_feed_sources(spark, sf_dir, tmp_path):
 def test_column_profile_table(spark, sf_dir, tmp_path):
     profile_source(views.customer_src(spark, sf_dir), "customer_data", Run("r", RUN_AT, monitor_path=str(tmp_path)))
     assert spark.read.parquet(str(tmp_path / "column_profile")).where("source_name = 'customer_data'").count() == 7
+
+
+def test_registry_of_a_run(spark, sf_dir, tmp_path):
+    from assayer.operators import registry
+
+    path = str(tmp_path / "registry")
+    run = Run("r", RUN_AT, registry_path=path)
+    _, first = grade_source(views.sales_src(spark, sf_dir), {"name": "sales_transactions"}, run)
+    assert (first["schema_valid"], first["schema_warning_count"]) == (True, 1)
+    assert registry.get_version(spark, path, "sales_transactions").by_name.keys() == SALES_V1.by_name.keys()
+    _, second = grade_source(views.sales_src(spark, sf_dir), {"name": "sales_transactions"}, run)
+    assert (second["schema_valid"], second["schema_warning_count"]) == (True, 0)
+    registry.register_version(spark, path, SALES_V1)
+    _, third = grade_source(views.sales_src(spark, sf_dir), {"name": "sales_transactions", "schema_version": "v1"}, run)
+    assert not third["schema_valid"]

@@ -318,6 +318,18 @@ def test_kafka_options():
     assert 'username="u"' in options["kafka.sasl.jaas.config"]
 
 
+def test_kafka_sink_inherits_the_brokers():
+    options = kafka.kafka_sink_options({"bootstrap_servers": "b:9092", "topic": "t", "group_id": "g"}, "out")
+    assert options == {"kafka.bootstrap.servers": "b:9092", "topic": "out"}
+
+
+def test_json_files(spark, tmp_path):
+    lines = write(tmp_path / "a.json", '[{"a":1},{"a":2,"b":"x"}]\n[{"a":3}]\n')
+    assert sorted(r["a"] for r in payloads.json_files_rows(spark, lines).collect()) == [1, 2, 3]
+    whole = write(tmp_path / "b.json", '[\n{"a":1},\n{"a":2,"b":"x"}\n]')
+    assert payloads.json_files_rows(spark, whole, "a int, b string", multi_line=True).count() == 2
+
+
 def test_tables(spark, tmp_path):
     with pytest.raises(ValueError, match="table name"):
         catalog.read_table(spark, None)

@@ -11,7 +11,8 @@ from assayer.operators import scoring, tiering
 from assayer.operators.schema import definition_to_json, evolve_definition
 from assayer.operators.scoring import QualitySpec
 from assayer.plans import views
-from assayer.plans.batch import Run, grade_and_write_batches
+from assayer.plans.batch import Run
+from assayer.plans.live import grade_and_write_batches, start_event_streams, start_graded_streams
 from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2
 from assayer.plans.scores import FEED_SPEC
 from assayer.streaming import batches, runs, schema_changes, windows
@@ -198,3 +199,44 @@ def test_schema_files_become_events(spark, tmp_path):
     assert json.loads(rows[2]["old_definition"])["version"] == 1
     changed = schema_changes.changed_fields(spark.read.parquet(events).where("version = 3")).collect()
     assert {(r["field"], r["change"]) for r in changed} == {("city", "remove"), ("phone", "modify")}
+
+
+CONFIG = {
+    "kafka_sources": [
+        {"name": "events", "streaming_enabled": True, "event_schema": "k int", "value_column": "props"},
+        {"name": "orders"},
+    ]
+}
+
+
+def read_events(sf_dir):
+    return lambda spark, source: runs.read_table_stream(spark, sf_dir, source["name"])
+
+
+def test_configured_streams_are_graded_and_counted(spark, sf_dir, tmp_path):
+    run_settings = Run("r", dt.datetime(2024, 2, 1))
+    started = start_graded_streams(
+        spark, CONFIG, run_settings, str(tmp_path / "out"), str(tmp_path / "c1"), trigger=None, read=read_events(sf_dir)
+    )
+    windowed = start_graded_streams(
+        spark, CONFIG, run_settings, str(tmp_path / "out"), str(tmp_path / "c2"), trigger=None, window="1 day",
+        read=lambda spark, s: windows.with_event_time(runs.read_table_stream(spark, sf_dir, s["name"]), "ts"),
+    )
+    for query in (*started.values(), *windowed.values()):
+        runs.run_available(query)
+    assert list(started) == list(windowed) == ["events"]
+    rows = spark.read.parquet(str(tmp_path / "out" / "events" / "rows"))
+    assert rows.count() == 1000
+    assert rows.select("metric_timeliness").distinct().collect()[0][0] == 1.0
+    assert spark.read.parquet(str(tmp_path / "out" / "events" / "windows")).agg(F.sum("n")).first()[0] == 937
+
+
+def test_event_mode(spark, sf_dir, tmp_path):
+    seen = []
+    started = start_event_streams(
+        spark, CONFIG, lambda events, _: seen.append(events.agg(F.sum("k")).first()[0]), str(tmp_path), trigger=None,
+        read=read_events(sf_dir),
+    )
+    runs.run_available(started["events"])
+    expected = views.table(spark, sf_dir, "events").agg(F.sum(F.get_json_object("props", "$.k").cast("int"))).first()[0]
+    assert sum(seen) == expected
