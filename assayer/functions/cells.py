@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ def outside(value: Column, low, high) -> Column:
 
 
 def lacks(value: Column, pattern: str) -> Column:
-    """The pattern occurs nowhere in the text; null stays null."""
-    return ~value.rlike(pattern)
+    """The pattern occurs nowhere in the cell's text; null stays null."""
+    return ~value.cast("string").rlike(pattern)
 
 
 def not_one_of(value: Column, allowed: Sequence) -> Column:
@@ -51,8 +52,18 @@ def not_one_of(value: Column, allowed: Sequence) -> Column:
 
 
 def pattern_hit(value: Column, pattern: str) -> Column:
-    """The pattern occurs and its match is not empty; null is no hit."""
-    return F.coalesce(F.regexp_extract(value, pattern, 0) != "", F.lit(False))
+    """The pattern occurs in the cell's text and its match is not empty; null is no hit."""
+    return F.coalesce(F.regexp_extract(value.cast("string"), pattern, 0) != "", F.lit(False))
+
+
+def comparable(name: str, data_type: T.DataType, *values) -> Column:
+    """The cell in a form that can be compared with the given values.
+
+    Text is read as a number where the values are numbers; text that is none becomes null.
+    """
+    if isinstance(data_type, T.StringType) and any(isinstance(v, (int, float, Decimal)) for v in values):
+        return cell(name).try_cast("double")
+    return cell(name)
 
 
 def as_flag(condition: Column) -> Column:
@@ -74,12 +85,15 @@ def total(flags: Iterable[Column]) -> Column:
 
 
 def age_in_days(name: str, data_type: T.DataType, as_of: Column) -> Column:
-    """Whole calendar days between the cell and ``as_of``; null where no date can be read."""
+    """Whole calendar days between the cell and ``as_of``; null where no date can be read.
+
+    Numbers are seconds since 1970.
+    """
     value = cell(name)
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         day = value.cast("date")
-    elif isinstance(data_type, T.StringType):
-        day = F.try_to_timestamp(value).cast("date")
+    elif isinstance(data_type, T.NumericType):
+        day = F.timestamp_seconds(value).cast("date")
     else:
         day = F.try_to_timestamp(value.cast("string")).cast("date")
     return F.datediff(as_of, day)

@@ -53,10 +53,11 @@ def check_aggregates(df: DataFrame, definition: SchemaDefinition) -> list[Column
     for column, pattern in definition.patterns.items():
         if column in df.columns:
             aggregates.append(F.count_if(cells.pattern_hit(cells.cell(column), pattern)).alias(f"hits {column}"))
-    for column in definition.ranges:
+    for column, bounds in definition.ranges.items():
         if column in df.columns:
-            aggregates.append(F.min(cells.cell(column)).alias(f"low {column}"))
-            aggregates.append(F.max(cells.cell(column)).alias(f"high {column}"))
+            value = cells.comparable(column, df.schema[column].dataType, *bounds.values())
+            aggregates.append(F.min(value).alias(f"low {column}"))
+            aggregates.append(F.max(value).alias(f"high {column}"))
     return aggregates
 
 
@@ -174,8 +175,11 @@ def range_validation(df: DataFrame, ranges: dict[str, dict[str, float]]) -> Data
     present = [c for c in ranges if c in df.columns]
     found = df.agg(
         F.count(F.lit(1)).alias("record_count"),
-        *[F.min(cells.cell(c)).cast("double").alias(f"low {c}") for c in present],
-        *[F.max(cells.cell(c)).cast("double").alias(f"high {c}") for c in present],
+        *[
+            extreme(cells.comparable(c, df.schema[c].dataType, *ranges[c].values())).cast("double").alias(f"{side} {c}")
+            for c in present
+            for side, extreme in (("low", F.min), ("high", F.max))
+        ],
     )
 
     def bound(name: str, value) -> Column:

@@ -85,14 +85,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Rows become (column, value) pairs that each task de-duplicates before the shuffle, so a
     value that fills a third of a column is sent once per task.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), cells.cell(c).alias("value")) for c in columns])
-    return (
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), cells.cell(c).alias("value")) for i, c in enumerate(columns)])
+    counts = (
         df.select(F.explode(pairs).alias("p"))
-        .select("p.column_name", "p.value")
+        .select("p.position", "p.value")  # the position, not the name: it travels with every value
         .distinct()
-        .groupBy("column_name")
+        .groupBy("position")
         .agg(F.count(F.lit(1)).alias("distinct_count"))
     )
+    names = F.array(*[F.lit(c) for c in columns])
+    return counts.select(F.element_at(names, F.col("position") + 1).alias("column_name"), "distinct_count")
 
 
 def field_frequencies(df: DataFrame) -> DataFrame:

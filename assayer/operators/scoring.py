@@ -56,12 +56,14 @@ def rule_violations(df: DataFrame, rules: Mapping[str, Mapping[str, Any]]) -> li
     for column, rule in rules.items():
         if column not in df.columns:
             continue
-        value = cells.cell(column)
+        kind = df.schema[column].dataType
         if "min" in rule and "max" in rule:
+            value = cells.comparable(column, kind, rule["min"], rule["max"])
             found.append((column, "range", cells.outside(value, rule["min"], rule["max"])))
         if "pattern" in rule:
-            found.append((column, "pattern", cells.lacks(value, rule["pattern"])))
+            found.append((column, "pattern", cells.lacks(cells.cell(column), rule["pattern"])))
         if "allowed_values" in rule:
+            value = cells.comparable(column, kind, *rule["allowed_values"])
             found.append((column, "allowed_values", cells.not_one_of(value, rule["allowed_values"])))
     return found
 

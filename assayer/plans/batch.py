@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,18 +64,19 @@ class Run:
     documents_path: str | None = None
     registry_path: str | None = None
 
-    def definition(self, name: str, version: int | str | None = None) -> SchemaDefinition | None:
+    def definition(
+        self, spark: SparkSession, name: str, version: int | str | None = None
+    ) -> SchemaDefinition | None:
         """A schema by name, in the newest version unless one is named; None if there is no such schema."""
         versions = {v: d for (n, v), d in self.schemas.items() if n == name}
         if not versions:
-            return self._registered(name, version)
+            return self._registered(spark, name, version)
         wanted = max(versions) if version in (None, "latest") else version_number(version)
         if wanted not in versions:
             raise ValueError(f"no schema {name!r} in version {version!r}")
         return versions[wanted]
 
-    def _registered(self, name: str, version: int | str | None) -> SchemaDefinition | None:
-        spark = SparkSession.getActiveSession()
+    def _registered(self, spark: SparkSession, name: str, version: int | str | None) -> SchemaDefinition | None:
         if not self.registry_path or not has_schema(spark, self.registry_path, name):
             return None
         return get_version(spark, self.registry_path, name, version or "latest")
@@ -147,9 +149,9 @@ def evolve_if_needed(df: DataFrame, source: Mapping[str, Any], run: Run) -> Data
     if not target or target == current:
         return df
     try:
-        old, new = run.definition(source["name"], current), run.definition(source["name"], target)
+        old, new = (run.definition(df.sparkSession, source["name"], version) for version in (current, target))
         return df if old is None or new is None else apply_evolution(df, old, new)
-    except ValueError as failure:
+    except (ValueError, AnalysisException) as failure:
         log.warning("%s was not evolved: %s", source["name"], failure)
         return df
 
@@ -159,7 +161,7 @@ def grade_source(df: DataFrame, source: Mapping[str, Any], run: Run, streaming:
     evolved = evolve_if_needed(df, source, run)
     spec = quality_spec(source, run.thresholds, streaming)
     version = source.get("target_schema_version") or source.get("schema_version", "latest")
-    definition = run.definition(spec.name, version)
+    definition = run.definition(df.sparkSession, spec.name, version)
     if definition is None and run.registry_path:
         register_version(df.sparkSession, run.registry_path, definition_from_frame(evolved, spec.name))
     row = assess(evolved, spec, definition, run.run_at).first()

@@ -76,6 +76,13 @@ def test_ranges(spark):
     assert rows == {"a": True, "b": False, "c": None, "gone": None}
 
 
+def test_ranges_and_patterns_on_columns_of_another_type(spark):
+    df = spark.createDataFrame([("5", 12), ("many", 13)], "s string, n int")
+    schema = definition(Field("s", "int"), Field("n", "int"), patterns={"n": "^1[0-9]$"}, ranges={"s": {"min": 6}})
+    assert issues(df, schema) == {("s", "type", "error"), ("s", "range", "error")}
+    assert checks.range_validation(df, {"s": {"min": 6}}).first()["actual_max"] == 5.0
+
+
 def test_too_low_and_too_high_are_two_errors(spark):
     df = spark.createDataFrame([(0,), (11,)], "a int")
     row = checks.validate(df, definition(Field("a", "int"), ranges={"a": {"min": 1, "max": 10}})).first()

@@ -164,6 +164,19 @@ def test_an_unknown_target_version_leaves_the_frame_alone(spark, sf_dir):
     assert same is feed
 
 
+def test_a_failing_evolution_leaves_the_frame_alone(spark):
+    from assayer.operators.schema import Field, SchemaDefinition
+    from assayer.plans.batch import evolve_if_needed
+
+    schemas = {
+        ("s", 1): SchemaDefinition("s", 1, (Field("a", "array", element_type="int"),)),
+        ("s", 2): SchemaDefinition("s", 2, (Field("a", "date"),)),
+    }
+    df = spark.createDataFrame([([1],)], "a array<int>")
+    source = {"name": "s", "schema_version": 1, "target_schema_version": 2}
+    assert evolve_if_needed(df, source, Run("r", RUN_AT, schemas=schemas)) is df
+
+
 def test_a_source_without_schema_is_valid_with_a_warning(spark):
     graded, row = grade_source(spark.range(3), {"name": "new"}, Run("r", RUN_AT))
     assert (row["schema_valid"], row["schema_error_count"], row["schema_warning_count"]) == (True, 0, 1)

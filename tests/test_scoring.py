@@ -72,6 +72,17 @@ def test_without_rules_accuracy_is_completeness(spark):
     assert row["accuracy"] == row["completeness"] == 0.75
 
 
+def test_rules_on_columns_of_another_type(spark):
+    df = spark.createDataFrame([("5", 12), ("50", 7), ("many", 12), (None, None)], "s string, n int")
+    rules = {"s": {"min": 1, "max": 10, "allowed_values": [5, 6]}, "n": {"pattern": "^1"}}
+    assert one(scoring.score(df, QualitySpec(rules=rules)))["violations"] == 3
+
+
+def test_numbers_as_dates_are_seconds(spark):
+    df = spark.createDataFrame([(int(dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc).timestamp()),)], "t bigint")
+    assert one(scoring.count_cells(df, QualitySpec(date_column="t"), AS_OF))["age_days"] == 1
+
+
 def test_bounds_are_inclusive(spark):
     df = spark.createDataFrame([(1,), (10,), (0,), (11,)], "n int")
     assert one(scoring.score(df, QualitySpec(rules={"n": {"min": 1, "max": 10}})))["violations"] == 2
