@@ -6,6 +6,7 @@ import json
 import logging
 import time
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
@@ -23,6 +24,7 @@ from assayer.operators.registry import append_event, get_version, has_schema, re
 from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame, version_number
 from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
+from assayer.session import cut_lineage
 from assayer.sinks.documents import write_documents, write_metrics
 from assayer.sinks.tiers import write_tier_files
 from assayer.sources.catalog import read_table
@@ -45,6 +47,10 @@ ISSUE_SCHEMA = (
 )
 
 
+# Families whose data may differ from one read to the next.
+CHANGING_FAMILIES = ("database", "kafka")
+
+
 @dataclass
 class Run:
     """What all sources of a run share.
@@ -171,12 +177,16 @@ def grade_source(df: DataFrame, source: Mapping[str, Any], run: Run, streaming:
 def process_source(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run, seq: int = 0) -> tuple:
     """Read, evolve, grade and write one source, and say how it went (a row of ``RESULT_SCHEMA``).
 
-    Two passes over the data: one aggregate scan and one write. Any failure is this source's
-    own and becomes a failed result.
+    Two passes over the data: one aggregate scan and one write. A database or topic may change
+    between them, so it is read once into the shared folder. Any failure is this source's own
+    and becomes a failed result.
     """
     name = source.get("name", "unnamed_source")
     try:
-        graded, row = grade_source(read_source(spark, family, source), source, run, family == "kafka")
+        df = read_source(spark, family, source)
+        if family in CHANGING_FAMILIES:
+            df = cut_lineage(df)
+        graded, row = grade_source(df, source, run, family == "kafka")
         tier = row["data_classification"]
         if run.target_paths:
             write_tier_files(graded, tier, name, run.target_paths, run.run_at)
@@ -226,15 +236,18 @@ def process_one(spark: SparkSession, config: Mapping[str, Any], name: str, run:
     return spark.createDataFrame([process_source(spark, family, source, run)], RESULT_SCHEMA)
 
 
-def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run) -> DataFrame:
+def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run, at_once: int = 4) -> DataFrame:
     """Process every enabled source in family order: one result row per source.
 
-    With a monitoring folder the results and the run's totals are appended to its tables.
+    Some sources run side by side, so that small ones do not leave a cluster idle. With a
+    monitoring folder the results and the run's totals are appended to its tables.
     """
     started = time.time()
-    results = spark.createDataFrame(
-        [process_source(spark, family, s, run, i) for i, (family, s) in enumerate(all_sources(config))], RESULT_SCHEMA
-    )
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        rows = pool.map(
+            lambda item: process_source(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))
+        )
+        results = spark.createDataFrame(list(rows), RESULT_SCHEMA)
     if run.monitor_path:
         results.write.mode("append").parquet(f"{run.monitor_path}/source_runs")
         record = run_record(results, run, "batch", started)

@@ -32,14 +32,8 @@ def write_tier_files(
 ) -> str:
     """Write a graded dataset as parquet, one folder per ingestion day; a rerun replaces its own day only."""
     path = tier_path(target_paths, tier, source_name)
-    (
-        add_ingest_columns(df, tier, ingested_at)
-        .withColumn("ingestion_date", F.lit(ingested_at.date()))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingestion_date")
-        .parquet(path)
-    )
+    stamped = add_ingest_columns(df, tier, ingested_at)
+    stamped.write.mode("overwrite").parquet(f"{path}/ingestion_date={ingested_at.date().isoformat()}")
     return path
 
 

@@ -21,17 +21,11 @@ Handler = Callable[[DataFrame, int], None]
 
 
 def overwrite_batch(df: DataFrame, path: str, batch_id: int, parts: Sequence[str] = ()) -> None:
-    """Write one batch to its own partition of a table, replacing what an earlier try left there.
-
-    Only partitions of this batch are touched; an empty batch writes nothing.
-    """
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *parts)
-        .parquet(path)
-    )
+    """Write one batch to its own partition of a table, replacing all that an earlier try left there."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_batches(path: str) -> Handler:

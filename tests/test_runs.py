@@ -35,6 +35,22 @@ def test_rerun_replaces_its_own_day_only(spark, tmp_path):
     assert counts == {dt.date(2024, 1, 31): 3, dt.date(2024, 2, 1): 4}
 
 
+def test_an_empty_rerun_replaces_its_day_too(spark, tmp_path):
+    paths = folders(tmp_path)
+    tiers.write_tier_files(spark.range(5), "gold", "s", paths, RUN_AT)
+    assert spark.read.parquet(tiers.write_tier_files(spark.range(0), "gold", "s", paths, RUN_AT)).count() == 0
+
+
+def test_changing_sources_are_read_once(spark, tmp_path, monkeypatch):
+    from assayer.plans import batch
+
+    reads = []
+    monkeypatch.setattr(batch, "read_source", lambda spark, family, source: reads.append(family) or spark.range(5).withColumn("r", F.rand()))
+    run = Run("r", RUN_AT, folders(tmp_path))
+    assert process_source(spark, "database", {"name": "d"}, run)[6] == 5
+    assert reads == ["database"]
+
+
 def test_tier_table_name_and_parts(spark, tmp_path):
     name = tiers.write_tier_table(spark.range(2), "gold", "My-Test", RUN_AT.date(), path=str(tmp_path / "t"))
     assert name == "data_gold_my_test"

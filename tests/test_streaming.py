@@ -69,6 +69,13 @@ def test_a_repeated_batch_leaves_one_result(spark, sf_dir, tmp_path):
         assert spark.read.parquet(str(path)).count() == 1000
 
 
+def test_a_batch_that_comes_out_differently_replaces_all_of_itself(spark, tmp_path):
+    path = str(tmp_path / "p")
+    batches.overwrite_batch(spark.range(4).withColumn("part", F.col("id") % 2), path, 3, ("part",))
+    batches.overwrite_batch(spark.range(1).withColumn("part", F.lit(7)), path, 3, ("part",))
+    assert [tuple(r) for r in spark.read.parquet(path).select("id", "batch_id", "part").collect()] == [(0, 3, 7)]
+
+
 def test_restart_goes_on_where_the_stream_stopped(spark, sf_dir, tmp_path):
     events, path, source, query = views.table(spark, sf_dir, "events"), str(tmp_path / "out"), str(tmp_path / "in"), name()
     for part in (F.col("event_id") < 400, F.col("event_id") >= 400):
