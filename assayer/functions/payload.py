@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,34 @@ def lookup_array(payload: Column, path: str, element: str, single: bool = False)
     return F.when(readable, F.from_json(found, f"array<{element}>"))
 
 
+def read_paths(payload: Column, leaves: Mapping[str, str]) -> dict[str, Column]:
+    """What lies at several dotted paths, each as its own type, from one reading of the payload.
+
+    A leaf of type ``string`` holds the JSON text of whatever is found there.
+    """
+    tree: dict = {}
+    for path, kind in leaves.items():
+        *parents, leaf = path.split(".")
+        node = tree
+        for part in parents:
+            node = node.setdefault(part, {})
+        node[leaf] = kind
+
+    def ddl(node: Mapping | str) -> str:
+        if isinstance(node, str):
+            return node
+        return "struct<" + ",".join(f"`{name}`:{ddl(child)}" for name, child in node.items()) + ">"
+
+    read = F.from_json(payload, ddl(tree))
+    found = {}
+    for path in leaves:
+        value = read
+        for part in path.split("."):
+            value = value.getField(part)
+        found[path] = value
+    return found
+
+
 def is_truthy(found: Column) -> Column:
     """Whether a JSON value counts as yes: not missing, false, zero, empty text, list or object."""
     return F.coalesce(~found.isin("false", "0", "0.0", "", "null", "[]", "{}"), F.lit(False))

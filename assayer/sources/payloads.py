@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.payload import is_truthy, lookup, lookup_array
+from assayer.functions.payload import is_truthy, lookup_array, read_paths
 from assayer.session import broadcast_if_small
 
 # Fixed value: pages read per source unless the source says otherwise.
@@ -41,23 +41,30 @@ def normalise_pages(
     """
     read = pages.where(F.col("page") <= max_pages)
     payload = F.col("payload")
-    found = lookup(payload, results_path)
-    is_list = F.coalesce(found.isNull() | F.startswith(F.trim(found), F.lit("[")), F.lit(False))
-    if next_link_path:
-        last = ~is_truthy(lookup(payload, next_link_path))
-    elif has_more_path:
-        last = ~is_truthy(lookup(payload, has_more_path))
-    else:
-        last = F.lit(False)
-    stops = read.groupBy("source").agg(
-        F.min(F.when(is_list & last, F.col("page"))).alias("last_page"),
-        F.min(F.when(~is_list, F.col("page"))).alias("bad_page"),
+    more_path = next_link_path or has_more_path
+    wanted = {path: "string" for path in (results_path, more_path) if path}
+    found = read_paths(payload, wanted) if wanted else {}
+    results = found.get(results_path, payload)
+    is_list = F.coalesce(results.isNull() | F.startswith(F.trim(results), F.lit("[")), F.lit(False))
+    last = ~is_truthy(found[more_path]) if more_path else F.lit(False)
+    stops = (
+        read.select("source", "page", is_list.alias("is_list"), last.alias("last"))
+        .groupBy("source")
+        .agg(
+            F.min(F.when(F.col("is_list") & F.col("last"), F.col("page"))).alias("last_page"),
+            F.min(F.when(~F.col("is_list"), F.col("page"))).alias("bad_page"),
+        )
+    )
+    items = (
+        read_paths(payload, {results_path: f"array<{element}>"})[results_path]
+        if results_path
+        else F.from_json(payload, f"array<{element}>")
     )
     return (
         read.join(broadcast_if_small(stops), "source")
         .where(F.coalesce(F.col("page") <= F.col("last_page"), F.lit(True)))
         .where(F.coalesce(F.col("page") < F.col("bad_page"), F.lit(True)))
-        .select("source", "page", F.posexplode(lookup_array(payload, results_path, element)).alias("position", "item"))
+        .select("source", "page", F.posexplode(items).alias("position", "item"))
     )
 
 

@@ -41,6 +41,8 @@ def replace_result(path: str) -> Handler:
 def read_result(spark: SparkSession, path: str, query: StreamingQuery) -> DataFrame:
     """The result that the last batch of a ``complete`` query left."""
     done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
+    if not done:
+        raise ValueError("the stream has not delivered anything")
     return spark.read.parquet(f"{path}/batch={max(done):012d}")
 
 

@@ -91,6 +91,20 @@ def test_a_broken_last_page_does_not_hide_an_earlier_stop(spark):
     assert ids(payloads.normalise_pages(landed, "struct<id:int>", "data.items", "meta.has_more")) == [1]
 
 
+def test_pages_that_are_lists_themselves(spark):
+    landed = spark.createDataFrame([("s", 1, '[{"id":1}]'), ("s", 2, ' [{"id":2},{"id":3}]'), ("s", 3, '{"id":4}'), ("s", 4, '[{"id":5}]')], "source string, page int, payload string")
+    assert ids(payloads.normalise_pages(landed, "struct<id:int>")) == [1, 2, 3]
+
+
+def test_flag_beside_the_results_and_broken_payloads(spark):
+    landed = spark.createDataFrame(
+        [("s", 1, '{"d":{"r":[{"id":1}],"more":1}}'), ("s", 2, '{"d":{"r":[],"more":true}}'), ("s", 3, '{"d":{"r":[{"id":3}],"more":0}}'),
+         ("s", 4, '{"d":{"r":[{"id":4}]}}'), ("t", 1, "oops"), ("t", 2, '{"d":{"r":[{"id":9}],"more":true}}')],
+        "source string, page int, payload string",
+    )
+    assert ids(payloads.normalise_pages(landed, "struct<id:int>", "d.r", "d.more")) == [1, 3]
+
+
 def test_next_links_and_many_sources(spark):
     def linked(v, following):
         return {"results": [{"id": v}], "links": {"next": following} if following else {}}
