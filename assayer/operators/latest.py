@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.session import cut_lineage
+from assayer.session import broadcast_if_small, cut_lineage
 
 ROWS_PER_SLICE = 1_000_000
 
@@ -57,7 +57,7 @@ def running_total(
     )
     within = Window.partitionBy("__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranged.join(F.broadcast(before), "__slice")  # one row per range: a millionth of the data
+        ranged.join(broadcast_if_small(before), "__slice")
         .withColumn(result, F.coalesce(F.sum(value).over(within), F.lit(0)) + F.col("__before"))
         .drop("__slice", "__before")
     )

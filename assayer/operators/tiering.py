@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -44,6 +44,10 @@ def tier_column(
             condition = condition & (F.coalesce(metrics.get(metric, F.lit(0.0)), F.lit(0.0)) >= F.lit(float(least)))
         return condition
 
+    return _first_tier(holds, schema_valid)
+
+
+def _first_tier(holds: Callable[[str], Column], schema_valid: Column | None) -> Column:
     conforming = F.lit(True) if schema_valid is None else F.coalesce(schema_valid, F.lit(False))
     return (
         F.when(conforming & holds("gold"), F.lit("gold"))
@@ -67,6 +71,34 @@ def classify(
     return scores.withColumn("data_classification", tier_column(thresholds, numeric_metrics(scores), schema_valid))
 
 
+def threshold_maps(thresholds: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Threshold rows ``(group, tier, metric, least)`` as one map of maps per group; the strictest of repeated ones."""
+    strictest = thresholds.groupBy(*by, "tier", "metric").agg(F.max(F.col("least").cast("double")).alias("least"))
+    per_tier = strictest.groupBy(*by, "tier").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "least"))).alias("metrics")
+    )
+    return per_tier.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("tier", "metrics"))).alias("thresholds"))
+
+
+def classify_by_table(
+    scores: DataFrame, thresholds: DataFrame, by: Sequence[str], schema_valid: Column | None = None
+) -> DataFrame:
+    """Grade groups by thresholds of their own, kept as rows ``(group, tier, metric, least)``.
+
+    The rule is that of ``tier_column``; a group without any row for a tier has no thresholds there.
+    A group has a handful of thresholds, one per tier and metric, which become one row each.
+    """
+    measured = F.create_map(*[c for name, value in numeric_metrics(scores).items() for c in (F.lit(name), value.cast("double"))])
+    graded = scores.join(broadcast_if_small(threshold_maps(thresholds, by)), list(by), "left")
+
+    def holds(name: str) -> Column:
+        least = F.map_entries(F.try_element_at("thresholds", F.lit(name)))
+        reached = F.forall(least, lambda t: F.coalesce(F.try_element_at(measured, t["key"]), F.lit(0.0)) >= t["value"])
+        return F.coalesce(reached, F.lit(True))
+
+    return graded.withColumn("data_classification", _first_tier(holds, schema_valid)).drop("thresholds")
+
+
 def tier(df: DataFrame, spec: QualitySpec, as_of=None, by: Sequence[str] = (), schema_valid: Column | None = None) -> DataFrame:
     """Score and grade a dataset, or every group of it, in one scan."""
     return classify(score(df, spec, as_of, by), spec.thresholds, schema_valid)

@@ -190,6 +190,35 @@ def tier_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded.select("source_name", "data_classification")
 
 
+def feed_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds of each feed, set by how many events it has delivered; only some tiers and metrics have any."""
+    counted = views.event_src(spark, sf_dir).groupBy("source_name").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+
+    def least(tier: str, metric: str, value):
+        return F.struct(F.lit(tier).alias("tier"), F.lit(metric).alias("metric"), value.alias("least"))
+
+    rows = F.array(
+        least("gold", "completeness", F.lit(0.9) + n % 10 / F.lit(100.0)),
+        least("gold", "timeliness", F.lit(0.72)),
+        least("silver", "accuracy", F.lit(0.95) + n % 5 / F.lit(100.0)),
+        F.when(n % 2 == 0, least("bronze", "consistency", F.lit(0.1))),
+    )
+    return counted.select("source_name", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("t")).select("source_name", "t.*")
+
+
+@register(
+    "tier_by_table",
+    f"""SELECT q.source_name, CASE WHEN c >= 0.9e0 + n % 10 / 100.0e0 AND t >= 0.72 THEN 'gold' WHEN a >= 0.95e0 + n % 5 / 100.0e0 THEN 'silver'
+ WHEN n % 2 <> 0 THEN 'bronze' ELSE 'rejected' END AS data_classification
+ FROM {FEED_SCORES} JOIN (SELECT source_name, count(*) AS n FROM {EVENT_SRC} GROUP BY source_name) k ON k.source_name = q.source_name""",
+)
+def tier_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = scoring.score(views.event_src(spark, sf_dir), FEED_SPEC, AS_OF, ["source_name"])
+    graded = tiering.classify_by_table(scores, feed_thresholds(spark, sf_dir), ["source_name"])
+    return graded.select("source_name", "data_classification")
+
+
 @register(
     "group_quality_columns",
     f"""SELECT e.event_id, e.source_name, {TIER_SQL} AS data_classification, round(c, 6) AS metric_completeness

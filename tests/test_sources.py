@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from assayer.functions.payload import is_truthy, lookup
@@ -332,6 +333,17 @@ def test_kafka_options():
     assert 'username="u"' in options["kafka.sasl.jaas.config"]
 
 
+@pytest.mark.parametrize("read", [kafka.read_kafka_stream, kafka.read_kafka_range])
+def test_kafka_readers_ask_for_the_package(spark, read):
+    with pytest.raises(AnalysisException, match="kafka"):
+        read(spark, {"bootstrap_servers": "b:9092", "topic": "t"})
+
+
+def test_avro_asks_for_the_package(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="(?i)avro"):
+        files.read_files(spark, str(tmp_path), "avro")
+
+
 def test_kafka_sink_inherits_the_brokers():
     options = kafka.kafka_sink_options({"bootstrap_servers": "b:9092", "topic": "t", "group_id": "g"}, "out")
     assert options == {"kafka.bootstrap.servers": "b:9092", "topic": "out"}

@@ -105,6 +105,16 @@ def test_append_mode_gives_closed_windows_only(spark, sf_dir, tmp_path):
     assert (closed.count(), closed.agg(F.sum("n")).first()[0]) == (28, 937)
 
 
+def test_update_mode_gives_each_change(spark, landed, tmp_path):
+    stream = windows.with_event_time(event_stream(spark, landed), "ts")
+    path = str(tmp_path / "w")
+    run(windows.window_counts(stream, "1 day", delay="60 days"), tmp_path, batches.write_batches(path), output_mode="update")
+    updates = spark.read.parquet(path)
+    assert updates.count() > 30
+    newest = updates.groupBy("window_start").agg(F.max_by("n", "batch_id").alias("n"))
+    assert (newest.count(), newest.agg(F.sum("n")).first()[0]) == (30, 1000)
+
+
 def test_event_time_is_the_given_one_or_now(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "t timestamp_ntz")
     assert dict(windows.with_event_time(df, "t").dtypes)[windows.EVENT_TIME] == "timestamp"

@@ -105,3 +105,24 @@ def test_ingest_columns_and_stamps(spark):
     row = tiering.add_ingest_columns(spark.range(1), "gold", RUN_AT).first()
     assert (row["ingestion_timestamp"], row["classification_level"]) == (RUN_AT, "gold")
     assert tiering.stamp_events(spark.range(1), "s").first()["source_name"] == "s"
+
+
+def test_thresholds_from_a_table_grade_like_thresholds_from_settings(spark):
+    own = {
+        "a": TIER_THRESHOLDS,
+        "b": tiering.merge_thresholds(TIER_THRESHOLDS, {"gold": {"timeliness": 0.99}}),
+        "c": {"gold": {"beauty": 0.1}, "bronze": {"completeness": 0.3}},  # no silver thresholds: silver holds
+        "d": {"gold": {"completeness": 2.0}, "silver": {"beauty": 1}, "bronze": {"accuracy": 0.5}},
+    }
+    values = [(0.96, 0.95, 0.9), (0.85, 0.85, 0.75), (0.75, 0.65, 0.55), (0.2, 0.2, 0.2)]
+    rows = [(s, i, *v) for s in own for i, v in enumerate(values)]
+    scores = spark.createDataFrame(rows, "s string, i int, completeness double, accuracy double, timeliness double")
+    table = spark.createDataFrame(
+        [(s, t, m, float(v)) for s, tiers_ in own.items() for t, ms in tiers_.items() for m, v in ms.items()],
+        "s string, tier string, metric string, least double",
+    )
+    found = {(r["s"], r["i"]): r["data_classification"] for r in tiering.classify_by_table(scores, table, ["s"]).collect()}
+    for source, thresholds in own.items():
+        assert [found[source, i] for i in range(4)] == tiers(spark, values, thresholds)
+    capped = tiering.classify_by_table(scores, table, ["s"], F.lit(False)).collect()
+    assert {r["data_classification"] for r in capped} <= {"bronze", "rejected"}
