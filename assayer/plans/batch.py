@@ -32,8 +32,15 @@ from assayer.sources.config import all_sources, find_source
 from assayer.sources.cve import filter_cves, published_between, read_cve_pages
 from assayer.sources.files import declared_struct, read_files
 from assayer.sources.jdbc import read_jdbc
-from assayer.sources.kafka import read_kafka_range
-from assayer.sources.payloads import normalise_pages
+from assayer.sources.kafka import SAMPLE_SIZE, read_kafka_range
+from assayer.sources.payloads import (
+    MAX_PAGES,
+    csv_payload_rows,
+    decode_values,
+    infer_element,
+    normalise_pages,
+    xml_payload_rows,
+)
 
 log = logging.getLogger(__name__)
 
@@ -98,19 +105,11 @@ def read_source(spark: SparkSession, family: str, source: Mapping[str, Any]) ->
     if family == "database":
         return read_jdbc(spark, source)
     if family == "api":
-        pages = read_files(spark, source["path"], "parquet")
-        paging = source.get("pagination", {})
-        items = normalise_pages(
-            pages,
-            source["element"],
-            source.get("results_path", ""),
-            paging.get("has_more_path"),
-            paging.get("next_page_link_path"),
-            paging.get("max_pages", 10),
-        )
-        return items.select("item.*")
+        return read_api(spark, source)
     if family == "kafka":
-        return read_kafka_range(spark, source)
+        values = read_kafka_range(spark, source)
+        sample = read_kafka_range(spark, source, SAMPLE_SIZE).where(F.col("value").isNotNull()).first()
+        return decode_values(values, source.get("value_schema"), sample and sample["value"])
     if family == "nvd":
         cves = read_cve_pages(
             read_files(spark, source["path"], "parquet"),
@@ -122,6 +121,31 @@ def read_source(spark: SparkSession, family: str, source: Mapping[str, Any]) ->
     raise ValueError(f"unknown source family {family!r}")
 
 
+def read_api(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
+    """Rows of an interface's landed responses: JSON pages in a table, CSV or XML files."""
+    kind = source.get("response_format", "json")
+    if kind == "csv":
+        return csv_payload_rows(spark, source["path"], source.get("schema"), multiLine="true")
+    if kind == "xml":
+        return xml_payload_rows(spark, source["path"], source.get("xml_row_tag", "row"), source.get("schema"))
+    if kind != "json":
+        raise ValueError(f"unsupported response format {kind!r}")
+    pages = read_files(spark, source["path"], "parquet")
+    paging, results_path = source.get("pagination", {}), source.get("results_path", "")
+    element = source.get("element") or infer_element(pages, results_path)
+    if element is None:
+        raise ValueError("no page has results to take their type from")
+    items = normalise_pages(
+        pages,
+        element,
+        results_path,
+        paging.get("has_more_path"),
+        paging.get("next_page_link_path"),
+        paging.get("max_pages", MAX_PAGES),
+    )
+    return items.select("item.*")
+
+
 def quality_spec(source: Mapping[str, Any], thresholds: Mapping[str, Mapping[str, float]], streaming: bool = False) -> QualitySpec:
     """Scoring rules of a source's settings; its own thresholds lie over the defaults."""
     return QualitySpec(

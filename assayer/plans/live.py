@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from assayer.operators.scoring import COUNT_COLUMNS
+from assayer.operators.tiering import stamp_events
 from assayer.plans.batch import Run, grade_source
-from assayer.sources.config import streaming_sources
+from assayer.sources.config import all_sources, streaming_sources
 from assayer.sources.kafka import read_kafka_stream
+from assayer.sources.payloads import decode_values
 from assayer.streaming.batches import add_stream_columns, overwrite_batch, per_event, write_batches
 from assayer.streaming.runs import TRIGGER, start_sink, start_streams
 from assayer.streaming.windows import window_counts, with_event_time
@@ -65,6 +67,8 @@ def start_graded_streams(
 
     def start(stream: DataFrame, source: Mapping[str, Any]) -> StreamingQuery:
         name, target = f"stream-{source['name']}", f"{path}/{source['name']}"
+        if source.get("value_schema"):
+            stream = decode_values(stream, source["value_schema"], value=source.get("value_column", "value"))
         if window:
             name = f"windows-{source['name']}"
             stream = window_counts(with_event_time(stream), window, slide)
@@ -84,10 +88,17 @@ def start_event_streams(
     trigger: str | None = "1 second",
     read: Read = read_kafka_stream,
 ) -> dict[str, StreamingQuery]:
-    """Event mode: the decoded events of each source reach ``callback`` batch by batch."""
+    """Event mode, for every enabled message source: the decoded events reach ``callback`` batch by batch.
+
+    They carry the source's name and the time of handling; undecodable messages are skipped.
+    """
 
     def start(stream: DataFrame, source: Mapping[str, Any]) -> StreamingQuery:
-        handler = per_event(source["event_schema"], callback, source.get("value_column", "value"))
+        def stamped(events: DataFrame, batch_id: int) -> None:
+            callback(stamp_events(events, source["name"]), batch_id)
+
+        handler = per_event(source["event_schema"], stamped, source.get("value_column", "value"))
         return start_sink(stream, f"events-{source['name']}", checkpoint, trigger=trigger, handler=handler)
 
-    return start_streams(spark, streaming_sources(config), start, read)
+    sources = [s for family, s in all_sources(config) if family == "kafka"]
+    return {s["name"]: start(read(spark, s), s) for s in sources}

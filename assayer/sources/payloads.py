@@ -6,11 +6,15 @@ read by expressions, file by file, in parallel; the paging rule is an aggregate
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.payload import is_truthy, lookup_array, read_paths
+from assayer.functions.payload import is_truthy, lookup, lookup_array, read_paths
 from assayer.session import broadcast_if_small
 
 # Fixed value: pages read per source unless the source says otherwise.
@@ -79,6 +83,16 @@ def json_files_rows(spark: SparkSession, path: str, schema: str | None = None, m
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def infer_element(pages: DataFrame, results_path: str = "") -> str | None:
+    """The element type of the results of landed pages, from the first page that has any."""
+    results = F.trim(lookup(F.col("payload"), results_path))
+    filled = pages.select(results.alias("r")).where(F.col("r").rlike(r"^\[\s*[^\]\s]"))
+    found = filled.first()
+    if found is None:
+        return None
+    return T.DataType.fromDDL(infer_json_schema(pages.sparkSession, found["r"])).elementType.simpleString()
+
+
 def infer_json_schema(spark: SparkSession, sample: str) -> str:
     """The DDL type of one sample value."""
     return spark.range(1).select(F.schema_of_json(F.lit(sample)).alias("ddl")).first()["ddl"]
@@ -133,6 +147,33 @@ def parse_value(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     return df.select(*others, F.col(value).alias("_raw"), parsed.alias("v")).select(*others, "_raw", "v.*")
 
 
+def value_type(declared: Mapping | str | None) -> T.StructType | None:
+    """The type of message values as declared: Spark's JSON form of a struct, or columns as DDL."""
+    try:
+        found = T.StructType.fromJson(dict(declared)) if isinstance(declared, Mapping) else T.DataType.fromDDL(declared or "")
+    except (KeyError, TypeError, PySparkException):
+        return None
+    return found if isinstance(found, T.StructType) and len(found) else None
+
+
+def decode_values(df: DataFrame, declared: Mapping | str | None, sample: str | None = None, value: str = "value") -> DataFrame:
+    """Message values as columns, null where a value cannot be decoded.
+
+    Without a usable declaration the type is taken from a sample value; without a usable sample
+    either, or if nothing is declared at all, the value stays text.
+    """
+    text = df.select(F.col(value).cast("string").alias(value))
+    wanted = value_type(declared)
+    if wanted is None and declared is not None and sample is not None:
+        try:
+            wanted = value_type(infer_json_schema(df.sparkSession, sample))
+        except (PySparkException, Py4JJavaError):  # the sample is no JSON
+            wanted = None
+    if wanted is None:
+        return text
+    return text.select(F.from_json(value, wanted).alias("v")).select("v.*")
+
+
 def value_state(raw: Column, corrupt: Column) -> Column:
     """``parsed``, ``dead_letter`` for values that are no JSON, ``empty`` for null."""
     return F.when(raw.isNull(), "empty").when(corrupt.isNotNull(), "dead_letter").otherwise("parsed")

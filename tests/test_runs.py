@@ -225,6 +225,14 @@ def test_landed_api_and_feed_sources(spark, sf_dir, tmp_path):
         {"path": api, "element": views.ITEM, "results_path": "data.items", "pagination": {"has_more_path": "meta.has_more"}},
     )
     assert items.columns == ["id", "v", "kind"]
+    inferred = read_source(spark, "api", {"path": api, "results_path": "data.items", "pagination": {"has_more_path": "meta.has_more"}})
+    assert sorted(map(tuple, inferred.select("id", "kind").collect())) == sorted(map(tuple, items.select("id", "kind").collect()))
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "a.xml").write_text("<rows><r><a>1</a></r></rows>")
+    assert read_source(spark, "api", {"path": str(tmp_path / "a.csv"), "response_format": "csv"}).dtypes == [("a", "int"), ("b", "string")]
+    assert read_source(spark, "api", {"path": str(tmp_path / "a.xml"), "response_format": "xml", "xml_row_tag": "r"}).first()["a"] == 1
+    with pytest.raises(ValueError, match="unsupported response format"):
+        read_source(spark, "api", {"path": "x", "response_format": "yaml"})
     records = read_source(
         spark, "nvd",
         {"path": nvd, "results_per_page": 20, "start_date": "2023-01-01T00:00:00.000", "additional_query_params": {"cvssV3Severity": "HIGH"}},

@@ -174,6 +174,27 @@ def test_event_values(spark):
     assert payloads.parse_value(df, ddl).columns == ["i", "_raw", "k", "s", "_corrupt"]
 
 
+def test_message_values_by_declaration_sample_or_as_text(spark):
+    df = spark.createDataFrame([('{"k": 5, "s": "x"}',), ("not json",), (None,)], "value string")
+
+    def decoded(declared, sample=None):
+        found = payloads.decode_values(df, declared, sample)
+        return found.columns, [tuple(r) for r in found.collect()]
+
+    declared = {"type": "struct", "fields": [{"name": "k", "type": "integer", "nullable": True, "metadata": {}}]}
+    assert decoded(declared) == (["k"], [(5,), (None,), (None,)])
+    assert decoded("k int, s string") == (["k", "s"], [(5, "x"), (None, None), (None, None)])
+    assert decoded("avro", '{"k": 1}') == (["k"], [(5,), (None,), (None,)])
+    text = (["value"], [('{"k": 5, "s": "x"}',), ("not json",), (None,)])
+    assert decoded(None, '{"k": 1}') == decoded("avro") == decoded("avro", "not json") == decoded({"type": "x"}, "[1]") == text
+
+
+def test_element_type_of_landed_pages(spark):
+    landed = pages(spark, [{"data": {"items": []}}, body(1), body(2)])
+    assert payloads.infer_element(landed, "data.items") == "struct<id:bigint>"
+    assert payloads.infer_element(landed, "nowhere") is None
+
+
 def cve_body(number, **extra):
     metric = {"cvssData": {"version": "3.1", "vectorString": "CVSS:3.1/AV:N", "baseScore": 7.5, "baseSeverity": "HIGH"}}
     return {

@@ -221,7 +221,7 @@ def test_schema_files_become_events(spark, tmp_path):
 CONFIG = {
     "kafka_sources": [
         {"name": "events", "streaming_enabled": True, "event_schema": "k int", "value_column": "props"},
-        {"name": "orders"},
+        {"name": "orders", "enabled": False},
     ]
 }
 
@@ -248,12 +248,24 @@ def test_configured_streams_are_graded_and_counted(spark, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "events" / "windows")).agg(F.sum("n")).first()[0] == 937
 
 
+def test_streams_of_messages_are_decoded_before_grading(spark, sf_dir, tmp_path):
+    config = {"kafka_sources": [{"name": "events", "streaming_enabled": True, "value_schema": "k int", "value_column": "props"}]}
+    started = start_graded_streams(
+        spark, config, Run("r", dt.datetime(2024, 2, 1)), str(tmp_path / "out"), str(tmp_path / "c"), trigger=None, read=read_events(sf_dir)
+    )
+    runs.run_available(started["events"])
+    rows = spark.read.parquet(str(tmp_path / "out" / "events" / "rows"))
+    assert rows.where("k IS NOT NULL").count() == 1000
+    assert rows.first()["data_classification"] == "gold"
+
+
 def test_event_mode(spark, sf_dir, tmp_path):
     seen = []
     started = start_event_streams(
-        spark, CONFIG, lambda events, _: seen.append(events.agg(F.sum("k")).first()[0]), str(tmp_path), trigger=None,
-        read=read_events(sf_dir),
+        spark, CONFIG, lambda events, _: seen.append(events.where("source_name = 'events'").agg(F.sum("k")).first()[0]),
+        str(tmp_path), trigger=None, read=read_events(sf_dir),
     )
+    assert list(started) == ["events"]
     runs.run_available(started["events"])
     expected = views.table(spark, sf_dir, "events").agg(F.sum(F.get_json_object("props", "$.k").cast("int"))).first()[0]
     assert sum(seen) == expected
