@@ -38,21 +38,34 @@ def score_text(score: Column) -> Column:
     return F.when(score.isNotNull(), F.format_string("%.4f", F.round(score, 4))).otherwise(F.lit("N/A"))
 
 
+# The texts of ages and of monitoring events.
+AGE_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+EVENT_RECEIVED = "Event received"
+SOURCE_DONE = "Source successfully processed"
+SOURCE_FAILED = "Source failed processing"
+SCHEMA_UPDATED = "Schema '%s' updated"
+SCHEMA_EVOLVED = "Schema '%s' evolved to version %s"
+EVOLUTION_REQUESTED = "Evolution requested for schema '%s'"
+RUN_DONE = "Processed %s records"
+RUN_GOLD = " (%s gold)"
+SOURCE_RECORDS = " %s records"
+
+
 def elapsed_text(moment: Column, as_of: Column) -> Column:
     """Age of ``moment`` as text in the largest unit that fits; seconds have no singular form."""
     micros = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(moment.cast("timestamp"))
     seconds = F.floor(micros / F.lit(1_000_000))
 
-    def phrase(size: int, unit: str) -> Column:
-        n = F.floor(seconds / F.lit(size))
+    def phrase(unit: str) -> Column:
+        n = F.floor(seconds / F.lit(AGE_UNITS[unit]))
         return F.concat(n.cast("string"), F.when(n == 1, F.lit(f" {unit} ago")).otherwise(F.lit(f" {unit}s ago")))
 
     return (
         F.when(moment.isNull(), F.lit(""))
-        .when(seconds < 60, F.concat(seconds.cast("string"), F.lit(" seconds ago")))
-        .when(seconds < 3600, phrase(60, "minute"))
-        .when(seconds < 86400, phrase(3600, "hour"))
-        .otherwise(phrase(86400, "day"))
+        .when(seconds < AGE_UNITS["minute"], F.concat(seconds.cast("string"), F.lit(" seconds ago")))
+        .when(seconds < AGE_UNITS["hour"], phrase("minute"))
+        .when(seconds < AGE_UNITS["day"], phrase("hour"))
+        .otherwise(phrase("day"))
     )
 
 
@@ -74,43 +87,28 @@ def event_message(
     version: Column | None = None,
 ) -> Column:
     """One line of text per monitoring event; columns that do not apply to an event are null."""
-    nothing = F.lit(None)
-    text = nothing.cast("string")
-    message = text if message is None else message
-    status = text if status is None else status
-    schema_event = text if schema_event is None else schema_event
-    schema_name = text if schema_name is None else schema_name
-    version = text if version is None else version
-    records_processed = nothing.cast("bigint") if records_processed is None else records_processed
-    gold_count = nothing.cast("bigint") if gold_count is None else gold_count
-    record_count = nothing.cast("bigint") if record_count is None else record_count
-
-    plain = F.coalesce(message, F.lit("Event received"))
-    run = F.concat(
-        F.lit("Processed "),
-        count_text(records_processed),
-        F.lit(" records"),
-        F.when(gold_count > 0, F.concat(F.lit(" ("), count_text(gold_count), F.lit(" gold)"))).otherwise(F.lit("")),
-    )
-    source = F.concat(
-        F.when(status == "success", F.lit("Source successfully processed")).otherwise(F.lit("Source failed processing")),
-        F.when(record_count != 0, F.concat(F.lit(" "), count_text(record_count), F.lit(" records"))).otherwise(F.lit("")),
-    )
+    def given(column: Column | None, kind: str = "string") -> Column:
+        return F.lit(None).cast(kind) if column is None else column
+
+    message, status, schema_event = given(message), given(status), given(schema_event)
+    schema_name, version = given(schema_name), given(version)
+    records_processed, gold_count = given(records_processed, "bigint"), given(gold_count, "bigint")
+    record_count = given(record_count, "bigint")
+
+    plain = F.coalesce(message, F.lit(EVENT_RECEIVED))
+    gold = F.when(gold_count > 0, F.format_string(RUN_GOLD, count_text(gold_count))).otherwise(F.lit(""))
+    run = F.concat(F.format_string(RUN_DONE, count_text(records_processed)), gold)
+    outcome = F.when(status == "success", F.lit(SOURCE_DONE)).otherwise(F.lit(SOURCE_FAILED))
+    records = F.when(record_count != 0, F.format_string(SOURCE_RECORDS, count_text(record_count))).otherwise(F.lit(""))
     schema = (
-        F.when(schema_event == "schema_updated", F.concat(F.lit("Schema '"), schema_name, F.lit("' updated")))
-        .when(
-            schema_event == "schema_evolved",
-            F.concat(F.lit("Schema '"), schema_name, F.lit("' evolved to version "), version),
-        )
-        .when(
-            schema_event == "evolution_requested",
-            F.concat(F.lit("Evolution requested for schema '"), schema_name, F.lit("'")),
-        )
+        F.when(schema_event == "schema_updated", F.format_string(SCHEMA_UPDATED, schema_name))
+        .when(schema_event == "schema_evolved", F.format_string(SCHEMA_EVOLVED, schema_name, version))
+        .when(schema_event == "evolution_requested", F.format_string(EVOLUTION_REQUESTED, schema_name))
         .otherwise(plain)
     )
     return (
         F.when((event_type == "metrics") & records_processed.isNotNull(), run)
-        .when((event_type == "source_status") & status.isNotNull(), source)
+        .when((event_type == "source_status") & status.isNotNull(), F.concat(outcome, records))
         .when((event_type == "schema_event") & schema_event.isNotNull(), schema)
         .otherwise(plain)
     )
