@@ -87,6 +87,7 @@ def start_event_streams(
     checkpoint: str,
     trigger: str | None = "1 second",
     read: Read = read_kafka_stream,
+    label: str = "events",
 ) -> dict[str, StreamingQuery]:
     """Event mode, for every enabled message source: the decoded events reach ``callback`` batch by batch.
 
@@ -98,7 +99,7 @@ def start_event_streams(
             callback(stamp_events(events, source["name"]), batch_id)
 
         handler = per_event(source["event_schema"], stamped, source.get("value_column", "value"))
-        return start_sink(stream, f"events-{source['name']}", checkpoint, trigger=trigger, handler=handler)
+        return start_sink(stream, f"{label}-{source['name']}", checkpoint, trigger=trigger, handler=handler)
 
     sources = [s for family, s in all_sources(config) if family == "kafka"]
     return {s["name"]: start(read(spark, s), s) for s in sources}

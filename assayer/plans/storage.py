@@ -24,7 +24,7 @@ from assayer.plans.scores import (
 )
 from assayer.plans.views import CUSTOMER_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
 from assayer.session import fresh_path
-from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table
+from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table, write_with_fallback
 from assayer.sources.catalog import read_table
 
 SCHEMAS = {("sales_transactions", 1): SALES_V1, ("customer_data", 1): CUSTOMER_V1}
@@ -172,3 +172,15 @@ def rejected_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_name", "run_id", "column_name", "severity", F.lit(rows).cast("bigint").alias("rejected_rows")
     )
 
+
+
+@register(
+    "tier_fallback",
+    f"SELECT seq, 'files' AS written_as, 'silver' AS classification_level FROM {SOURCE_RUNS}",
+)
+def tier_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table store is not there, so the data goes to files."""
+    runs = views.source_runs(spark, sf_dir).select("seq")
+    database = f"absent_{uuid.uuid4().hex}"
+    kind, where = write_with_fallback(runs, "silver", "source-runs", tier_folders(spark), RUN_AT, database=database)
+    return spark.read.parquet(where).select("seq", F.lit(kind).alias("written_as"), "classification_level")

@@ -7,12 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayer.operators.checks import fields_conform
 from assayer.plans import views
+from assayer.plans.batch import Run
 from assayer.plans.catalog import register
+from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2
+from assayer.plans.live import grade_and_write_batches, start_event_streams
 from assayer.plans.scores import FEED_SCORES, FEED_SPEC, TIER_SQL, rounded_tiers
-from assayer.plans.views import AS_OF, EVENT_SRC, RUN_AT
+from assayer.plans.views import AS_OF, CUSTOMER_SRC, DECLARED_FIELDS, EVENT_SRC, RUN_AT
 from assayer.session import fresh_path
-from assayer.streaming import batches, windows
+from assayer.streaming import batches, schema_changes, windows
 from assayer.streaming.runs import read_table_stream, run_available, start_sink
 
 TUMBLING_SQL = """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n,
@@ -162,3 +166,108 @@ def stream_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return spark.read.parquet(path).agg(F.sum("row_count").alias("row_count"))
+
+
+@register(
+    "stream_columns",
+    f"""SELECT customer_id, true AS fits_v1, false AS fits_v2 FROM {CUSTOMER_SRC}""",
+)
+def stream_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema flags of a stream's records: the feed fits the first version of its schema, not the second."""
+    path = fresh_path(spark, "flagged")
+    feed = views.as_customer_src(read_table_stream(spark, sf_dir, "customer"))
+    first = batches.add_stream_columns(feed, CUSTOMER_V1).withColumnRenamed("_schema_valid", "fits_v1")
+    second = first.withColumn("fits_v2", F.lit(fields_conform(feed.schema, CUSTOMER_V2)))
+    run_available(
+        start_sink(second, query_name("flags"), fresh_path(spark, "checkpoint"), trigger=None, handler=batches.write_batches(path))
+    )
+    return spark.read.parquet(path).select("customer_id", "fits_v1", "fits_v2")
+
+
+@register(
+    "stream_event_mode",
+    f"""SELECT event_id, 'user_events' AS source_name, CAST(json_extract_string(payload, '$.k') AS INT) AS k FROM {EVENT_SRC}
+ WHERE payload IS NULL OR payload <> 'not json'""",
+)
+def stream_event_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "events")
+    config = {"kafka_sources": [{"name": "user_events", "event_schema": "k int", "value_column": "payload"}]}
+    started = start_event_streams(
+        spark,
+        config,
+        lambda events, batch_id: batches.overwrite_batch(events.select("event_id", "source_name", "k"), path, batch_id),
+        fresh_path(spark, "checkpoint"),
+        trigger=None,
+        read=lambda spark, _: views.as_event_src(read_table_stream(spark, sf_dir, "events")),
+        label=uuid.uuid4().hex,
+    )
+    for query in started.values():
+        run_available(query)
+    return spark.read.parquet(path).drop("batch_id")
+
+
+@register(
+    "stream_full_grading",
+    f"""WITH m AS (SELECT count(*) AS n, 1.0e0 - sum(CASE WHEN payload IS NULL THEN 1 ELSE 0 END) / (count(*) * 5.0e0) AS c,
+  1.0e0 - count(*) FILTER (WHERE NOT (value BETWEEN 1 AND 100)) / (count(*) * 5.0e0) AS a,
+  greatest(0.0e0, least(1.0e0, 1.0e0 - avg(date_diff('day', CAST(ts AS DATE), DATE '2024-02-01')) / 60)) AS t FROM {EVENT_SRC})
+ SELECT event_id, {TIER_SQL} AS data_classification, round(c, 6) AS metric_completeness, true AS schema_valid FROM {EVENT_SRC}, m""",
+)
+def stream_full_grading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "full")
+    source = {
+        "name": "feeds",
+        "validation_rules": {"value": {"min": 1, "max": 100}},
+        "datetime_column": "ts",
+        "classification_rules": {"timeliness": 60},
+    }
+    run_available(
+        start_sink(
+            views.as_event_src(read_table_stream(spark, sf_dir, "events")),
+            query_name("full"),
+            fresh_path(spark, "checkpoint"),
+            trigger=None,
+            handler=grade_and_write_batches(path, source, Run("run-1", RUN_AT)),
+        )
+    )
+    return spark.read.parquet(f"{path}/rows").select(
+        "event_id", "data_classification", F.round("metric_completeness", 6).alias("metric_completeness"), "schema_valid"
+    )
+
+
+@register(
+    "stream_schema_changes",
+    f"""WITH d AS (SELECT * FROM {DECLARED_FIELDS}),
+ v AS (SELECT DISTINCT schema_name, version FROM d),
+ old AS (SELECT schema_name, max(version) AS version FROM v WHERE version <= 6 GROUP BY schema_name),
+ l AS (SELECT v.schema_name, v.version, d.name, d.type, d.nullable FROM v JOIN old ON old.schema_name = v.schema_name AND v.version > 6
+       JOIN d ON d.schema_name = old.schema_name AND d.version = old.version),
+ r AS (SELECT schema_name, version, name, type, nullable FROM d)
+ SELECT coalesce(l.schema_name, r.schema_name) AS schema_name, coalesce(l.version, r.version) AS version, coalesce(l.name, r.name) AS field,
+  CASE WHEN l.name IS NULL THEN 'add' WHEN r.name IS NULL THEN 'remove' ELSE 'modify' END AS change
+ FROM l FULL OUTER JOIN r ON l.schema_name = r.schema_name AND l.version = r.version AND l.name = r.name
+ WHERE l.name IS NULL OR r.name IS NULL OR l.type <> r.type OR l.nullable <> r.nullable""",
+)
+def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema versions land in two waves; each new one is compared with the newest one known before."""
+    landed, checkpoint, known, events = (fresh_path(spark, label) for label in ("schemas", "checkpoint", "registry", "changes"))
+    definitions = (
+        views.declared_fields(spark, sf_dir)
+        .groupBy("schema_name", "version")
+        .agg(F.array_sort(F.collect_list(F.struct("name", "type", "nullable"))).alias("fields"))
+        .select("version", F.to_json(F.struct(F.col("schema_name").alias("name"), "version", "fields")).alias("value"))
+    )
+    name = query_name("schemas")
+    for wave in (F.col("version") <= 6, F.col("version") > 6):
+        # One file per definition: a record of its own in a file of its own.
+        definitions.where(wave).select("value").write.mode("append").option("maxRecordsPerFile", 1).text(landed)
+        run_available(
+            start_sink(
+                schema_changes.schema_file_stream(spark, landed, "*.txt"),
+                name,
+                checkpoint,
+                trigger=None,
+                handler=schema_changes.record_schema_changes(known, events),
+            )
+        )
+    return schema_changes.changed_fields(spark.read.parquet(events))

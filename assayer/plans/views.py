@@ -28,9 +28,13 @@ def padded(value: Column, width: int) -> Column:
 
 
 def customer_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_customer_src(table(spark, sf_dir, "customer"))
+
+
+def as_customer_src(customers: DataFrame) -> DataFrame:
     """Customer feed: null names and phones, malformed mails and phones, empty addresses, NaN balances."""
     key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    return customers.select(
         F.concat(F.lit("CUST-"), padded(key, 6)).alias("customer_id"),
         F.when(key % 13 != 0, F.col("c_name")).alias("name"),
         F.when(key % 9 == 0, "bad.address")

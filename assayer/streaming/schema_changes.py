@@ -13,19 +13,24 @@ from assayer.operators.registry import FIELD_TYPE, both_sides
 from assayer.streaming.batches import overwrite_batch
 
 
-def schema_file_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed schema versions, ``<folder>/<schema>/v<n>.json``, one row per file."""
+def schema_file_stream(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """Landed schema versions, one per file, as ``<folder>/<schema>/v<n>.json``.
+
+    What the path does not tell is taken from the ``name`` and ``version`` in the file.
+    """
     files = (
         spark.readStream.format("text")
         .option("wholetext", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
         .select("value", "_metadata.file_path")
     )
+    in_path = F.regexp_extract("file_path", "([^/]+)/v[0-9]+[.]json$", 1)
+    number = F.regexp_extract("file_path", "/v([0-9]+)[.]json$", 1)
     return files.select(
-        F.regexp_extract("file_path", "([^/]+)/[^/]+$", 1).alias("schema_name"),
-        F.regexp_extract("file_path", "v([0-9]+)[.]json$", 1).cast("int").alias("version"),
+        F.when(in_path != "", in_path).otherwise(F.get_json_object("value", "$.name")).alias("schema_name"),
+        F.when(number != "", number).otherwise(F.get_json_object("value", "$.version")).cast("int").alias("version"),
         F.col("value").alias("definition"),
     )
 
