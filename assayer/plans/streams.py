@@ -259,11 +259,10 @@ def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     name = query_name("schemas")
     for wave in (F.col("version") <= 6, F.col("version") > 6):
-        # One file per definition: a record of its own in a file of its own.
-        definitions.where(wave).select("value").write.mode("append").option("maxRecordsPerFile", 1).text(landed)
+        definitions.where(wave).select("value").write.mode("append").text(landed)
         run_available(
             start_sink(
-                schema_changes.schema_file_stream(spark, landed, "*.txt"),
+                schema_changes.schema_file_stream(spark, landed, "*.txt", one_per_file=False),
                 name,
                 checkpoint,
                 trigger=None,

@@ -13,14 +13,14 @@ from assayer.operators.registry import FIELD_TYPE, both_sides
 from assayer.streaming.batches import overwrite_batch
 
 
-def schema_file_stream(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
-    """Landed schema versions, one per file, as ``<folder>/<schema>/v<n>.json``.
+def schema_file_stream(spark: SparkSession, folder: str, pattern: str = "*.json", one_per_file: bool = True) -> DataFrame:
+    """Landed schema versions, one per file as ``<folder>/<schema>/v<n>.json``, or one per line.
 
-    What the path does not tell is taken from the ``name`` and ``version`` in the file.
+    What the path does not tell is taken from the ``name`` and ``version`` in the definition.
     """
     files = (
         spark.readStream.format("text")
-        .option("wholetext", "true")
+        .option("wholetext", str(one_per_file).lower())
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
