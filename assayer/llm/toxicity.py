@@ -21,19 +21,21 @@ from assayer.llm.common import held_out, per_batch, raw, sampled
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 SHOUT = re.compile(rb"[A-Z]{4,}[^a-z]{0,4}[A-Z]{4,}")
 BANGS = re.compile(rb"!{2,}")
-PREFIXES = (4, 6)
+PREFIXES = (3, 4, 5, 6)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the fit: labelled rows sampled, terms kept, voters of each kind, least documents of a term."""
+    """Bounds of the fit: labelled rows sampled, terms kept, voters of each kind, least documents of a term,
+    least log odds (2.6 standard errors taken off) of a feature and of a voter's term, trust in a labeller."""
 
     rows: int = 20_000
     terms: int = 8_000
     lexicons: int = 6
     patterns: int = 4
     least: int = 3
-    strong: float = 2.0
+    surely: float = 0.3
+    accusing: float = 1.0
     gold: float = 0.97
 
 
@@ -109,18 +111,18 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, tru
     return model
 
 
-def fit_linear(rows: list[np.ndarray], target: np.ndarray, width: int, rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[np.ndarray], target: np.ndarray, width: int, rounds: int = 1000) -> tuple[np.ndarray, float]:
     """Logistic regression on sets of features with soft targets; weight decay; full-batch gradients with momentum."""
     flat = np.concatenate([*rows, np.empty(0, dtype=np.int64)]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     rate = float(np.clip(target.mean(), 1e-4, 1 - 1e-4)) if len(target) else 0.01
     w, bias, speed, pull = np.zeros(width), math.log(rate / (1 - rate)), np.zeros(width), 0.0
     heavy = np.bincount(flat, minlength=width) / max(len(rows), 1)
-    step = 1.0 / (0.25 * heavy * 30 + 2e-3)  # a diagonal bound of the curvature
+    step = 1.0 / (0.25 * heavy * 12 + 1e-3)  # a diagonal bound of the curvature
     for _ in range(rounds):
         score = bias + np.bincount(owner, w[flat], minlength=len(rows))
         gap = 1 / (1 + np.exp(-np.clip(score, -50, 50))) - target
-        grad = np.bincount(flat, gap[owner], minlength=width) / max(len(rows), 1) + 2e-4 * w
+        grad = np.bincount(flat, gap[owner], minlength=width) / max(len(rows), 1) + 2e-5 * w
         speed = 0.9 * speed - 0.1 * step * grad
         pull = 0.9 * pull - 0.1 * 4.0 * (gap.mean() if len(gap) else 0.0)
         w, bias = w + speed, bias + pull
@@ -152,7 +154,7 @@ class Features:
         return found
 
     def __call__(self, text: bytes) -> tuple[list[int], int]:
-        """(sorted term numbers, votes as bits)"""
+        """(numbers of the terms and, after them, of the mined voters that found one; votes as bits)"""
         ids = sorted({i for w in set(WORD.findall(text.lower())) for i in self.of_word(w)})
         bits = 0
         for i in ids:
@@ -160,6 +162,7 @@ class Features:
                 bits |= 1 << self.votes[i]
         bits |= (SHOUT.search(text) is not None) << self.count
         bits |= (BANGS.search(text) is not None) << (self.count + 1)
+        ids.extend(len(self.votes) + j for j in range(self.count) if bits >> j & 1)
         return ids, bits
 
 
@@ -222,12 +225,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settin
     by_term = chosen.mapInArrow(count_terms, "term binary, gold int, n bigint").groupBy("term").agg(
         F.sum(F.when(F.col("gold") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("gold") == 0, F.col("n")).otherwise(0)).alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (F.lit(float(bad)) + 1)) - F.log((F.col("good") + 0.5) / (F.lit(float(good)) + 1))
-    weighty = F.abs(odds) * F.sqrt(F.col("bad") + F.col("good"))
-    kept = by_term.where(F.col("bad") + F.col("good") >= settings.least).withColumn("odds", odds).orderBy(weighty.desc(), "term").limit(settings.terms).collect()
+    surely = F.abs(odds) - 2.6 * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+    told = by_term.where(F.col("bad") + F.col("good") >= settings.least).select("term", (F.signum(odds) * surely).alias("sure"), surely.alias("size"))
+    kept = told.where(F.col("size") >= settings.surely).orderBy(F.desc("size"), "term").limit(settings.terms).collect()
     terms = [bytes(r["term"]) for r in kept]
-    accusing = [(bytes(r["term"]), r["odds"]) for r in kept if r["odds"] >= settings.strong]
-    words = [t for t, _ in accusing if t[:1] != b"^"]
-    starts = [t for t, _ in accusing if t[:1] == b"^"]
+    accusing = [bytes(r["term"]) for r in kept if r["sure"] >= settings.accusing]
+    words = [t for t in accusing if t[:1] != b"^"]
+    starts = [t for t in accusing if t[:1] == b"^"]
     count = settings.lexicons + settings.patterns
     voters = {t: i % settings.lexicons for i, t in enumerate(words)} | {t: settings.lexicons + i % settings.patterns for i, t in enumerate(starts)}
 
@@ -256,7 +260,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settin
     bits, gold = np.array([k[0] for k in keys], dtype=int), np.array([k[1] for k in keys], dtype=int)
     model = fit_label_model(bits_to_votes(bits, count + 2), gold, np.array([patterns[k] for k in keys]), settings.gold)
     target = model.posterior(bits_to_votes(np.array([b for b, _ in labelled], dtype=int), count + 2), np.array([g for _, g in labelled], dtype=int), settings.gold)
-    weights, bias = fit_linear([np.array(r["ids"], dtype=np.int64) for r in rows], target, max(len(terms), 1))
+    weights, bias = fit_linear([np.array(r["ids"], dtype=np.int64) for r in rows], target, len(terms) + count)
     return Toxicity(terms, voters, count, weights, bias, model)
 
 
