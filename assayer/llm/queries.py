@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
+from assayer.llm import linedup
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -21,8 +23,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, fit_languages(docs))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", F.col("_removed").alias("n_removed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_line_dedup": linedup.SQL}
