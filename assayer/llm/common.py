@@ -57,3 +57,14 @@ def sampled(df: DataFrame, key: str, rows: int, counted: int) -> DataFrame:
     if counted <= rows:
         return df
     return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) < int(1_000_000 * rows / counted))
+
+
+def kept(name: str, make: Callable):
+    """What a Python worker keeps between its tasks under a name; made where it is missing."""
+    import sys
+    from types import ModuleType
+
+    home = sys.modules.setdefault("assayer_kept", ModuleType("assayer_kept")).__dict__
+    if name not in home:
+        home[name] = make()
+    return home[name]

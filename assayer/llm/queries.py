@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import linedup
+from assayer.llm import decontam, linedup, packing
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -23,14 +23,28 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, fit_languages(docs))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "text", F.col("_removed").alias("n_removed"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
+    "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op9_line_dedup": linedup.SQL}
+ORACLES: dict[str, str] = {"op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL}
