@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, linedup, packing
+from assayer.llm import decontam, linedup, lmscore, packing, quality, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -23,6 +23,35 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, fit_languages(docs))
 
 
+# The rules of the query, fixed values.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document whose id is the first number of its path."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    _, path = urlfilter.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, r"/([0-9]{1,18})", 1)
+    linked = pages.select("page_id", F.when(number != "", number.cast("bigint")).alias("doc_id"))
+    bad = labels.select("doc_id", F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0).alias("bad"))
+    return urlfilter.judge_urls(pages, linked.join(bad, "doc_id").select("page_id", "bad"), URL_RULES)
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lmscore.score_texts(docs, lmscore.fit_language_model(docs))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -43,6 +72,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_url_filters": op3_url_filters,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
