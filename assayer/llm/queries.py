@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, linedup, lmscore, packing, quality, urlfilter
+from assayer.llm import decontam, jaccard, linedup, lmscore, packing, quality, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -48,6 +48,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_texts(docs, lmscore.fit_language_model(docs))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,9 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_url_filters": op3_url_filters,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL}
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL}
