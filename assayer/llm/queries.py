@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, jaccard, linedup, lmscore, packing, quality, urlfilter
+from assayer.llm import decontam, jaccard, linedup, lmscore, packing, quality, spans, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -52,6 +52,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = spans.remove_repeated_spans(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filters": op3_url_filters,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
