@@ -278,8 +278,8 @@ def keep_one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     Documents without a word all stay, and so do rows without an id. Of rows that repeat an id one stays.
     """
     found = jaccard_components(docs.where("doc_id is not null"), size, percent)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
-    kept_rows = docs.join(landed(stays, "stays").hint("shuffle_hash"), docs["doc_id"] == F.col("_stays"), "left_semi").dropDuplicates(["doc_id"])
+    stays = landed(found.where("doc_id = component_id").select("doc_id").distinct(), "stays").hint("shuffle_hash")
+    kept_rows = docs.join(stays, docs["doc_id"] == stays["doc_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept_rows.unionByName(docs.where("doc_id is null"))
 
 

@@ -133,19 +133,20 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return copies.unionByName(near)
 
 
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with the columns it has, ``text`` without the lines that go, and ``_removed``, their number.
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, count_as: str | None = None) -> DataFrame:
+    """``docs`` with the columns it has and ``text`` without the lines that go; ``count_as`` names a column for their number.
 
     Lines are parted by ``\\n``. Lines without a word always stay; lines of fewer than ``least_words`` words go
     only if an earlier one has the same words. No document goes: one whose lines all go keeps an empty text,
     null stays null. Equal rows have the same places, so each keeps what the first keeps; rows without an id
     come before all others.
     """
-    gone = removals(docs, least_words).groupBy(F.col("doc_id").alias("_of"), F.col("mark").alias("_mark")).agg(F.collect_set("line_no").alias("_gone")).hint("shuffle_hash")
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_of"]) & (F.xxhash64(docs["text"]) == gone["_mark"]), "left")
-    kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), docs["text"]).otherwise(kept)
-    return joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns), F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"))
+    gone = removals(docs, least_words).groupBy(F.col("doc_id").alias("of"), F.col("mark").alias("of_mark")).agg(F.collect_set("line_no").alias("numbers")).hint("shuffle_hash")
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["of"]) & (F.xxhash64(docs["text"]) == gone["of_mark"]), "left")
+    kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda line, i: ~F.array_contains(gone["numbers"], i)), "\n")
+    text = F.when(gone["numbers"].isNull(), docs["text"]).otherwise(kept)
+    count = [F.coalesce(F.size(gone["numbers"]), F.lit(0)).alias(count_as)] if count_as else []
+    return joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns), *count)
 
 
 SQL = r"""
@@ -167,7 +168,7 @@ WITH split_lines AS (
   SELECT l.doc_id, l.line_no, l.line, l.norm <> '' AND ((l.doc_id, l.line_no) <> f.place OR f.place IN (SELECT place FROM near)) AS gone
   FROM lines l LEFT JOIN firsts f ON l.norm = f.norm
 )
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT coalesce(gone, false)), '') AS text,
+SELECT d.doc_id, CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT coalesce(gone, false)), '') END AS text,
        CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_removed
-FROM judged GROUP BY doc_id
+FROM documents d LEFT JOIN judged USING (doc_id) GROUP BY d.doc_id
 """

@@ -53,8 +53,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = spans.remove_repeated_spans(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+    kept = spans.remove_repeated_spans(table(spark, sf_dir, "documents"), count_as=("n_sentences", "n_removed"))
+    return kept.select("doc_id", "text", "n_sentences", "n_removed")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +70,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = linedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "text", F.col("_removed").alias("n_removed"))
+    return linedup.dedup_lines(table(spark, sf_dir, "documents"), count_as="n_removed").select("doc_id", "text", "n_removed")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

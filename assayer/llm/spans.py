@@ -139,14 +139,15 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     return landed(texts.mapInArrow(prepare, "bucket int, doc bigint, mark bigint, data binary").groupBy("bucket").applyInArrow(join, "doc bigint, mark bigint, data binary"), "repeated-spans")
 
 
-def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with the columns it has, ``text`` without removed sentences, ``_sentences`` and ``_removed``, their numbers.
+def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, count_as: tuple[str, str] | None = None) -> DataFrame:
+    """``docs`` with the columns it has and ``text`` without removed sentences.
 
-    No document goes: one whose sentences all go keeps an empty text, null stays null. Equal rows keep the same;
-    rows without an id come before all others.
+    ``count_as`` names columns for the numbers of all and of removed sentences. No document goes: one whose
+    sentences all go keeps an empty text, null stays null. Equal rows keep the same; rows without an id come
+    before all others.
     """
-    gone = repeated(docs, least_words).groupBy("doc", "mark").agg(F.collect_list("data").alias("_data")).select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "_data").hint("shuffle_hash")
-    joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)) == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left")
+    gone = repeated(docs, least_words).groupBy("doc", "mark").agg(F.collect_list("data").alias("pairs")).hint("shuffle_hash")
+    joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)) == gone["doc"]) & (F.xxhash64(docs["text"]) == gone["mark"]), "left")
 
     @F.pandas_udf("text string, sentences int, removed int")
     def cleaned(texts, lists):
@@ -167,5 +168,6 @@ def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> Da
             rows.append((text if stays.all() else "".join(p for p, s in zip(pieces, stays, strict=True) if s), len(pieces), int((~stays).sum())))
         return pd.DataFrame(rows, columns=["text", "sentences", "removed"])
 
-    found = joined.withColumn("_clean", cleaned(docs["text"], F.col("_data")))
-    return found.select(*(F.col("_clean.text").alias(c) if c == "text" else docs[c] for c in docs.columns), F.col("_clean.sentences").alias("_sentences"), F.col("_clean.removed").alias("_removed"))
+    found = joined.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), cleaned(docs["text"], gone["pairs"]).alias("clean"))
+    counts = [F.col(f"clean.{c}").alias(name) for c, name in zip(("sentences", "removed"), count_as or (), strict=False)]
+    return found.select(*(F.col("clean.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns), *counts)
