@@ -65,7 +65,7 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(joint[:, 0] - joint[:, 1], -50, 50)))
 
 
-def dependencies(votes: np.ndarray, weight: np.ndarray, p: np.ndarray, least: float = 1e-3) -> list[int]:
+def dependencies(votes: np.ndarray, weight: np.ndarray, p: np.ndarray, least: float) -> list[int]:
     """Each voter's parent (-1: none): the strongest tree of mutual information given the label."""
     m = votes.shape[1]
     strength = np.zeros((m, m))
@@ -88,7 +88,7 @@ def dependencies(votes: np.ndarray, weight: np.ndarray, p: np.ndarray, least: fl
     return parents
 
 
-def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, trust: float, rounds: int = 30) -> LabelModel:
+def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, trust: float, rounds: int = 500) -> LabelModel:
     """Expectation maximisation over distinct vote patterns; ``gold`` is -1 where nobody labelled."""
     model, m = LabelModel(), votes.shape[1]
     known = gold >= 0
@@ -96,8 +96,10 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, tru
     p = np.where(gold >= 0, np.where(gold == 1, trust, 1 - trust), np.clip(rate + 0.3 * (votes.sum(1) > 1), 0.01, 0.9))
     for turn in range(rounds):
         model.prior = float(np.clip((weight * p).sum() / max(weight.sum(), 1e-9), 1e-4, 0.9999))
-        if turn % 10 == 0:
-            model.parents = dependencies(votes, weight, p) if m else []
+        if turn == 0:
+            # only where the label is known does a common cause not look like a dependency
+            seen = weight * known
+            model.parents = dependencies(votes, seen, p, max(2e-3, 10 / max(seen.sum(), 1.0))) if m else []
         model.tables = np.full((m, 2, 2), 0.5)
         for j, parent in enumerate(model.parents):
             seen = votes[:, parent] if parent >= 0 else np.zeros(len(votes), dtype=int)
@@ -107,7 +109,9 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, tru
                     here = w * (seen == s)
                     model.tables[j, y, s] = ((here * votes[:, j]).sum() + 0.5) / (here.sum() + 1.0)
         model.tables = np.clip(model.tables, 1e-6, 1 - 1e-6)
-        p = model.posterior(votes, gold, trust)
+        last, p = p, model.posterior(votes, gold, trust)
+        if turn and np.abs(p - last).max() < 1e-6:
+            break
     return model
 
 
