@@ -43,6 +43,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--streaming", action="store_true", help="run the streaming sources instead")
     parser.add_argument("--event-mode", action="store_true", help="with --streaming: log events instead of grading batches")
     parser.add_argument("--trigger-interval", default=TRIGGER)
+    parser.add_argument("--window", help="with --streaming: count events in windows of this length instead of grading batches")
+    parser.add_argument("--slide", help="distance of the windows' starts, their length unless given")
     parser.add_argument("--verbose", action="store_true")
     return parser.parse_args(arguments)
 
@@ -58,6 +60,9 @@ def run_of(config: dict[str, Any]) -> Run:
         monitor_path=config.get("monitor_path"),
         documents_path=config.get("documents_path"),
         registry_path=config.get("registry_path"),
+        state_path=config.get("state_path"),
+        tables=config.get("tier_tables"),
+        profile=bool(config.get("profile", False)),
     )
 
 
@@ -77,9 +82,10 @@ def main(arguments: list[str] | None = None) -> None:
         return
     checkpoint = config["checkpoint_path"]
     if args.event_mode:
-        queries = start_event_streams(spark, config, log_events, checkpoint, args.trigger_interval)
+        dead = f"{config['stream_path']}/dead_letters" if config.get("stream_path") else None
+        queries = start_event_streams(spark, config, log_events, checkpoint, args.trigger_interval, dead_letters=dead)
     else:
-        queries = start_graded_streams(spark, config, run, config["stream_path"], checkpoint, args.trigger_interval)
+        queries = start_graded_streams(spark, config, run, config["stream_path"], checkpoint, args.trigger_interval, args.window, args.slide)
     while any(q.isActive for q in queries.values()):
         spark.streams.awaitAnyTermination(60)
         stream_status(spark, queries.values()).show(truncate=False)

@@ -58,6 +58,12 @@ def read_paths(payload: Column, leaves: Mapping[str, str]) -> dict[str, Column]:
     return found
 
 
+def is_json_null(payload: Column, path: str) -> Column:
+    """Whether a JSON null stands at a dotted path; a missing key is none."""
+    found = F.try_variant_get(F.try_parse_json(payload), json_path(path), "variant")
+    return F.coalesce(F.is_variant_null(found), F.lit(False))
+
+
 def is_truthy(found: Column) -> Column:
     """Whether a JSON value counts as yes: not missing, false, zero, empty text, list or object."""
     return F.coalesce(~found.isin("false", "0", "0.0", "", "null", "[]", "{}"), F.lit(False))

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.session import broadcast_if_small, cut_lineage
-
-ROWS_PER_SLICE = 1_000_000
+from assayer.session import cut_lineage
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -29,24 +27,16 @@ def newest_rows(df: DataFrame, order: Sequence[str], limit: int, where: Column |
     return rows.orderBy(*[F.desc(c) for c in order]).limit(limit)
 
 
-def running_total(
-    df: DataFrame,
-    value: str,
-    order: Sequence[str],
-    result: str,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def running_total(df: DataFrame, value: str, order: Sequence[str], result: str, slices: int | None = None) -> DataFrame:
     """Cumulative sum over the whole dataset in a total order.
 
-    A window without partitions would pull all rows into one task. Beyond ``rows_per_slice``
-    rows the data is cut into consecutive ranges of the order, each range is summed up on its
-    own, and what the ranges before it add up to is put on top. ``order`` must identify a row,
-    so that rows of one moment can be told apart and spread as well.
+    A window without partitions would pull all rows into one task. So the data is cut into
+    consecutive ranges of the order, as many as shuffles have partitions unless ``slices`` says
+    otherwise, each range is summed up on its own, and what the ranges before it add up to is put on
+    top; there is one sum for each range. ``order`` must identify a row, so that rows of one moment
+    can be told apart and spread as well.
     """
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slices = -(-df.count() // rows_per_slice)
-    if slices <= 1:
-        return df.withColumn(result, F.coalesce(F.sum(value).over(running), F.lit(0)))
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Written out, so that range and rows stay as they are however often they are read.
     ranged = cut_lineage(df.repartitionByRange(slices, *order).withColumn("__slice", F.spark_partition_id()))
     earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -57,7 +47,7 @@ def running_total(
     )
     within = Window.partitionBy("__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranged.join(broadcast_if_small(before), "__slice")
+        ranged.join(before, "__slice")
         .withColumn(result, F.coalesce(F.sum(value).over(within), F.lit(0)) + F.col("__before"))
         .drop("__slice", "__before")
     )

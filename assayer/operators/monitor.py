@@ -16,7 +16,6 @@ from assayer.operators.tiering import TIERS
 EVENT_LOG_SIZE = 100
 RECENT_SOURCES = 10
 FIRST_SOURCES = 5
-LOG_TAIL = 1000
 
 
 def run_totals(source_runs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -107,9 +106,18 @@ def recent_activity(source_runs: DataFrame, limit: int = RECENT_SOURCES) -> Data
     return newest_rows(source_runs, ["finished_at", "seq"], limit, F.col("finished_at").isNotNull())
 
 
-def first_sources(sources: DataFrame, limit: int = FIRST_SOURCES) -> DataFrame:
-    """The first sources in name order."""
-    return sources.select("source_name").distinct().orderBy("source_name").limit(limit)
+def first_sources(sources: DataFrame, limit: int = FIRST_SOURCES, position: str = "seq") -> DataFrame:
+    """The first sources in the order they are configured in, as told by ``position``."""
+    return sources.groupBy("source_name").agg(F.min(position).alias("at")).orderBy("at").limit(limit).select("source_name")
+
+
+def schema_detail(in_use: DataFrame, latest: DataFrame, fields: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Each schema in use with its newest version, its number of fields and its last change, as far as known."""
+    counted = fields.groupBy("schema_name").agg(F.count(F.lit(1)).alias("field_count"))
+    details = [latest, counted]
+    if events is not None:
+        details.append(events.groupBy("schema_name").agg(F.max("timestamp").alias("changed_at")))
+    return source_detail(in_use, *details, key="schema_name")
 
 
 def recent_events(events: DataFrame, event_type: str | None = None, limit: int = EVENT_LOG_SIZE) -> DataFrame:

@@ -118,11 +118,11 @@ def field_frequencies(df: DataFrame) -> DataFrame:
     return shares.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def preview(df: DataFrame, rows: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(row count, column count and schema text; the first rows), the latter without a full scan."""
+def preview(df: DataFrame, rows: int = 5, order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(row count, column count and schema text; the first rows), the latter in an order or as they come."""
     info = df.agg(F.count(F.lit(1)).alias("row_count")).select(
         "row_count",
         F.lit(len(df.columns)).alias("column_count"),
         F.lit(df.schema.simpleString()).alias("schema_text"),
     )
-    return info, df.limit(rows)
+    return info, (df.orderBy(*order) if order else df).limit(rows)

@@ -37,8 +37,14 @@ FIELD_TYPE = "struct<name:string,type:string,nullable:boolean,default:string,pre
 
 def register_version(spark: SparkSession, table_path: str, definition: SchemaDefinition) -> None:
     """Append one version. The first one may be unversioned (0); it counts as 1 once others follow."""
-    row = (definition.name, definition.version, definition_to_json(definition), datetime.now(timezone.utc))
-    spark.createDataFrame([row], REGISTRY_SCHEMA).write.mode("append").partitionBy("schema_name").parquet(table_path)
+    register_versions(spark, table_path, [definition])
+
+
+def register_versions(spark: SparkSession, table_path: str, definitions: list[SchemaDefinition]) -> None:
+    """Append versions of some schemas in one write."""
+    now = datetime.now(timezone.utc)
+    rows = [(d.name, d.version, definition_to_json(d), now) for d in definitions]
+    spark.createDataFrame(rows, REGISTRY_SCHEMA).write.mode("append").partitionBy("schema_name").parquet(table_path)
 
 
 def read_registry(spark: SparkSession, table_path: str) -> DataFrame:
@@ -77,7 +83,10 @@ def evolve(
     events_path: str | None = None,
 ) -> SchemaDefinition:
     """Apply changes to the latest version, register the result, and note a ``schema_evolved`` event."""
-    evolved = evolve_definition(get_version(spark, table_path, name), changes, new_version)
+    latest = get_version(spark, table_path, name)
+    evolved = evolve_definition(latest, changes, new_version)
+    if evolved.version <= latest.version:  # an unversioned definition counts as version 1
+        raise ValueError(f"schema {name!r} is at version {latest.version} already")
     register_version(spark, table_path, evolved)
     if events_path:
         append_event(spark, events_path, "schema_evolved", name, evolved.version, json.dumps(changes, default=str))
@@ -255,9 +264,14 @@ def append_event(
     moment: datetime | None = None,
 ) -> None:
     """Append one row to the schema event table."""
+    append_events(spark, events_path, [(event_type, schema_name, version, changes, request_id)], moment)
+
+
+def append_events(spark: SparkSession, events_path: str, events: list[tuple], moment: datetime | None = None) -> None:
+    """Append (type, schema name, version, changes, request id) rows to the schema event table in one write."""
     stamp = moment or datetime.now(timezone.utc)
-    row = (str(uuid.uuid4()), event_type, schema_name, version, request_id, changes, stamp)
-    spark.createDataFrame([row], EVENT_SCHEMA).write.mode("append").parquet(events_path)
+    rows = [(str(uuid.uuid4()), kind, name, version, request_id, changes, stamp) for kind, name, version, changes, request_id in events]
+    spark.createDataFrame(rows, EVENT_SCHEMA).write.mode("append").parquet(events_path)
 
 
 def request_evolution(change_rows: DataFrame, schema_name: str, events_path: str) -> str:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.operators.latest import latest_per_key
-from assayer.operators.monitor import LOG_TAIL
 
 # The markers that precede a payload in a log line.
 RUN_MARKER = "Pipeline metrics:"
@@ -22,8 +21,8 @@ SOURCE_SCHEMA = (
 )
 
 
-def parse_lines(lines: DataFrame, tail: int | None = LOG_TAIL) -> DataFrame:
-    """Kind and payload of the newest ``tail`` log lines (all if None), ordered by time and sequence.
+def parse_lines(lines: DataFrame, tail: int | None = None) -> DataFrame:
+    """Kind and payload of all log lines, or of the newest ``tail`` with a payload, by time and sequence.
 
     Lines without a marker or with a payload that is no JSON object (quotes may be single) are
     left out. Payloads are parsed, never evaluated.

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from assayer.operators.scoring import QualitySpec, score
-from assayer.session import broadcast_if_small
 
 TIERS = ("gold", "silver", "bronze", "rejected")
 
@@ -89,7 +88,7 @@ def classify_by_table(
     A group has a handful of thresholds, one per tier and metric, which become one row each.
     """
     measured = F.create_map(*[c for name, value in numeric_metrics(scores).items() for c in (F.lit(name), value.cast("double"))])
-    graded = scores.join(broadcast_if_small(threshold_maps(thresholds, by)), list(by), "left")
+    graded = scores.join(threshold_maps(thresholds, by), list(by), "left")
 
     def holds(name: str) -> Column:
         least = F.map_entries(F.try_element_at("thresholds", F.lit(name)))
@@ -130,15 +129,13 @@ def add_quality_columns(
 def add_group_quality_columns(df: DataFrame, graded: DataFrame, by: Sequence[str]) -> DataFrame:
     """Tier and scores of each record's group, for datasets that arrive together in one frame.
 
-    The grades are materialised and counted; while they are few they are broadcast and the
-    records are not shuffled at all.
+    There is one grade for each group. Spark broadcasts them if their size in bytes, known from the
+    finished aggregate, allows it, and splits large groups if not; nothing is computed beforehand.
     """
-    grades = broadcast_if_small(
-        graded.select(
-            *[F.col(name).alias(f"__{name}") for name in by],
-            "data_classification",
-            *[F.col(name).alias(f"metric_{name}") for name in ("completeness", "accuracy", "timeliness")],
-        )
+    grades = graded.select(
+        *[F.col(name).alias(f"__{name}") for name in by],
+        "data_classification",
+        *[F.col(name).alias(f"metric_{name}") for name in ("completeness", "accuracy", "timeliness")],
     )
     same_group = reduce(and_, [df[name].eqNullSafe(grades[f"__{name}"]) for name in by])
     return df.join(grades, same_group, "left").drop(*[f"__{name}" for name in by])

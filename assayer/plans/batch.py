@@ -10,9 +10,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.text import document_index
@@ -20,25 +21,26 @@ from assayer.operators.checks import check_aggregates, checks_of, result_columns
 from assayer.operators.documents import document_rows, stamp_metrics
 from assayer.operators.monitor import run_totals
 from assayer.operators.profile import profile_columns
-from assayer.operators.registry import append_event, get_version, has_schema, register_version
+from assayer.operators.registry import append_events, get_version, has_schema, register_versions
 from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame, version_number
 from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
-from assayer.session import cut_lineage
+from assayer.session import cut_lineage, fresh_path
 from assayer.sinks.documents import write_documents, write_metrics
-from assayer.sinks.tiers import write_tier_files
+from assayer.sinks.tiers import write_rejected, write_tier_files, write_with_fallback
 from assayer.sources.catalog import read_table
 from assayer.sources.config import all_sources, find_source
 from assayer.sources.cve import filter_cves, published_between, read_cve_pages
 from assayer.sources.files import declared_struct, read_files
 from assayer.sources.jdbc import read_jdbc
-from assayer.sources.kafka import SAMPLE_SIZE, read_kafka_range
+from assayer.sources.incremental import advance_high_water, incremental_scan, load_high_water, retain_days
+from assayer.sources.kafka import read_kafka_range
 from assayer.sources.payloads import (
-    MAX_PAGES,
     csv_payload_rows,
     decode_values,
     infer_element,
     normalise_pages,
+    split_decoded,
     xml_payload_rows,
 )
 
@@ -47,15 +49,10 @@ log = logging.getLogger(__name__)
 RESULT_SCHEMA = (
     "run_id string, seq bigint, source_name string, source_type string, status string, classification string, "
     "record_count bigint, completeness double, accuracy double, timeliness double, schema_valid boolean, "
-    "finished_at timestamp_ntz, message string"
+    "finished_at timestamp_ntz, message string, report_error string"
 )
-ISSUE_SCHEMA = (
-    "run_id string, source_name string, column_name string, issue_type string, severity string, description string"
-)
-
-
-# Families whose data may differ from one read to the next.
-CHANGING_FAMILIES = ("database", "kafka")
+ISSUE_FIELDS = "column_name string, issue_type string, severity string, description string"
+ISSUE_SCHEMA = f"run_id string, source_name string, {ISSUE_FIELDS}"
 
 
 @dataclass
@@ -65,7 +62,9 @@ class Run:
     Without ``target_paths`` nothing is written. ``monitor_path`` is the folder of the monitoring
     tables (source_runs, pipeline_runs, issues, column_profile, schema_events), ``documents_path``
     that of the optional document store. Schemas that are not given are looked up in the registry
-    table, where sources without any leave the one generated from their data.
+    table, where sources without any leave the one generated from their data. ``state_path`` keeps the
+    marks of incremental loads. ``tables`` (the options of ``write_tier_table``) sends data to tier
+    tables, and to files only where that fails. ``profile`` adds column profiles to the reports.
     """
 
     run_id: str
@@ -76,6 +75,9 @@ class Run:
     monitor_path: str | None = None
     documents_path: str | None = None
     registry_path: str | None = None
+    state_path: str | None = None
+    tables: Mapping[str, Any] | None = None
+    profile: bool = False
 
     def definition(
         self, spark: SparkSession, name: str, version: int | str | None = None
@@ -107,14 +109,12 @@ def read_source(spark: SparkSession, family: str, source: Mapping[str, Any]) ->
     if family == "api":
         return read_api(spark, source)
     if family == "kafka":
-        values = read_kafka_range(spark, source)
-        sample = read_kafka_range(spark, source, SAMPLE_SIZE).where(F.col("value").isNotNull()).first()
-        return decode_values(values, source.get("value_schema"), sample and sample["value"])
+        return decode_values(cut_lineage(read_kafka_range(spark, source)), source.get("value_schema"))
     if family == "nvd":
         cves = read_cve_pages(
             read_files(spark, source["path"], "parquet"),
             source.get("results_per_page", 2000),
-            source.get("max_pages", 10),
+            source.get("max_pages"),
         )
         start, end = (datetime.fromisoformat(source[k]) if source.get(k) else None for k in ("start_date", "end_date"))
         return filter_cves(published_between(cves, start, end), source.get("additional_query_params", {}))
@@ -141,7 +141,7 @@ def read_api(spark: SparkSession, source: Mapping[str, Any]) -> DataFrame:
         results_path,
         paging.get("has_more_path"),
         paging.get("next_page_link_path"),
-        paging.get("max_pages", MAX_PAGES),
+        paging.get("max_pages"),
     )
     return items.select("item.*")
 
@@ -158,21 +158,45 @@ def quality_spec(source: Mapping[str, Any], thresholds: Mapping[str, Mapping[str
     )
 
 
-def assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, as_of=None) -> DataFrame:
-    """Counts, scores, schema result with issues, and tier of a dataset: one row from one aggregate scan."""
-    checked = definition or definition_from_frame(df, spec.name)
-    row = df.agg(
-        *count_aggregates(df, spec, as_of),
-        *check_aggregates(df, checked),
-        *[metric.alias(name) for name, metric in spec.metrics.items()],
-    )
-    scored = row.withColumns(score_columns(spec, spec.date_column in df.columns))
+def assessment_aggregates(df: DataFrame, spec: QualitySpec, checked: SchemaDefinition, as_of=None) -> list[Column]:
+    """All that has to be counted of a dataset, as aggregate columns of one scan."""
+    return [*count_aggregates(df, spec, as_of), *check_aggregates(df, checked), *[metric.alias(name) for name, metric in spec.metrics.items()]]
+
+
+def judge(counted: DataFrame, df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, checked: SchemaDefinition) -> DataFrame:
+    """Scores, schema result with issues, and tier, from the one row of counts of ``df``."""
+    scored = counted.withColumns(score_columns(spec, spec.date_column in df.columns))
     judged = scored.withColumns(result_columns(checks_of(df, checked)))
     if definition is None:  # the generated schema fits by construction; say that it was generated
-        judged = judged.withColumn("schema_warning_count", F.lit(1))
+        judged = judged.withColumns({"schema_warning_count": F.lit(1), "issues": generated_issue(judged)})
     return classify(judged, spec.thresholds, F.col("schema_valid"))
 
 
+def generated_issue(judged: DataFrame) -> Column:
+    """The issue of a source without a schema."""
+    kind = judged.schema["issues"].dataType
+    values = {"severity": "warning", "issue_type": "schema_generated", "description": "No schema was given; one was generated from the data"}
+    fields = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in kind.elementType.fields]
+    return F.array(F.struct(*fields)).cast(kind)
+
+
+def assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, as_of=None) -> DataFrame:
+    """Counts, scores, schema result with issues, and tier of a dataset: one row from one aggregate scan."""
+    checked = definition or definition_from_frame(df, spec.name)
+    return judge(df.agg(*assessment_aggregates(df, spec, checked, as_of)), df, spec, definition, checked)
+
+
+def stage_and_assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, as_of=None) -> tuple[DataFrame, Row]:
+    """(the data, written to the shared folder, its assessment), in one pass: the counts are observed on the write."""
+    spark, checked, path = df.sparkSession, definition or definition_from_frame(df, spec.name), fresh_path(df.sparkSession, "staged")
+    counts, seen = assessment_aggregates(df, spec, checked, as_of), Observation()
+    df.observe(seen, *counts).write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    schema = df.agg(*counts).schema
+    counted = spark.createDataFrame([tuple(seen.get[f.name] for f in schema.fields)], schema)
+    return staged, judge(counted, df, spec, definition, checked).first()
+
+
 def evolve_if_needed(df: DataFrame, source: Mapping[str, Any], run: Run) -> DataFrame:
     """Bring data to the target schema version, if the source names one; on failure leave it as it is."""
     target, current = source.get("target_schema_version"), source.get("schema_version", "latest")
@@ -187,63 +211,179 @@ def evolve_if_needed(df: DataFrame, source: Mapping[str, Any], run: Run) -> Data
 
 
 def grade_source(df: DataFrame, source: Mapping[str, Any], run: Run, streaming: bool = False) -> tuple[DataFrame, Any]:
-    """(the evolved data with quality columns, the one assessment row)."""
+    """(the evolved data with quality columns, the one assessment row); a generated schema is registered."""
+    graded, row, generated = stage_and_grade(df, source, run, streaming)
+    if generated is not None and run.registry_path:
+        register_versions(df.sparkSession, run.registry_path, [generated])
+    return graded, row
+
+
+def stage_and_grade(
+    df: DataFrame, source: Mapping[str, Any], run: Run, streaming: bool = False
+) -> tuple[DataFrame, Any, SchemaDefinition | None]:
+    """(the evolved data with quality columns, its assessment, the schema generated for it if it had none)."""
     evolved = evolve_if_needed(df, source, run)
     spec = quality_spec(source, run.thresholds, streaming)
     version = source.get("target_schema_version") or source.get("schema_version", "latest")
     definition = run.definition(df.sparkSession, spec.name, version)
-    if definition is None and run.registry_path:
-        register_version(df.sparkSession, run.registry_path, definition_from_frame(evolved, spec.name))
-    row = assess(evolved, spec, definition, run.run_at).first()
-    return add_quality_columns(evolved, row, spec.name, run.run_at), row
+    staged, row = stage_and_assess(evolved, spec, definition, run.run_at)
+    generated = definition_from_frame(evolved, spec.name) if definition is None else None
+    return add_quality_columns(staged, row, spec.name, run.run_at), row, generated
+
+
+@dataclass
+class Report:
+    """What is to be kept of a source besides its data. All sources' reports of a run are written together."""
+
+    name: str
+    graded: DataFrame | None = None
+    row: Any = None
+    generated: SchemaDefinition | None = None
+    profile: bool = False
 
 
 def process_source(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run, seq: int = 0) -> tuple:
-    """Read, evolve, grade and write one source, and say how it went (a row of ``RESULT_SCHEMA``).
+    """Read, evolve, grade and write one source with its reports, and say how it went (a row of ``RESULT_SCHEMA``)."""
+    result, report = treat_source(spark, family, source, run, seq)
+    return with_reports(spark, [(result, report)], run)[0]
 
-    Two passes over the data: one aggregate scan and one write. A database or topic may change
-    between them, so it is read once into the shared folder. Any failure is this source's own
-    and becomes a failed result.
+
+def treat_source(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run, seq: int = 0) -> tuple[tuple, Report]:
+    """The result row of a source and what there is to report of it.
+
+    The source is read once: what is graded is staged in the shared folder while it is counted, and
+    tier, dead letters and reports come from there. Any failure is this source's own and becomes
+    a failed result. The mark of an incremental load moves after the write.
     """
     name = source.get("name", "unnamed_source")
     try:
-        df = read_source(spark, family, source)
-        if family in CHANGING_FAMILIES:
-            df = cut_lineage(df)
-        graded, row = grade_source(df, source, run, family == "kafka")
+        df = fresh_rows(spark, family, source, run)
+        if family == "kafka":
+            df = keep_dead_letters(df, name, run)
+        graded, row, generated = stage_and_grade(df, source, run, family == "kafka")
         tier = row["data_classification"]
-        if run.target_paths:
-            write_tier_files(graded, tier, name, run.target_paths, run.run_at)
+        write_graded(graded, row, source, run)
+        if source.get("incremental") and run.state_path:
+            advance_high_water(graded, source["incremental"]["column"], run.state_path, name)
         result = (
             run.run_id, seq, name, family, "success", tier, row["record_count"], row["completeness"],
-            row["accuracy"], row["timeliness"], row["schema_valid"], run.run_at, None,
+            row["accuracy"], row["timeliness"], row["schema_valid"], run.run_at, None, None,
         )
+        return result, Report(name, graded, row, generated, source.get("profile", run.profile))
     except Exception as failure:
         reason = str(failure).split("\n", 1)[0]
         log.warning("source %s failed: %s", name, reason)
-        return (run.run_id, seq, name, family, "failed", None, 0, None, None, None, None, run.run_at, reason)
-    try:
-        report_source(spark, graded, row, name, run)
-    except Exception as failure:  # the primary write succeeded, and that is what counts
-        log.warning("source %s was written, its reports were not: %s", name, str(failure).split("\n", 1)[0])
-    return result
+        return (run.run_id, seq, name, family, "failed", None, 0, None, None, None, None, run.run_at, reason, None), Report(name)
 
 
-def report_source(spark: SparkSession, graded: DataFrame, row: Any, name: str, run: Run) -> None:
-    """Keep what is known of a graded source: issues, a schema event, and its records as documents."""
+def fresh_rows(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run) -> DataFrame:
+    """A source's rows: all of them, or with ``incremental`` those that no earlier load has written.
+
+    ``incremental`` names the ``column`` of the last change and the ``keys`` of a row; ``retention`` a
+    ``column`` and a number of ``days``.
+    """
+    df = read_source(spark, family, source)
+    if retention := source.get("retention"):
+        df = retain_days(df, retention["column"], retention["days"], run.run_at)
+    if (settings := source.get("incremental")) and run.state_path:
+        name = source.get("name", "unnamed_source")
+        df = incremental_scan(df, settings["column"], load_high_water(spark, run.state_path, name), loaded_rows(spark, name, run), settings.get("keys"))
+    return df
+
+
+def loaded_rows(spark: SparkSession, name: str, run: Run) -> DataFrame | None:
+    """What earlier runs wrote of a source, in whatever tier; None if nothing."""
+    found = None
+    for folder in run.target_paths.values():
+        try:
+            rows = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+        except AnalysisException:  # nothing of it in this tier
+            continue
+        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
+    return found
+
+
+def keep_dead_letters(df: DataFrame, name: str, run: Run) -> DataFrame:
+    """The decoded messages; those that cannot be decoded go to ``dead_letters`` with key, offset and time."""
+    rows, dead = split_decoded(df)
     if run.monitor_path:
-        issues = [(run.run_id, name, *issue) for issue in row["issues"]]
-        if issues:
-            spark.createDataFrame(issues, ISSUE_SCHEMA).write.mode("append").parquet(f"{run.monitor_path}/issues")
-        append_event(
-            spark, f"{run.monitor_path}/schema_events", "schema_validated", name,
-            changes=json.dumps({"is_valid": row["schema_valid"], "errors": row["schema_error_count"],
-                                "warnings": row["schema_warning_count"]}),
-            request_id=run.run_id,
-        )
-    if run.documents_path:
-        index = document_index(F.col("data_classification"), F.lit(name), F.lit(run.run_at.date()))
-        write_documents(document_rows(graded, index), run.documents_path)
+        path = f"{run.monitor_path}/dead_letters/failed_run={quote(run.run_id, safe='')}/failed_source={quote(name, safe='')}"
+        dead.write.mode("overwrite").parquet(path)
+    return rows
+
+
+def write_graded(graded: DataFrame, row: Any, source: Mapping[str, Any], run: Run) -> None:
+    """Write the data where its tier belongs: rejected data with its issues, the rest to tables or files as configured."""
+    tier, name = row["data_classification"], source.get("name", "unnamed_source")
+    if tier == "rejected" and run.target_paths:
+        issues = graded.sparkSession.createDataFrame([(tier, *issue) for issue in row["issues"]], f"classification string, {ISSUE_FIELDS}")
+        write_rejected(graded, issues, name, run.run_id, run.target_paths, run.run_at)
+    elif run.tables is not None:
+        write_with_fallback(graded, tier, name, run.target_paths, run.run_at, run.run_id, **run.tables)
+    elif run.target_paths:
+        write_tier_files(graded, tier, name, run.target_paths, run.run_at, run.run_id)
+
+
+def with_reports(spark: SparkSession, treated: list[tuple[tuple, Report]], run: Run) -> list[tuple]:
+    """Write the reports of all sources together, each table once; result rows say what could not be written.
+
+    The primary writes have succeeded by then, and that is what a result's status counts.
+    """
+    done = [report for _, report in treated if report.graded is not None]
+    writers = {
+        "issues": lambda: write_issues(spark, done, run),
+        "events": lambda: write_events(spark, done, run),
+        "schemas": lambda: write_generated(spark, done, run),
+        "profile": lambda: write_profiles(done, run),
+    }
+    failed = []
+    for what, write in writers.items():
+        try:
+            write()
+        except Exception as failure:
+            log.warning("the %s of run %s were not written: %s", what, run.run_id, str(failure).split("\n", 1)[0])
+            failed.append(f"{what}: {str(failure).split(chr(10), 1)[0]}")
+    rows = []
+    for result, report in treated:
+        lost = list(failed) if report.graded is not None else []
+        if report.graded is not None and run.documents_path:
+            try:
+                index = document_index(F.col("data_classification"), F.lit(report.name), F.lit(run.run_at.date()))
+                write_documents(document_rows(report.graded, index), run.documents_path, f"{run.run_at:%Y%m%dT%H%M%S}-{run.run_id}")
+            except Exception as failure:
+                log.warning("the documents of %s were not written: %s", report.name, str(failure).split("\n", 1)[0])
+                lost.append(f"documents: {str(failure).split(chr(10), 1)[0]}")
+        rows.append((*result[:-1], "; ".join(lost) or None))
+    return rows
+
+
+def write_issues(spark: SparkSession, reports: list[Report], run: Run) -> None:
+    issues = [(run.run_id, report.name, *issue) for report in reports for issue in report.row["issues"]]
+    if run.monitor_path and issues:
+        spark.createDataFrame(issues, ISSUE_SCHEMA).write.mode("append").parquet(f"{run.monitor_path}/issues")
+
+
+def write_events(spark: SparkSession, reports: list[Report], run: Run) -> None:
+    if run.monitor_path and reports:
+        append_events(spark, f"{run.monitor_path}/schema_events", [
+            ("schema_validated", report.name, None,
+             json.dumps({"is_valid": report.row["schema_valid"], "errors": report.row["schema_error_count"], "warnings": report.row["schema_warning_count"]}),
+             run.run_id)
+            for report in reports
+        ])
+
+
+def write_generated(spark: SparkSession, reports: list[Report], run: Run) -> None:
+    generated = [report.generated for report in reports if report.generated is not None]
+    if run.registry_path and generated:
+        register_versions(spark, run.registry_path, generated)
+
+
+def write_profiles(reports: list[Report], run: Run) -> None:
+    if run.monitor_path:
+        for report in reports:
+            if report.profile:
+                profile_source(report.graded, report.name, run)
 
 
 def profile_source(df: DataFrame, name: str, run: Run, distinct: str = "approx") -> None:
@@ -263,15 +403,14 @@ def process_one(spark: SparkSession, config: Mapping[str, Any], name: str, run:
 def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run, at_once: int = 4) -> DataFrame:
     """Process every enabled source in family order: one result row per source.
 
-    Some sources run side by side, so that small ones do not leave a cluster idle. With a
-    monitoring folder the results and the run's totals are appended to its tables.
+    Some sources run side by side, so that small ones do not leave a cluster idle; their reports are
+    written together afterwards. With a monitoring folder the results and the run's totals are
+    appended to its tables.
     """
     started = time.time()
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        rows = pool.map(
-            lambda item: process_source(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))
-        )
-        results = spark.createDataFrame(list(rows), RESULT_SCHEMA)
+        treated = list(pool.map(lambda item: treat_source(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))))
+    results = spark.createDataFrame(with_reports(spark, treated, run), RESULT_SCHEMA)
     if run.monitor_path:
         results.write.mode("append").parquet(f"{run.monitor_path}/source_runs")
         record = run_record(results, run, "batch", started)

@@ -12,6 +12,7 @@ from assayer.plans import views
 from assayer.plans.catalog import register
 from assayer.plans.views import EVENT_PAGES, EVENT_SRC, ITEM
 from assayer.session import fresh_path
+from assayer.operators.schema import definition_from_frame, definition_from_json, definition_to_json, spark_type, to_struct, type_name
 from assayer.sources import catalog, cve, files, incremental, payloads
 
 
@@ -119,27 +120,33 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "api_pages",
     f"""WITH p AS (SELECT *, number % 17 = 9 AS last, number % 23 = 5 AS bad, number % 23 <> 5 AND number % 19 = 3 AS absent FROM {EVENT_PAGES}),
- s AS (SELECT source, min(CASE WHEN last AND NOT bad THEN page END) AS last_page, min(CASE WHEN bad THEN page END) AS bad_page
-       FROM p WHERE page <= 10 GROUP BY source)
+ s AS (SELECT source, min(CASE WHEN last AND NOT bad THEN page END) AS last_page, min(CASE WHEN bad THEN page END) AS bad_page FROM p GROUP BY source)
  SELECT p.source, p.page, p.id, p.v, p.kind FROM p JOIN s ON s.source = p.source
- WHERE p.page <= 10 AND NOT p.absent AND p.page <= coalesce(s.last_page, 10) AND p.page < coalesce(s.bad_page, 11)""",
+ WHERE NOT p.absent AND (s.last_page IS NULL OR p.page <= s.last_page) AND (s.bad_page IS NULL OR p.page < s.bad_page)""",
 )
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = payloads.normalise_pages(views.api_pages(spark, sf_dir), ITEM, "data.items", has_more_path="meta.has_more")
     return items.select("source", "page", "item.*")
 
 
+@register(
+    "api_pages_limited",
+    f"""SELECT source, page, id, v, kind FROM {EVENT_PAGES} WHERE page <= 5""",
+)
+def api_pages_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit a caller may set on the pages of a source."""
+    pages = views.event_pages(spark, sf_dir).select("source", "page", F.to_json("items").alias("payload"))
+    return payloads.normalise_pages(pages, ITEM, max_pages=5).select("source", "page", "item.*")
+
+
 @register(
     "api_linked_pages",
     f"""WITH p AS (SELECT *, number % 13 = 7 AS last FROM {EVENT_PAGES}),
- s AS (SELECT source, min(CASE WHEN last THEN page END) AS last_page FROM p WHERE page <= 11 GROUP BY source)
- SELECT p.source, p.page, p.id, p.v, p.kind FROM p JOIN s ON s.source = p.source
- WHERE p.page <= 11 AND p.page <= coalesce(s.last_page, 11)""",
+ s AS (SELECT source, min(CASE WHEN last THEN page END) AS last_page FROM p GROUP BY source)
+ SELECT p.source, p.page, p.id, p.v, p.kind FROM p JOIN s ON s.source = p.source WHERE s.last_page IS NULL OR p.page <= s.last_page""",
 )
 def api_linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = payloads.normalise_pages(
-        views.linked_pages(spark, sf_dir), ITEM, "results", next_link_path="links.next", max_pages=11
-    )
+    items = payloads.normalise_pages(views.linked_pages(spark, sf_dir), ITEM, "results", next_link_path="links.next")
     return items.select("source", "page", "item.*")
 
 
@@ -263,7 +270,11 @@ def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("incremental_load", "SELECT event_id, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'")
+@register(
+    "incremental_load",
+    """SELECT event_id, event_type FROM events WHERE ts >= (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00')
+ AND event_id NOT IN (SELECT event_id FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00')""",
+)
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = fresh_path(spark, "state")
     events = views.table(spark, sf_dir, "events")
@@ -275,7 +286,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     incremental.advance_high_water(first, "ts", state, "events")
     mark = incremental.load_high_water(spark, state, "events")
-    return incremental.incremental_scan(events, "ts", mark).select("event_id", "event_type")
+    return incremental.incremental_scan(events, "ts", mark, first, ["event_id"]).select("event_id", "event_type")
 
 
 @register("retention", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-25 00:00:00'")
@@ -283,6 +294,15 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.retain_days(views.table(spark, sf_dir, "events"), "ts", 7, datetime(2024, 2, 1)).select("event_id")
 
 
+@register("typed_by_definition", "SELECT event_id, user_id, event_type, value, ts FROM events")
+def typed_by_definition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns brought to the types of a definition that was kept as JSON."""
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    kept = definition_from_json(definition_to_json(definition_from_frame(events, "events")), "events", 1)
+    texts = events.select(*[F.col(c).cast("string") for c in events.columns])
+    return texts.select(*[F.col(f.name).cast(spark_type(type_name(f.dataType))) for f in to_struct(kept).fields])
+
+
 @register("parse_event_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
 def parse_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
@@ -292,8 +312,7 @@ def parse_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("infer_event_schema", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def infer_event_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
-    sample = events.select("value").where(F.col("value").isNotNull()).first()["value"]
-    return payloads.parse_value(events, payloads.infer_json_schema(spark, sample)).select("event_id", "k")
+    return payloads.parse_value(events, payloads.infer_json_schema(events)).select("event_id", "k")
 
 
 @register(
@@ -331,21 +350,20 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
  '{"host":"h' || CAST(s_nationkey AS VARCHAR) || '"}' AS settings FROM supplier""",
 )
 def source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of sources whose configuration is kept as a table."""
     kind = F.col("s_nationkey") % 5
+    family = F.when(kind == 0, "file").when(kind == 1, "database").when(kind == 2, "api").when(kind == 3, "kafka").otherwise("nvd")
+    place = F.when(kind == 1, "table").when(kind == 3, "topic").otherwise("path")
     settings = F.create_map(
+        place, F.concat(F.lit("/landing/"), F.col("s_suppkey").cast("string")),
         F.lit("host"), F.concat(F.lit("h"), F.col("s_nationkey").cast("string")),
-        F.lit("password"), F.col("s_name"),
-        F.lit("api_key"), F.col("s_name"),
-    )
-    return views.table(spark, sf_dir, "supplier").select(
-        F.col("s_name").alias("name"),
-        F.when(kind == 0, "file").when(kind == 1, "database").when(kind == 2, "api").when(kind == 3, "kafka")
-        .otherwise("nvd").alias("family"),
-        F.concat(F.lit("/landing/"), F.col("s_suppkey").cast("string")).alias("location"),
-        (F.col("s_acctbal") > 0).alias("enabled"),
-        (kind == 3).alias("streaming"),
-        F.to_json(catalog.drop_secrets(settings)).alias("settings"),
+        F.lit("password"), F.col("s_name"), F.lit("api_key"), F.col("s_name"),
     )
+    configured = views.table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), family.alias("family"), settings.alias("settings"), (F.col("s_acctbal") > 0).alias("enabled"), (kind == 3).alias("streaming"))
+    rows = catalog.catalog_rows(configured)
+    kept = F.map_filter(F.from_json("settings", "map<string,string>"), lambda k, _: ~k.isin("path", "table", "topic"))
+    return rows.withColumn("settings", F.to_json(kept))
 
 
 @register("event_filter", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'signup')")

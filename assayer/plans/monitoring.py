@@ -123,7 +123,7 @@ def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.recent_activity(views.source_runs(spark, sf_dir)).select("source_name", "status", "record_count")
 
 
-@register("first_sources", f"SELECT DISTINCT source_name FROM {SOURCE_RUNS} ORDER BY source_name LIMIT 5")
+@register("first_sources", f"SELECT source_name FROM {SOURCE_RUNS} GROUP BY source_name ORDER BY min(seq) LIMIT 5")
 def first_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.first_sources(views.source_runs(spark, sf_dir))
 
@@ -141,14 +141,15 @@ def pending_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "source_detail",
-    """SELECT d.doc_id, d.lang, coalesce(CAST(l.quality AS VARCHAR), 'N/A') AS quality FROM documents d
- LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+    """SELECT d.doc_id, d.lang, coalesce(CAST(l.quality AS VARCHAR), 'N/A') AS quality, p.pages FROM documents d
+ LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN (SELECT page_id AS doc_id, count(*) AS pages FROM pages GROUP BY page_id) p ON p.doc_id = d.doc_id""",
 )
 def source_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     configured = views.table(spark, sf_dir, "documents").select("doc_id", "lang")
-    detail = monitor.source_detail(configured, views.table(spark, sf_dir, "labels"), key="doc_id")
+    pages = views.table(spark, sf_dir, "pages").groupBy(F.col("page_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("pages"))
+    detail = monitor.source_detail(configured, views.table(spark, sf_dir, "labels"), pages, key="doc_id")
     quality = F.coalesce(F.col("quality").cast("string"), F.lit("N/A"))
-    return detail.select("doc_id", "lang", quality.alias("quality"))
+    return detail.select("doc_id", "lang", quality.alias("quality"), "pages")
 
 
 @register(
@@ -418,21 +419,30 @@ def landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "parse_run_log",
     f"""SELECT seq, record_count AS records_processed, CASE WHEN classification = 'gold' THEN record_count ELSE 0 END AS gold_count
- FROM (SELECT * FROM {SOURCE_RUNS} WHERE seq % 9 NOT IN (5, 7) ORDER BY date_trunc('millisecond', finished_at) DESC, seq DESC LIMIT 1000) q
- WHERE seq % 4 = 0""",
+ FROM {SOURCE_RUNS} WHERE seq % 9 NOT IN (5, 7) AND seq % 4 = 0""",
 )
 def parse_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = runlog.run_rows(runlog.parse_lines(landed_log(spark, sf_dir)))
     return runs.select("seq", "records_processed", "gold_count")
 
 
+@register(
+    "parse_run_log_tail",
+    f"""SELECT seq, record_count AS records_processed FROM (SELECT * FROM {SOURCE_RUNS} WHERE seq % 9 NOT IN (5, 7)
+ ORDER BY date_trunc('millisecond', finished_at) DESC, seq DESC LIMIT 1000) q WHERE seq % 4 = 0""",
+)
+def parse_run_log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that looks at the newest 1000 entries only."""
+    return runlog.run_rows(runlog.parse_lines(landed_log(spark, sf_dir), tail=1000)).select("seq", "records_processed")
+
+
 @register(
     "parse_source_log",
     f"""SELECT source_name, status, classification, record_count FROM (SELECT *, row_number() OVER (PARTITION BY source_name
  ORDER BY date_trunc('millisecond', finished_at) DESC, seq DESC) AS rn FROM {SOURCE_RUNS} WHERE seq % 9 NOT IN (5, 7) AND seq % 4 <> 0) q WHERE rn = 1""",
 )
 def parse_source_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = runlog.source_rows(runlog.parse_lines(landed_log(spark, sf_dir), tail=None))
+    rows = runlog.source_rows(runlog.parse_lines(landed_log(spark, sf_dir)))
     return rows.select("source_name", "status", "classification", "record_count")
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.operators import checks, profile, registry
-from assayer.operators.schema import apply_evolution, compatible
+from assayer.operators import checks, monitor, profile, registry
+from assayer.operators.schema import Field, apply_evolution, compatible
 from assayer.plans import views
+from assayer.plans.batch import Run, evolve_if_needed, grade_source
 from assayer.plans.catalog import register
-from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2
-from assayer.plans.scores import EMAIL_SQL, PHONE_SQL
+from assayer.plans.definitions import CUSTOMER_ID, CUSTOMER_V1, CUSTOMER_V2, EMAIL, PHONE
 from assayer.plans.views import (
     CUSTOMER_SRC,
     DECLARED_FIELDS,
@@ -18,6 +18,7 @@ from assayer.plans.views import (
     OBSERVED_FIELDS,
     VERSIONS_IN_USE,
 )
+from assayer.session import fresh_path
 
 # The declared fields of each schema's newest version, and the comparison of type names, as SQL.
 LATEST_FIELDS = f"""(SELECT d.schema_name, d.name, d.type, d.nullable FROM {DECLARED_FIELDS.replace(') declared_fields', ') d')}
@@ -135,7 +136,7 @@ def _issue_sql(column: str, pattern: str) -> str:
 
 @register(
     "validation_report",
-    f"""WITH p AS ({_issue_sql('email', EMAIL_SQL)} UNION ALL {_issue_sql('phone', PHONE_SQL)} UNION ALL {_issue_sql('customer_id', '^CUST-[0-9]{6}$')})
+    f"""WITH p AS ({_issue_sql('email', EMAIL)} UNION ALL {_issue_sql('phone', PHONE)} UNION ALL {_issue_sql('customer_id', CUSTOMER_ID)})
  SELECT column_name, 'pattern' AS issue_type, 'warning' AS severity FROM p WHERE r < 0.9
  UNION ALL SELECT column_name, 'pattern', 'error' FROM p WHERE r < 0.5
  UNION ALL SELECT 'acctbal', 'extra', 'warning' FROM p GROUP BY 1""",
@@ -147,7 +148,7 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "validation_summary",
-    f"""WITH p AS ({_issue_sql('email', EMAIL_SQL)} UNION ALL {_issue_sql('phone', PHONE_SQL)} UNION ALL {_issue_sql('customer_id', '^CUST-[0-9]{6}$')})
+    f"""WITH p AS ({_issue_sql('email', EMAIL)} UNION ALL {_issue_sql('phone', PHONE)} UNION ALL {_issue_sql('customer_id', CUSTOMER_ID)})
  SELECT (SELECT count(*) FROM customer) AS record_count, count(*) FILTER (WHERE r < 0.5) = 0 AS schema_valid,
  CAST(count(*) FILTER (WHERE r < 0.5) AS INT) AS schema_error_count, CAST(1 + count(*) FILTER (WHERE r < 0.9) AS INT) AS schema_warning_count FROM p""",
 )
@@ -184,3 +185,27 @@ def _frequency_sql(position: int, column: str, kind: str) -> str:
 def schema_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = profile.field_frequencies(views.customer_src(spark, sf_dir))
     return rows.withColumn("frequency", F.round("frequency", 6))
+
+
+@register(
+    "schema_detail",
+    f"""SELECT u.schema_name, u.current, l.latest, f.field_count FROM {VERSIONS_IN_USE.replace(') versions_in_use', ') u')} LEFT JOIN {LATEST_VERSIONS.replace(') latest_versions', ') l')} ON l.schema_name = u.schema_name
+ LEFT JOIN (SELECT schema_name, count(*) AS field_count FROM {DECLARED_FIELDS} GROUP BY schema_name) f ON f.schema_name = u.schema_name""",
+)
+def schema_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = views.declared_fields(spark, sf_dir)
+    latest = fields.groupBy("schema_name").agg(F.max("version").alias("latest"))
+    return monitor.schema_detail(views.versions_in_use(spark, sf_dir), latest, fields)
+
+
+@register("evolved_by_registry", "SELECT c_custkey, c_name, CAST(c_acctbal AS VARCHAR) IS NULL AS no_balance, CAST(NULL AS VARCHAR) AS loyalty FROM customer")
+def evolved_by_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A schema generated from data is registered, evolved in the registry, and data is brought to the new version."""
+    path = fresh_path(spark, "registry")
+    customers = views.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    run = Run("run-1", views.RUN_AT, registry_path=path)
+    grade_source(customers, {"name": "customers"}, run)
+    changes = {"add_fields": [Field("loyalty", "string")], "remove_fields": ["c_nationkey"]}
+    registry.evolve(spark, path, "customers", changes, 2)
+    evolved = evolve_if_needed(customers, {"name": "customers", "schema_version": 1, "target_schema_version": 2}, run)
+    return evolved.select("c_custkey", "c_name", F.col("c_acctbal").isNull().alias("no_balance"), "loyalty")

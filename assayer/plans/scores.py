@@ -7,17 +7,14 @@ from pyspark.sql import functions as F
 
 from assayer.functions import cells
 from assayer.functions.text import match_band, quality_band, score_text
-from assayer.operators import checks, profile, scoring, tiering
+from assayer.operators import checks, monitor, profile, scoring, tiering
 from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec
 from assayer.plans import views
 from assayer.plans.batch import Run, assess, grade_source
 from assayer.plans.catalog import register
-from assayer.plans.definitions import CUSTOMER_V1, EMAIL, PAYMENT_METHOD, PAYMENT_METHODS, PHONE, SALES_V1
+from assayer.plans.definitions import CUSTOMER_ID, CUSTOMER_V1, EMAIL, PAYMENT_METHOD, PAYMENT_METHODS, PHONE, SALES_V1
 from assayer.plans.views import AS_OF, CUSTOMER_SRC, EVENT_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
 
-EMAIL_SQL = "^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+[.][a-zA-Z0-9-.]+$"
-PHONE_SQL = "^[+]?[0-9]{10,15}$"
-
 QUANTITY_RULE = {"quantity": {"min": 1, "max": 10000}}
 FEED_SPEC = QualitySpec(name="feeds", rules={"value": {"min": 1, "max": 100}}, date_column="ts", max_age_days=60)
 RUN = Run("run-1", RUN_AT, schemas={("sales_transactions", 1): SALES_V1})
@@ -65,7 +62,7 @@ def accuracy_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "accuracy_pattern",
-    f"""SELECT round(1.0 - count(*) FILTER (WHERE NOT regexp_matches(email, '{EMAIL_SQL}')) / (count(*) * 7.0e0), 6) AS accuracy
+    f"""SELECT round(1.0 - count(*) FILTER (WHERE NOT regexp_matches(email, '{EMAIL}')) / (count(*) * 7.0e0), 6) AS accuracy
  FROM {CUSTOMER_SRC}""",
 )
 def accuracy_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +82,7 @@ def accuracy_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "accuracy_combined",
     f"""SELECT round(1.0 - (count(*) FILTER (WHERE NOT (quantity BETWEEN 1 AND 10000))
- + count(*) FILTER (WHERE NOT regexp_matches(payment_method, '^(CREDIT|DEBIT|CASH|CHECK|TRANSFER)$'))
+ + count(*) FILTER (WHERE NOT regexp_matches(payment_method, '{PAYMENT_METHOD}'))
  + count(*) FILTER (WHERE NOT payment_method IN ('CREDIT','DEBIT','CASH'))) / (count(*) * 8.0e0), 6) AS accuracy FROM {SALES_SRC}""",
 )
 def accuracy_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +124,7 @@ def timeliness_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT round({SALES_COMPLETENESS}, 6) AS completeness, round({SALES_ACCURACY}, 6) AS accuracy, 0.5e0 AS timeliness,
  (min(quantity) >= 1 AND max(quantity) <= 10000) AS schema_valid,
  CAST(CASE WHEN min(quantity) < 1 OR max(quantity) > 10000 THEN 1 ELSE 0 END AS INT) AS schema_error_count,
- CAST(CASE WHEN count(*) FILTER (WHERE regexp_matches(payment_method, '^(CREDIT|DEBIT|CASH|CHECK|TRANSFER)$')) / (count(*) * 1.0e0) < 0.9
+ CAST(CASE WHEN count(*) FILTER (WHERE regexp_matches(payment_method, '{PAYMENT_METHOD}')) / (count(*) * 1.0e0) < 0.9
       THEN 1 ELSE 0 END AS INT) AS schema_warning_count
  FROM {SALES_SRC}""",
 )
@@ -238,7 +235,7 @@ SALES_SOURCE = {"name": "sales_transactions", "validation_rules": QUANTITY_RULE}
 def quality_sql(columns: str) -> str:
     return f"""WITH sales AS (SELECT * FROM {SALES_SRC}),
 m AS (SELECT {SALES_COMPLETENESS} AS c, {SALES_ACCURACY} AS a, 0.5e0 AS t, (min(quantity) >= 1 AND max(quantity) <= 10000) AS valid,
-      count(*) FILTER (WHERE regexp_matches(payment_method, '^(CREDIT|DEBIT|CASH|CHECK|TRANSFER)$')) / (count(*) * 1.0e0) AS r FROM sales),
+      count(*) FILTER (WHERE regexp_matches(payment_method, '{PAYMENT_METHOD}')) / (count(*) * 1.0e0) AS r FROM sales),
 g AS (SELECT *, CASE WHEN valid AND c >= 0.95 AND a >= 0.9 AND t >= 0.85 THEN 'gold' WHEN valid AND c >= 0.8 AND a >= 0.8 AND t >= 0.7 THEN 'silver'
       WHEN c >= 0.7 AND a >= 0.6 AND t >= 0.5 THEN 'bronze' ELSE 'rejected' END AS tier FROM m)
 SELECT {columns} FROM sales, g"""
@@ -273,7 +270,7 @@ def quality_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "rule_violations",
     f"""SELECT transaction_id, 'quantity' AS column_name, 'range' AS issue_type FROM {SALES_SRC} WHERE NOT (quantity BETWEEN 1 AND 10000)
  UNION ALL SELECT transaction_id, 'payment_method', 'pattern' FROM {SALES_SRC}
- WHERE NOT regexp_matches(payment_method, '^(CREDIT|DEBIT|CASH|CHECK|TRANSFER)$')""",
+ WHERE NOT regexp_matches(payment_method, '{PAYMENT_METHOD}')""",
 )
 def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {**QUANTITY_RULE, "payment_method": {"pattern": PAYMENT_METHOD}}
@@ -282,7 +279,7 @@ def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "pattern_match",
-    f"""SELECT customer_id, (phone IS NOT NULL AND regexp_extract(phone, '{PHONE_SQL}', 0) <> '') AS phone_matches FROM {CUSTOMER_SRC}""",
+    f"""SELECT customer_id, (phone IS NOT NULL AND regexp_extract(phone, '{PHONE}', 0) <> '') AS phone_matches FROM {CUSTOMER_SRC}""",
 )
 def pattern_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.customer_src(spark, sf_dir).select(
@@ -313,8 +310,8 @@ def _pattern_sql(column: str, pattern: str) -> str:
     "pattern_validation",
     f"""SELECT column_name, match_count, total_count, round(r, 6) AS match_ratio,
  CASE WHEN r < 0.5 THEN 'error' WHEN r < 0.9 THEN 'warning' ELSE 'ok' END AS severity
- FROM (SELECT *, match_count / (total_count * 1.0e0) AS r FROM ({_pattern_sql('email', EMAIL_SQL)} UNION ALL
- {_pattern_sql('phone', PHONE_SQL)} UNION ALL {_pattern_sql('customer_id', '^CUST-[0-9]{6}$')}) p) q""",
+ FROM (SELECT *, match_count / (total_count * 1.0e0) AS r FROM ({_pattern_sql('email', EMAIL)} UNION ALL
+ {_pattern_sql('phone', PHONE)} UNION ALL {_pattern_sql('customer_id', CUSTOMER_ID)}) p) q""",
 )
 def pattern_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = checks.pattern_validation(views.customer_src(spark, sf_dir), dict(CUSTOMER_V1.patterns))
@@ -381,25 +378,30 @@ def metrics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = scoring.score(views.event_src(spark, sf_dir), FEED_SPEC, AS_OF, ["source_name"])
-    return scores.select(
-        "source_name",
-        *[score_text(F.col(m)).alias(m) for m in scoring.SCORE_COLUMNS],
-        quality_band(F.col("completeness")).alias("completeness_band"),
-        score_text(F.lit(None).cast("double")).alias("consistency"),
-    )
+    scores = scores.withColumns({"completeness_band": quality_band(F.col("completeness")), "consistency": F.lit(None).cast("double")})
+    return monitor.score_table(scores, ["source_name", "completeness_band"], [*scoring.SCORE_COLUMNS, "consistency"])
 
 
 @register(
     "match_band",
     f"""SELECT CASE WHEN r >= 0.9 THEN 'good' WHEN r >= 0.7 THEN 'medium' ELSE 'poor' END AS band FROM
- (SELECT count(CASE WHEN regexp_extract(phone, '{PHONE_SQL}', 0) <> '' THEN 1 END) / (count(*) * 1.0e0) AS r FROM {CUSTOMER_SRC}) q""",
+ (SELECT count(CASE WHEN regexp_extract(phone, '{PHONE}', 0) <> '' THEN 1 END) / (count(*) * 1.0e0) AS r FROM {CUSTOMER_SRC}) q""",
 )
 def match_band_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = checks.pattern_validation(views.customer_src(spark, sf_dir), {"phone": PHONE})
     return checked.select(match_band(F.col("match_ratio")).alias("band"))
 
 
-@register("preview_info", f"SELECT count(*) AS row_count, 8 AS column_count FROM {SALES_SRC}")
+@register(
+    "preview_info",
+    f"""SELECT count(*) AS row_count, 8 AS column_count, 'struct<transaction_id:string,customer_id:string,product_id:string,quantity:int,'
+ || 'unit_price:decimal(10,2),total_price:decimal(10,2),transaction_date:timestamp_ntz,payment_method:string>' AS schema_text FROM {SALES_SRC}""",
+)
 def preview_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info, _ = profile.preview(views.sales_src(spark, sf_dir))
-    return info.select("row_count", "column_count")
+    return profile.preview(views.sales_src(spark, sf_dir))[0]
+
+
+@register("sample_rows", "SELECT event_id, user_id, event_type, value FROM events ORDER BY ts, event_id LIMIT 5")
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = profile.preview(views.table(spark, sf_dir, "events"), order=["ts", "event_id"])[1]
+    return first.select("event_id", "user_id", "event_type", "value")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from assayer.operators.tiering import add_ingest_columns
 from assayer.plans import views
 from assayer.plans.batch import Run, grade_source, process_all
 from assayer.plans.catalog import register
-from assayer.plans.definitions import CUSTOMER_V1, SALES_V1
+from assayer.plans.definitions import CUSTOMER_ID, CUSTOMER_V1, EMAIL, PHONE, SALES_V1
 from assayer.plans.scores import (
     SALES_ACCURACY,
     SALES_COMPLETENESS,
@@ -25,7 +26,8 @@ from assayer.plans.scores import (
 from assayer.plans.views import CUSTOMER_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
 from assayer.session import fresh_path
 from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table, write_with_fallback
-from assayer.sources.catalog import read_table
+from assayer.sinks.documents import read_documents
+from assayer.sources.catalog import describe_tables, read_table
 
 SCHEMAS = {("sales_transactions", 1): SALES_V1, ("customer_data", 1): CUSTOMER_V1}
 
@@ -114,7 +116,7 @@ def process_all_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "tier_roundtrip",
     f"""SELECT seq, source_name, record_count, classification AS classification_level, TIMESTAMP '2024-02-01 00:00:00' AS ingestion_timestamp,
- DATE '2024-02-01' AS ingestion_date FROM {SOURCE_RUNS}""",
+ DATE '2024-02-01' AS ingestion_date, 'nightly' AS ingestion_run FROM {SOURCE_RUNS}""",
 )
 def tier_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = tier_folders(spark)
@@ -123,8 +125,8 @@ def tier_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for tier in folders:
         graded = runs.where(F.col("classification") == tier).select(*columns)
-        path = write_tier_files(graded, tier, "source-runs", folders, RUN_AT)
-        write_tier_files(graded, tier, "source-runs", folders, RUN_AT)  # a rerun replaces its own day
+        path = write_tier_files(graded, tier, "source-runs", folders, RUN_AT, "nightly")
+        write_tier_files(graded, tier, "source-runs", folders, RUN_AT, "nightly")  # a repeated run replaces itself
         frames.append(spark.read.parquet(path))
     written = frames[0]
     for frame in frames[1:]:
@@ -156,9 +158,9 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rejected_issues",
     f"""WITH c AS (SELECT * FROM {CUSTOMER_SRC}), p AS (
- SELECT 'email' AS column_name, count(CASE WHEN regexp_matches(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+[.][a-zA-Z0-9-.]+$') THEN 1 END) / (count(*) * 1.0e0) AS r FROM c
- UNION ALL SELECT 'phone', count(CASE WHEN regexp_matches(phone, '^[+]?[0-9]{{10,15}}$') THEN 1 END) / (count(*) * 1.0e0) FROM c
- UNION ALL SELECT 'customer_id', count(CASE WHEN regexp_matches(customer_id, '^CUST-[0-9]{{6}}$') THEN 1 END) / (count(*) * 1.0e0) FROM c)
+ SELECT 'email' AS column_name, count(CASE WHEN regexp_matches(email, '{EMAIL}') THEN 1 END) / (count(*) * 1.0e0) AS r FROM c
+ UNION ALL SELECT 'phone', count(CASE WHEN regexp_matches(phone, '{PHONE}') THEN 1 END) / (count(*) * 1.0e0) FROM c
+ UNION ALL SELECT 'customer_id', count(CASE WHEN regexp_matches(customer_id, '{CUSTOMER_ID}') THEN 1 END) / (count(*) * 1.0e0) FROM c)
  SELECT 'customer_data' AS source_name, 'run-1' AS run_id, column_name, severity, (SELECT count(*) FROM c) AS rejected_rows FROM (
  SELECT column_name, 'warning' AS severity FROM p WHERE r < 0.9 UNION ALL SELECT column_name, 'error' FROM p WHERE r < 0.5
  UNION ALL SELECT 'acctbal', 'warning') q""",
@@ -184,3 +186,70 @@ def tier_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = f"absent_{uuid.uuid4().hex}"
     kind, where = write_with_fallback(runs, "silver", "source-runs", tier_folders(spark), RUN_AT, database=database)
     return spark.read.parquet(where).select("seq", F.lit(kind).alias("written_as"), "classification_level")
+
+
+FEEDS = 14
+
+
+@register(
+    "runs_of_a_day",
+    f"""SELECT 'feed-' || CAST(event_id % {FEEDS} AS VARCHAR) AS source_name, 2 * count(*) AS stored, count(*) AS documents, 2::BIGINT AS runs FROM events GROUP BY 1""",
+)
+def runs_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many sources side by side, twice on one day: all rows, all documents and all reports are there."""
+    folders, landing, documents, monitor = tier_folders(spark), fresh_path(spark, "feeds"), fresh_path(spark, "documents"), fresh_path(spark, "monitor")
+    feeds = views.table(spark, sf_dir, "events").withColumn("feed", (F.col("event_id") % FEEDS).cast("int"))
+    feeds.write.partitionBy("feed").parquet(landing)
+    config = {"file_sources": [{"name": f"feed-{i}", "type": "parquet", "path": f"{landing}/feed={i}"} for i in range(FEEDS)]}
+    for run_id in ("morning", "evening", "evening"):  # a repeated run replaces itself
+        process_all(spark, config, Run(run_id, RUN_AT, folders, monitor_path=monitor, documents_path=documents))
+    stored = None
+    for folder in folders.values():
+        for i in range(FEEDS):
+            try:
+                rows = spark.read.parquet(f"{folder}/feed-{i}").groupBy("source_name").agg(F.count(F.lit(1)).alias("stored"))
+            except AnalysisException:  # this feed is in another tier
+                continue
+            stored = rows if stored is None else stored.unionByName(rows)
+    kept = read_documents(spark, documents).select(F.get_json_object("_source", "$.source_name").alias("source_name"))
+    kept = kept.groupBy("source_name").agg((F.count(F.lit(1)) / 2).cast("bigint").alias("documents"))
+    runs = spark.read.parquet(f"{monitor}/source_runs").where("status = 'success'").groupBy("source_name").agg(F.count_distinct("run_id").alias("runs"))
+    return stored.join(kept, "source_name", "left").join(runs, "source_name", "left")
+
+
+@register(
+    "incremental_runs",
+    "SELECT event_id, event_type FROM events",
+)
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two incremental runs, the second with rows of the mark's own moment and rows without a time, load every row once."""
+    folders, landing, state = tier_folders(spark), fresh_path(spark, "events"), fresh_path(spark, "state")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    events = views.table(spark, sf_dir, "events").withColumn("changed", F.when(F.col("event_id") % 7 != 0, day))
+    source = {"name": "changes", "type": "parquet", "path": landing, "incremental": {"column": "changed", "keys": ["event_id"]}}
+    mark, even = F.lit("2024-01-15").cast("timestamp_ntz"), F.col("event_id") % 2 == 0
+    early = F.coalesce((F.col("changed") < mark) | ((F.col("changed") == mark) & even), even)
+    for run_id, part in (("first", events.where(early)), ("second", events.where(~early)), ("third", events.limit(0))):
+        part.write.mode("append").parquet(landing)
+        process_all(spark, {"file_sources": [source]}, Run(run_id, RUN_AT, folders, state_path=state))
+    found = None
+    for folder in folders.values():
+        try:
+            rows = spark.read.parquet(f"{folder}/changes").select("event_id", "event_type")
+        except AnalysisException:
+            continue
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@register(
+    "catalog_columns",
+    """SELECT name, type, is_partition, (SELECT count(*) FROM events) AS row_count FROM (VALUES ('event_id', 'bigint', false), ('event_type', 'string', false),
+ ('ingestion_timestamp', 'timestamp_ntz', false), ('classification_level', 'string', false), ('year', 'int', true), ('month', 'int', true), ('day', 'int', true)) t(name, type, is_partition)""",
+)
+def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = add_ingest_columns(views.table(spark, sf_dir, "events").select("event_id", "event_type"), "gold", RUN_AT)
+    name = write_tier_table(graded, "gold", f"described-{uuid.uuid4().hex}", RUN_AT.date(), path=fresh_path(spark, "table"))
+    columns = describe_tables(spark).where(F.col("table_name") == name)
+    rows = spark.read.table(name).agg(F.count(F.lit(1)).alias("row_count"))
+    return columns.select(F.col("column_name").alias("name"), "type", "is_partition", F.lit(rows.first()[0]).cast("bigint").alias("row_count"))

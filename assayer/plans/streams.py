@@ -12,10 +12,11 @@ from assayer.plans import views
 from assayer.plans.batch import Run
 from assayer.plans.catalog import register
 from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2
-from assayer.plans.live import grade_and_write_batches, start_event_streams
+from assayer.plans.live import grade_and_write_batches, start_event_streams, start_graded_streams
 from assayer.plans.scores import FEED_SCORES, FEED_SPEC, TIER_SQL, rounded_tiers
 from assayer.plans.views import AS_OF, CUSTOMER_SRC, DECLARED_FIELDS, EVENT_SRC, RUN_AT
 from assayer.session import fresh_path
+from assayer.sources.payloads import decode_values, value_state
 from assayer.streaming import batches, schema_changes, windows
 from assayer.streaming.runs import read_table_stream, run_available, start_sink
 
@@ -238,10 +239,8 @@ def stream_full_grading(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "stream_schema_changes",
     f"""WITH d AS (SELECT * FROM {DECLARED_FIELDS}),
- v AS (SELECT DISTINCT schema_name, version FROM d),
- old AS (SELECT schema_name, max(version) AS version FROM v WHERE version <= 6 GROUP BY schema_name),
- l AS (SELECT v.schema_name, v.version, d.name, d.type, d.nullable FROM v JOIN old ON old.schema_name = v.schema_name AND v.version > 6
-       JOIN d ON d.schema_name = old.schema_name AND d.version = old.version),
+ v AS (SELECT schema_name, version, lag(version) OVER (PARTITION BY schema_name ORDER BY version) AS old FROM (SELECT DISTINCT schema_name, version FROM d)),
+ l AS (SELECT v.schema_name, v.version, d.name, d.type, d.nullable FROM v JOIN d ON d.schema_name = v.schema_name AND d.version = v.old),
  r AS (SELECT schema_name, version, name, type, nullable FROM d)
  SELECT coalesce(l.schema_name, r.schema_name) AS schema_name, coalesce(l.version, r.version) AS version, coalesce(l.name, r.name) AS field,
   CASE WHEN l.name IS NULL THEN 'add' WHEN r.name IS NULL THEN 'remove' ELSE 'modify' END AS change
@@ -249,7 +248,7 @@ def stream_full_grading(spark: SparkSession, sf_dir: str) -> DataFrame:
  WHERE l.name IS NULL OR r.name IS NULL OR l.type <> r.type OR l.nullable <> r.nullable""",
 )
 def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema versions land in two waves; each new one is compared with the newest one known before."""
+    """Schema versions land in three waves; each new one is compared with the version before it."""
     landed, checkpoint, known, events = (fresh_path(spark, label) for label in ("schemas", "checkpoint", "registry", "changes"))
     definitions = (
         views.declared_fields(spark, sf_dir)
@@ -258,7 +257,7 @@ def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("version", F.to_json(F.struct(F.col("schema_name").alias("name"), "version", "fields")).alias("value"))
     )
     name = query_name("schemas")
-    for wave in (F.col("version") <= 6, F.col("version") > 6):
+    for wave in (F.col("version") <= 6, F.col("version").between(7, 9), F.col("version") > 9):
         definitions.where(wave).select("value").write.mode("append").text(landed)
         run_available(
             start_sink(
@@ -270,3 +269,42 @@ def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     return schema_changes.changed_fields(spark.read.parquet(events))
+
+
+@register("stream_small_batches", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
+def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table kept as a folder of parts, streamed a few files at a time."""
+    folder, path = fresh_path(spark, "tables"), fresh_path(spark, "small")
+    views.table(spark, sf_dir, "events").repartition(7).write.parquet(f"{folder}/events.parquet")
+    run_available(
+        start_sink(
+            read_table_stream(spark, folder, "events", files_per_trigger=2), query_name("small"), fresh_path(spark, "checkpoint"),
+            trigger=None, handler=batches.write_batches(path),
+        )
+    )
+    rows = spark.read.parquet(path)
+    if rows.select("batch_id").distinct().count() < 2:
+        raise ValueError("all parts came in one batch")
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@register(
+    "message_accounting",
+    f"""SELECT count(*) FILTER (WHERE payload = 'not json') AS dead, count(*) FILTER (WHERE payload <> 'not json') AS parsed, count(*) FILTER (WHERE payload IS NULL) AS empty,
+ count(*) FILTER (WHERE payload = 'not json') AS dead_in_stream, count(*) FILTER (WHERE payload IS NULL OR payload <> 'not json') AS rows_in_stream FROM {EVENT_SRC}""",
+)
+def message_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is parsed, dead or empty, whether it is read as a batch or as a graded stream."""
+    source = {"name": "messages", "streaming_enabled": True, "value_schema": "k int", "value_column": "payload"}
+    decoded = decode_values(views.event_src(spark, sf_dir), "k int", "payload")
+    state = value_state(F.col("_raw"), F.col("_corrupt"))
+    batch = decoded.agg(F.count_if(state == "dead_letter").alias("dead"), F.count_if(state == "parsed").alias("parsed"), F.count_if(state == "empty").alias("empty"))
+    path = fresh_path(spark, "messages")
+    started = start_graded_streams(
+        spark, {"kafka_sources": [source]}, Run("run-1", RUN_AT), path, fresh_path(spark, "checkpoint"), trigger=None,
+        read=lambda spark, _: views.as_event_src(read_table_stream(spark, sf_dir, "events")),
+    )
+    run_available(started["messages"])
+    dead = spark.read.parquet(f"{path}/messages/dead_letters").count()
+    rows = spark.read.parquet(f"{path}/messages/rows").count()
+    return batch.withColumns({"dead_in_stream": F.lit(dead).cast("bigint"), "rows_in_stream": F.lit(rows).cast("bigint")})

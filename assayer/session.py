@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -54,17 +53,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
-
-
-# A frame of at most this many rows may be broadcast; beyond it joins go by shuffle.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark an aggregate for broadcast once its size is known.
-
-    It is materialised first, so that counting does not compute it twice. Beyond the bound the
-    frame comes back unmarked and Spark joins by shuffle, splitting hot keys at run time.
-    """
-    small = cut_lineage(df)
-    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small

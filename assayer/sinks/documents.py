@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.functions.text import daily_index
+from assayer.operators.latest import latest_per_key
 
 
-def write_documents(documents: DataFrame, path: str) -> tuple[int, int]:
-    """Write document rows, one JSON line each, by index: (written, rows without content).
+def write_documents(documents: DataFrame, path: str, run_id: str = "") -> tuple[int, int]:
+    """Write document rows, one JSON line each, by run and index: (written, rows without content).
 
-    The counts are observed while the rows are written, so there is no second pass.
+    A repeated run replaces its own documents of these indexes; runs side by side do not touch each
+    other's. The counts are observed while the rows are written, so there is no second pass.
     """
     seen = Observation()
     usable = F.col("_index").isNotNull() & F.col("_source").isNotNull()
@@ -23,14 +26,23 @@ def write_documents(documents: DataFrame, path: str) -> tuple[int, int]:
     (
         observed.where(usable)
         .select("_index", F.to_json(F.struct("_id", "_source")).alias("value"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_index")
-        .text(path)
+        .text(f"{path}/_run={quote(run_id or 'none', safe='')}")
     )
     counts = seen.get
     return counts["written"], counts["errors"]
 
 
+def read_documents(spark: SparkSession, path: str, order: Sequence[str] = ("_run",)) -> DataFrame:
+    """The stored documents (_index, _id, _source): of those with an id the one of the last run, by ``order``."""
+    stored = spark.read.schema("value string, _run string, _index string").text(path)
+    read = stored.select("_run", "_index", F.from_json("value", "_id string, _source string").alias("d")).select("_run", "_index", "d.*")
+    named = latest_per_key(read.where("_id is not null"), ["_index", "_id"], list(order))
+    return named.select("_index", "_id", "_source").unionByName(read.where("_id is null").select("_index", "_id", "_source"))
+
+
 def write_metrics(metrics: DataFrame, path: str, prefix: str = "metrics") -> None:
     """Append metrics rows (see ``stamp_metrics``) by daily index."""
     index = daily_index(prefix, F.col("`@timestamp`"))

@@ -6,6 +6,7 @@ import logging
 import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,12 +29,16 @@ def tier_table_name(tier: str, source_name: str, prefix: str = "data_") -> str:
 
 
 def write_tier_files(
-    df: DataFrame, tier: str, source_name: str, target_paths: Mapping[str, str], ingested_at: datetime
+    df: DataFrame, tier: str, source_name: str, target_paths: Mapping[str, str], ingested_at: datetime, run_id: str | None = None
 ) -> str:
-    """Write a graded dataset as parquet, one folder per ingestion day; a rerun replaces its own day only."""
+    """Write a graded dataset as parquet, one folder per ingestion day and run.
+
+    A repeated run replaces what it wrote itself and nothing else. A run without an id goes by its moment.
+    """
     path = tier_path(target_paths, tier, source_name)
     stamped = add_ingest_columns(df, tier, ingested_at)
-    stamped.write.mode("overwrite").parquet(f"{path}/ingestion_date={ingested_at.date().isoformat()}")
+    run = quote(run_id or f"at {ingested_at.isoformat()}", safe="")
+    stamped.write.mode("overwrite").parquet(f"{path}/ingestion_date={ingested_at.date().isoformat()}/ingestion_run={run}")
     return path
 
 
@@ -63,7 +68,8 @@ def write_tier_table(
 
 
 def write_with_fallback(
-    df: DataFrame, tier: str, source_name: str, target_paths: Mapping[str, str], ingested_at: datetime, **table
+    df: DataFrame, tier: str, source_name: str, target_paths: Mapping[str, str], ingested_at: datetime,
+    run_id: str | None = None, **table
 ) -> tuple[str, str]:
     """Write to the tier table, or to tier files where that fails: ('table' or 'files', where it went)."""
     if tier not in TIERS:
@@ -73,7 +79,7 @@ def write_with_fallback(
         return "table", write_tier_table(stamped, tier, source_name, ingested_at.date(), **table)
     except Exception as failure:  # the table store may be down in ways Spark reports differently
         log.warning("table write of %s failed, writing files: %s", source_name, failure)
-        return "files", write_tier_files(df, tier, source_name, target_paths, ingested_at)
+        return "files", write_tier_files(df, tier, source_name, target_paths, ingested_at, run_id)
 
 
 def write_rejected(
@@ -84,13 +90,12 @@ def write_rejected(
     target_paths: Mapping[str, str],
     ingested_at: datetime,
 ) -> tuple[str, str]:
-    """Write rejected data to its own place, and beside it the issues that explain the rejection."""
-    path = write_tier_files(df, "rejected", source_name, target_paths, ingested_at)
+    """Write rejected data to its own place, and beside it the issues that explain the rejection.
+
+    Every run and source has a folder of its own, so that sources can be written at once.
+    """
+    path = write_tier_files(df, "rejected", source_name, target_paths, ingested_at, run_id)
     issues_path = tier_path(target_paths, "rejected", "issues")
-    (
-        issues.withColumns({"run_id": F.lit(run_id), "source_name": F.lit(source_name)})
-        .write.mode("append")
-        .partitionBy("run_id")
-        .parquet(issues_path)
-    )
+    own = f"{issues_path}/rejected_run={quote(run_id, safe='')}/rejected_source={quote(source_name, safe='')}"
+    issues.withColumns({"run_id": F.lit(run_id), "source_name": F.lit(source_name)}).write.mode("overwrite").parquet(own)
     return path, issues_path

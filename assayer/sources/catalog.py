@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from assayer.sources.config import SECRET, all_sources, without_secrets
 
-CATALOG_SCHEMA = "name string, family string, location string, enabled boolean, streaming boolean, settings string"
-
 
 def read_table(spark: SparkSession, table: str | None, database: str | None = None) -> DataFrame:
     """A table of the catalog."""
@@ -32,34 +30,30 @@ def describe_tables(spark: SparkSession, database: str | None = None) -> DataFra
     return spark.createDataFrame(rows, "table_name string, column_name string, type string, is_partition boolean")
 
 
-def location_of(family: str, source: Mapping[str, Any]) -> str:
-    """Where a source's data lies."""
-    if family == "database":
-        return str(source.get("table") or source.get("query") or "")
-    if family == "kafka":
-        return str(source.get("topic", ""))
-    return str(source.get("path") or source.get("url") or "")
+def catalog_rows(configured: DataFrame) -> DataFrame:
+    """One row per configured source (name, family, settings as a map, enabled, streaming): where its data lies, and no secrets."""
+    settings = F.map_filter("settings", lambda k, _: ~F.lower(k).rlike(SECRET.pattern))
+
+    def first_of(*keys: str) -> Column:
+        return F.coalesce(*[F.nullif(F.try_element_at("settings", F.lit(k)), F.lit("")) for k in keys], F.lit(""))
+
+    location = F.when(F.col("family") == "database", first_of("table", "query")).when(F.col("family") == "kafka", first_of("topic")).otherwise(first_of("path", "url"))
+    return configured.select("name", "family", location.alias("location"), "enabled", "streaming", F.to_json(settings).alias("settings"))
 
 
 def source_catalog(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
-    """One row per configured source; secrets are left out."""
+    """One row per source of a configuration; secrets are left out at every depth."""
     rows = [
         (
             s.get("name"),
             family,
-            location_of(family, s),
+            {k: v if isinstance(v, str) else json.dumps(v, sort_keys=True) for k, v in sorted(without_secrets(s).items())},
             bool(s.get("enabled", True)),
             bool(s.get("streaming_enabled", False)),
-            json.dumps(without_secrets(s), sort_keys=True),
         )
         for family, s in all_sources(config)
     ]
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
-
-
-def drop_secrets(settings: Column) -> Column:
-    """A map of settings without the secret ones, for catalogs kept as tables."""
-    return F.map_filter(settings, lambda k, _: ~F.lower(k).rlike(SECRET.pattern))
+    return catalog_rows(spark.createDataFrame(rows, "name string, family string, settings map<string,string>, enabled boolean, streaming boolean"))
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:

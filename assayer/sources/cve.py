@@ -23,14 +23,13 @@ CVE_TYPE = (
 )
 PAGE_SCHEMA = f"totalResults bigint, resultsPerPage bigint, startIndex bigint, vulnerabilities array<struct<cve:{CVE_TYPE}>>"
 RESULTS_PER_PAGE = 2000
-MAX_PAGES = 10
 
 
-def read_cve_pages(pages: DataFrame, results_per_page: int = RESULTS_PER_PAGE, max_pages: int | None = MAX_PAGES) -> DataFrame:
-    """Records of landed feed pages (column ``payload``), as far as paging would have read them.
+def read_cve_pages(pages: DataFrame, results_per_page: int = RESULTS_PER_PAGE, max_pages: int | None = None) -> DataFrame:
+    """Records of landed feed pages (column ``payload``).
 
     Page ``n`` starts at ``n * results_per_page``; the first page is always read, further ones up
-    to the feed's total or ``max_pages``. A feed without records gives an empty frame with the same columns.
+    to the feed's total. ``max_pages`` is a limit that a caller may set. A feed without records gives an empty frame with the same columns.
     """
     parsed = pages.select(F.from_json("payload", PAGE_SCHEMA).alias("p")).select("p.*")
     start = F.coalesce(F.col("startIndex"), F.lit(0))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +16,24 @@ from assayer.operators.latest import latest_per_key
 STATE_SCHEMA = "source string, high_water timestamp_ntz, records bigint, saved_at timestamp"
 
 
-def incremental_scan(df: DataFrame, modified: str, high_water: datetime | None) -> DataFrame:
-    """Rows modified after the high-water mark; everything on the first run. The filter reaches the scan."""
+def incremental_scan(
+    df: DataFrame, modified: str, high_water: datetime | None, loaded: DataFrame | None = None, keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows modified at the high-water mark or after it, or at no known time; everything on the first run.
+
+    The filter reaches the scan. Rows of the very moment of the mark, and rows without a time, may have
+    been written before: with ``loaded``, what was written so far, they are left out again, by ``keys`` and
+    time, or by all columns if there are no keys.
+    """
     if high_water is None:
         return df
-    return df.where(F.col(modified) > _literal(df, modified, high_water))
+    due = F.col(modified).isNull() | (F.col(modified) >= _literal(df, modified, high_water))
+    rows = df.where(due)
+    if loaded is None:
+        return rows
+    same = list(dict.fromkeys([*(keys or [c for c in df.columns if c in loaded.columns]), modified]))
+    known = loaded.where(F.col(modified).isNull() | (F.col(modified) >= _literal(df, modified, high_water))).select(*(F.col(c).alias(f"__{c}") for c in same)).distinct()
+    return rows.join(known, reduce(and_, [rows[c].eqNullSafe(known[f"__{c}"]) for c in same]), "left_anti")
 
 
 def date_range(df: DataFrame, column: str, start: datetime | None, end: datetime | None) -> DataFrame:
@@ -50,9 +66,10 @@ def load_high_water(spark: SparkSession, state_path: str, source: str) -> dateti
 
 
 def advance_high_water(written: DataFrame, modified: str, state_path: str, source: str) -> None:
-    """Move the mark to the newest row actually written; call it after the write committed.
+    """Move the mark to the newest row written; call it after the write committed.
 
-    Without new rows the mark stays, so nothing is ever skipped.
+    ``written`` must be the rows as they were written, not a source that may have changed since. Without
+    new rows the mark stays.
     """
     (
         written.agg(

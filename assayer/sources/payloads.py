@@ -6,20 +6,15 @@ read by expressions, file by file, in parallel; the paging rule is an aggregate
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayer.functions.payload import is_truthy, lookup, lookup_array, read_paths
-from assayer.session import broadcast_if_small
-
-# Fixed value: pages read per source unless the source says otherwise.
-MAX_PAGES = 10
-
+from assayer.functions.payload import is_json_null, is_truthy, lookup, lookup_array, read_paths
 
 def extract_path(payloads: DataFrame, results_path: str, element: str, payload: str = "payload") -> DataFrame:
     """Rows of the array (or the one object) found at a dotted path; a missing path yields no rows."""
@@ -34,22 +29,24 @@ def normalise_pages(
     results_path: str = "",
     has_more_path: str | None = None,
     next_link_path: str | None = None,
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Items of all pages a source would have been asked for: (source, page, position, item).
 
     Reading stops behind the first page that names no further one, and before the first page
-    whose results are no list. A missing path counts as an empty list. The stop of each source
-    is one row of an aggregate, so a source with most of the pages is read by all tasks, and
-    only pages that are kept have their items parsed.
+    whose results are no list; a JSON null is none. A missing path counts as an empty list.
+    ``max_pages`` is a limit that a caller may set; without it all landed pages count. The stop
+    of each source is one row of an aggregate, so a source with most of the pages is read by all
+    tasks, and only pages that are kept have their items parsed.
     """
-    read = pages.where(F.col("page") <= max_pages)
+    read = pages if max_pages is None else pages.where(F.col("page") <= max_pages)
     payload = F.col("payload")
     more_path = next_link_path or has_more_path
     wanted = {path: "string" for path in (results_path, more_path) if path}
     found = read_paths(payload, wanted) if wanted else {}
     results = found.get(results_path, payload)
-    is_list = F.coalesce(results.isNull() | F.startswith(F.trim(results), F.lit("[")), F.lit(False))
+    is_list = F.startswith(F.trim(results), F.lit("[")) | (results.isNull() & ~is_json_null(payload, results_path))
+    is_list = F.coalesce(is_list, F.lit(False))
     last = ~is_truthy(found[more_path]) if more_path else F.lit(False)
     stops = (
         read.select("source", "page", is_list.alias("is_list"), last.alias("last"))
@@ -65,7 +62,7 @@ def normalise_pages(
         else F.from_json(payload, f"array<{element}>")
     )
     return (
-        read.join(broadcast_if_small(stops), "source")
+        read.join(stops, "source")
         .where(F.coalesce(F.col("page") <= F.col("last_page"), F.lit(True)))
         .where(F.coalesce(F.col("page") < F.col("bad_page"), F.lit(True)))
         .select("source", "page", F.posexplode(items).alias("position", "item"))
@@ -84,18 +81,27 @@ def json_files_rows(spark: SparkSession, path: str, schema: str | None = None, m
 
 
 def infer_element(pages: DataFrame, results_path: str = "") -> str | None:
-    """The element type of the results of landed pages, from the first page that has any."""
-    results = F.trim(lookup(F.col("payload"), results_path))
-    filled = pages.select(results.alias("r")).where(F.col("r").rlike(r"^\[\s*[^\]\s]"))
-    found = filled.first()
+    """The element type of the results of landed pages, from the results of all of them."""
+    results = pages.select(lookup(F.col("payload"), results_path).alias("value")).where(F.trim("value").startswith("["))
+    found = infer_json_schema(results)
     if found is None:
         return None
-    return T.DataType.fromDDL(infer_json_schema(pages.sparkSession, found["r"])).elementType.simpleString()
+    element = T.DataType.fromDDL(found).elementType
+    return None if isinstance(element, T.StringType) else element.simpleString()
 
 
-def infer_json_schema(spark: SparkSession, sample: str) -> str:
-    """The DDL type of one sample value."""
-    return spark.range(1).select(F.schema_of_json(F.lit(sample)).alias("ddl")).first()["ddl"]
+def infer_json_schema(values: DataFrame, value: str = "value") -> str | None:
+    """The DDL type that all JSON values of a column fit, from one aggregate over all of them.
+
+    Fields that some values lack are part of it. Where values differ in kind the type is text; numbers
+    with fractions are doubles. None if no value is JSON, or if objects and others are mixed.
+    """
+    found = values.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(value).cast("string"))).alias("s")).first()["s"]
+    if found is None or found in ("VOID", "VARIANT"):
+        return None
+    for pattern, kind in ((r"OBJECT<>", "STRING"), (r"OBJECT<", "STRUCT<"), (r"DECIMAL\(\d+, *\d+\)", "DOUBLE"), (r"(?<=: )(VOID|VARIANT)|(?<=ARRAY<)(VOID|VARIANT)", "STRING")):
+        found = re.sub(pattern, kind, found)
+    return found
 
 
 def csv_payload_rows(spark: SparkSession, path: str, schema: str | None = None, **options: str) -> DataFrame:
@@ -138,11 +144,12 @@ def xml_text_rows(payloads: DataFrame, element: str, row_tag: str = "row", paylo
     return payloads.select(*others, F.explode(read[row_tag]).alias("item")).select(*others, "item.*")
 
 
-def parse_value(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
+def parse_value(df: DataFrame, schema: str | T.StructType, value: str = "value") -> DataFrame:
     """JSON values as columns of a declared schema; a value that is no JSON object goes to ``_corrupt``."""
+    declared = schema if isinstance(schema, T.StructType) else T.DataType.fromDDL(schema)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     others = [c for c in df.columns if c != value]
-    wanted = T.StructType([*T.DataType.fromDDL(schema), T.StructField("_corrupt", T.StringType())])
+    wanted = T.StructType([*declared, T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(F.col(value).cast("string"), wanted, options)
     return df.select(*others, F.col(value).alias("_raw"), parsed.alias("v")).select(*others, "_raw", "v.*")
 
@@ -156,22 +163,28 @@ def value_type(declared: Mapping | str | None) -> T.StructType | None:
     return found if isinstance(found, T.StructType) and len(found) else None
 
 
-def decode_values(df: DataFrame, declared: Mapping | str | None, sample: str | None = None, value: str = "value") -> DataFrame:
-    """Message values as columns, null where a value cannot be decoded.
+def decode_values(df: DataFrame, declared: Mapping | str | None, value: str = "value") -> DataFrame:
+    """Message values as columns, beside ``_raw``, ``_corrupt`` and ``_message``, the other columns of ``df``.
 
-    Without a usable declaration the type is taken from a sample value; without a usable sample
-    either, or if nothing is declared at all, the value stays text.
+    A value that is no JSON object has its text in ``_corrupt``, so that no message is lost (see
+    ``split_decoded``). If what is declared is no type, the type is taken from all values; without any,
+    or if nothing is declared, the value stays text.
     """
-    text = df.select(F.col(value).cast("string").alias(value))
     wanted = value_type(declared)
-    if wanted is None and declared is not None and sample is not None:
-        try:
-            wanted = value_type(infer_json_schema(df.sparkSession, sample))
-        except (PySparkException, Py4JJavaError):  # the sample is no JSON
-            wanted = None
+    if wanted is None and declared is not None and not df.isStreaming:
+        wanted = value_type(infer_json_schema(df, value))
+    others = [c for c in df.columns if c != value]
+    kept = df.select(*([F.struct(*others).alias("_message")] if others else []), F.col(value).cast("string").alias(value))
     if wanted is None:
-        return text
-    return text.select(F.from_json(value, wanted).alias("v")).select("v.*")
+        return kept.withColumns({"_raw": F.col(value), "_corrupt": F.lit(None).cast("string")})
+    return parse_value(kept, wanted, value)
+
+
+def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(decoded rows, dead letters: the raw value with what came with it, such as key, offset and time)."""
+    beside = ["_message.*"] if "_message" in decoded.columns else []
+    rows = decoded.where(F.col("_corrupt").isNull()).drop("_raw", "_corrupt", "_message")
+    return rows, decoded.where(F.col("_corrupt").isNotNull()).select(*beside, F.col("_raw").alias("raw_value"))
 
 
 def value_state(raw: Column, corrupt: Column) -> Column:

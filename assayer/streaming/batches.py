@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +19,8 @@ from assayer.sinks.tiers import tier_path
 from assayer.sources.payloads import parse_value, split_values, value_state
 from assayer.streaming.runs import start_sink
 
+log = logging.getLogger(__name__)
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -34,16 +38,18 @@ def write_batches(path: str) -> Handler:
 
 
 def replace_result(path: str) -> Handler:
-    """Keep the newest complete result: each batch is written beside the last one."""
-    return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    """Keep complete results: each batch's is written beside the last one, over the one but last."""
+    return lambda batch, batch_id: overwrite_batch(batch.withColumn("__batch", F.lit(batch_id)), path, batch_id % 2)
 
 
 def read_result(spark: SparkSession, path: str, query: StreamingQuery) -> DataFrame:
-    """The result that the last batch of a ``complete`` query left."""
-    done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
-    if not done:
-        raise ValueError("the stream has not delivered anything")
-    return spark.read.parquet(f"{path}/batch={max(done):012d}")
+    """The result that the last batch of a ``complete`` query left, however many batches there were."""
+    try:
+        both = spark.read.parquet(path).drop("batch_id")
+    except AnalysisException:
+        raise ValueError("the stream has not delivered anything") from None
+    last = both.agg(F.max("__batch")).first()[0]
+    return both.where(F.col("__batch") == last).drop("__batch")
 
 
 def write_tier_batches(path: str, run_moment: datetime | None = None) -> Handler:
@@ -93,9 +99,18 @@ def split_batches(schema: str, path: str, value: str = "value") -> Handler:
     return handle
 
 
-def per_event(schema: str, callback: Callable[[DataFrame, int], None], value: str = "value") -> Handler:
-    """Hand the decoded events of a batch on as a frame; undecodable ones are skipped."""
-    return lambda batch, batch_id: callback(split_values(batch, schema, value)[0], batch_id)
+def per_event(schema: str, callback: Callable[[DataFrame, int], None], value: str = "value", dead_path: str | None = None) -> Handler:
+    """Hand the decoded events of a batch on as a frame; undecodable ones are written to ``dead_path`` or counted in the log."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        good, bad = split_values(batch, schema, value)
+        if dead_path:
+            overwrite_batch(bad, dead_path, batch_id)
+        else:
+            log.warning("batch %s: %s messages could not be decoded", batch_id, bad.count())
+        callback(good, batch_id)
+
+    return handle
 
 
 def batch_stats(path: str) -> Handler:

@@ -17,12 +17,13 @@ SINKS = ("foreachBatch", "console", "memory", "kafka", "parquet")
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet table in a folder as a stream of its files."""
+    """A parquet table, one file or a folder of parts, as a stream of its files. A table that is not there is an error."""
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # As a pattern the path may be a file as well; a plain one would have to be a folder.
+    return reader.parquet(f"{folder}/{table}.parque[t]")
 
 
 def start_sink(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayer.operators.latest import latest_per_key
 from assayer.operators.registry import FIELD_TYPE, both_sides
+from assayer.session import cut_lineage
 from assayer.streaming.batches import overwrite_batch
 
 
@@ -39,20 +40,22 @@ def record_schema_changes(registry_path: str, events_path: str) -> Callable[[Dat
     """Register each new schema version and append a ``schema_updated`` event with old and new definition.
 
     Both tables are written by batch id, so a batch that runs twice is recorded once. The old
-    definition is the newest one registered before this batch.
+    definition is that of the version before it, in this batch or registered earlier, so the events do
+    not depend on how versions are dealt into batches as long as they land in order.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = cut_lineage(batch)
+        versions = batch.withColumn("__new", F.lit(True))
         try:
             registered = batch.sparkSession.read.parquet(registry_path).where(F.col("batch_id") < batch_id)
-            known = latest_per_key(
-                registered.select("schema_name", "version", F.col("definition").alias("old_definition")),
-                ["schema_name"],
-                ["version"],
-            ).drop("version")
+            names = batch.select("schema_name").distinct()
+            known = latest_per_key(registered.select("schema_name", "version", "definition").join(names, "schema_name", "left_semi"), ["schema_name"], ["version"])
+            versions = versions.unionByName(known.withColumn("__new", F.lit(False)).select(*versions.columns))
         except AnalysisException:  # no version was registered yet
-            known = batch.select("schema_name", F.col("definition").alias("old_definition")).where(F.lit(False))
-        events = batch.join(known, "schema_name", "left").select(
+            pass
+        before = F.lag("definition").over(Window.partitionBy("schema_name").orderBy("version", "__new"))
+        events = versions.withColumn("old_definition", before).where("__new").select(
             F.lit("schema_updated").alias("event_type"),
             "schema_name",
             "version",

@@ -23,6 +23,8 @@ def test_configuration_files(tmp_path, monkeypatch):
 def test_arguments():
     args = command.parse(["c.json", "--source", "s", "--verbose"])
     assert (args.config, args.source, args.streaming, args.trigger_interval) == ("c.json", "s", False, "10 seconds")
+    windows = command.parse(["c.json", "--streaming", "--window", "1 hour", "--slide", "5 minutes"])
+    assert (windows.window, windows.slide) == ("1 hour", "5 minutes")
 
 
 def test_a_batch_run(spark, sf_dir, tmp_path, capsys, monkeypatch):
@@ -34,4 +36,5 @@ def test_a_batch_run(spark, sf_dir, tmp_path, capsys, monkeypatch):
     command.main([str(path)])
     command.main([str(path), "--source", "customers"])
     assert "customers" in capsys.readouterr().out
-    assert spark.read.parquet(str(tmp_path / "bronze" / "customers")).count() == 150
+    written = spark.read.parquet(str(tmp_path / "bronze" / "customers"))
+    assert [r["count"] for r in written.groupBy("ingestion_run").count().collect()] == [150, 150]  # each run keeps its own

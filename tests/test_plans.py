@@ -42,7 +42,7 @@ def test_aggregates_shuffle_partial_results_once(spark, sf_dir):
 @pytest.mark.parametrize(
     ("name", "pushed"),
     [("date_range_filter", "GreaterThanOrEqual(o_orderdate"), ("retention", "GreaterThanOrEqual(ts"),
-     ("incremental_load", "GreaterThan(ts"), ("event_filter", "In(event_type"), ("document_search", "EqualTo(lang,en)")],
+     ("incremental_load", "Or(IsNull(ts),GreaterThanOrEqual(ts"), ("event_filter", "In(event_type"), ("document_search", "EqualTo(lang,en)")],
 )
 def test_filters_reach_the_scan(spark, sf_dir, name, pushed):
     assert pushed in plan(QUERIES[name](spark, sf_dir))

@@ -76,7 +76,7 @@ def test_pages_stop_where_the_flag_is_missing_and_at_the_limit(spark):
     landed = pages(spark, [body(1), {"data": {"items": [{"id": 2}]}}, body(3)])
     assert ids(payloads.normalise_pages(landed, "struct<id:int>", "data.items", "meta.has_more")) == [1, 2]
     many = pages(spark, [body(i) for i in range(15)])
-    assert ids(payloads.normalise_pages(many, "struct<id:int>", "data.items", "meta.has_more")) == list(range(10))
+    assert ids(payloads.normalise_pages(many, "struct<id:int>", "data.items", "meta.has_more")) == list(range(15))
     assert ids(payloads.normalise_pages(many, "struct<id:int>", "data.items", max_pages=12)) == list(range(12))
 
 
@@ -87,6 +87,11 @@ def test_pages_without_list_end_reading_and_missing_ones_do_not(spark):
     assert ids(payloads.normalise_pages(landed, "struct<id:int>", "data.items", "meta.has_more")) == [1, 3]
 
 
+def test_a_json_null_stops_reading(spark):
+    landed = pages(spark, [body(1), {"data": {"items": None}, "meta": {"has_more": True}}, body(3)])
+    assert ids(payloads.normalise_pages(landed, "struct<id:int>", "data.items", "meta.has_more")) == [1]
+
+
 def test_a_broken_last_page_does_not_hide_an_earlier_stop(spark):
     landed = pages(spark, [body(1, more=False), {"data": {"items": 5}, "meta": {}}, body(3)])
     assert ids(payloads.normalise_pages(landed, "struct<id:int>", "data.items", "meta.has_more")) == [1]
@@ -170,28 +175,39 @@ def test_event_values(spark):
     assert sorted((r["i"], r["k"]) for r in good.collect() if r["k"] is not None) == [(1, 5)]
     assert sorted(r["i"] for r in good.collect()) == [1, 3, 4]
     assert [tuple(r) for r in bad.collect()] == [(2, "not json")]
-    ddl = payloads.infer_json_schema(spark, '{"k": 5, "s": {"t": [1.5]}}')
-    assert payloads.parse_value(df, ddl).columns == ["i", "_raw", "k", "s", "_corrupt"]
+    ddl = payloads.infer_json_schema(df.unionByName(spark.createDataFrame([(5, '{"s": {"t": [1.5, 2]}, "n": null}')], df.schema)))
+    assert payloads.parse_value(df, ddl).columns == ["i", "_raw", "k", "n", "s", "_corrupt"]
+    assert ddl == "STRUCT<k: BIGINT, n: STRING, s: STRUCT<t: ARRAY<DOUBLE>>>"
 
 
-def test_message_values_by_declaration_sample_or_as_text(spark):
-    df = spark.createDataFrame([('{"k": 5, "s": "x"}',), ("not json",), (None,)], "value string")
+def test_message_values_by_declaration_by_all_values_or_as_text(spark):
+    df = spark.createDataFrame([(1, '{"k": 5, "s": "x"}'), (2, "not json"), (3, None), (4, '{"other": true}')], "offset bigint, value string")
 
-    def decoded(declared, sample=None):
-        found = payloads.decode_values(df, declared, sample)
-        return found.columns, [tuple(r) for r in found.collect()]
+    def decoded(declared, df=df):
+        rows, dead = payloads.split_decoded(payloads.decode_values(df, declared))
+        return rows.columns, [tuple(r) for r in rows.collect()], [tuple(r) for r in dead.collect()]
 
     declared = {"type": "struct", "fields": [{"name": "k", "type": "integer", "nullable": True, "metadata": {}}]}
-    assert decoded(declared) == (["k"], [(5,), (None,), (None,)])
-    assert decoded("k int, s string") == (["k", "s"], [(5, "x"), (None, None), (None, None)])
-    assert decoded("avro", '{"k": 1}') == (["k"], [(5,), (None,), (None,)])
-    text = (["value"], [('{"k": 5, "s": "x"}',), ("not json",), (None,)])
-    assert decoded(None, '{"k": 1}') == decoded("avro") == decoded("avro", "not json") == decoded({"type": "x"}, "[1]") == text
+    lost = [(2, "not json")]
+    assert decoded(declared) == (["k"], [(5,), (None,), (None,)], lost)
+    assert decoded("k int, s string") == (["k", "s"], [(5, "x"), (None, None), (None, None)], lost)
+    # every field that any value has
+    assert decoded("avro") == (["k", "other", "s"], [(5, None, "x"), (None, None, None), (None, True, None)], lost)
+    text = (["value"], [('{"k": 5, "s": "x"}',), ("not json",), (None,), ('{"other": true}',)], [])
+    assert decoded(None) == text
+    assert decoded("avro", spark.createDataFrame([(1, "no")], df.schema)) == (["value"], [("no",)], [])
+
+
+def test_decoded_fields_may_have_the_names_of_message_columns(spark):
+    df = spark.createDataFrame([("a", 1, '{"key": "own", "offset": 7}'), ("b", 2, "{")], "key string, offset bigint, value string")
+    rows, dead = payloads.split_decoded(payloads.decode_values(df, "key string, offset int"))
+    assert [tuple(r) for r in rows.collect()] == [("own", 7)]
+    assert [r.asDict() for r in dead.collect()] == [{"key": "b", "offset": 2, "raw_value": "{"}]
 
 
 def test_element_type_of_landed_pages(spark):
-    landed = pages(spark, [{"data": {"items": []}}, body(1), body(2)])
-    assert payloads.infer_element(landed, "data.items") == "struct<id:bigint>"
+    landed = pages(spark, [{"data": {"items": []}}, body(1), {"data": {"items": [{"id": 2, "extra": "x"}]}}])
+    assert payloads.infer_element(landed, "data.items") == "struct<extra:string,id:bigint>"
     assert payloads.infer_element(landed, "nowhere") is None
 
 
@@ -257,20 +273,25 @@ def test_cve_filters(spark):
 
 def test_incremental_loads_skip_and_repeat_nothing(spark, tmp_path):
     state = str(tmp_path / "state")
-    rows = [(i, dt.datetime(2024, 1, i)) for i in range(1, 11)]
     schema = "id int, t timestamp_ntz"
-    first = spark.createDataFrame(rows[:4], schema)
-    mark = incremental.load_high_water(spark, state, "s")
-    assert mark is None
-    loaded = incremental.incremental_scan(first, "t", mark)
-    incremental.advance_high_water(loaded, "t", state, "s")
-    later = incremental.incremental_scan(spark.createDataFrame(rows, schema), "t", incremental.load_high_water(spark, state, "s"))
-    assert [r["id"] for r in later.orderBy("id").collect()] == [5, 6, 7, 8, 9, 10]
-    incremental.advance_high_water(later, "t", state, "s")
-    nothing = incremental.incremental_scan(spark.createDataFrame(rows, schema), "t", incremental.load_high_water(spark, state, "s"))
-    assert nothing.count() == 0
-    incremental.advance_high_water(nothing, "t", state, "s")
-    assert incremental.load_high_water(spark, state, "s") == dt.datetime(2024, 1, 10)
+    day = lambda n: dt.datetime(2024, 1, n)
+    arrivals = [
+        [(i, day(i)) for i in range(1, 5)] + [(100, None)],
+        [(i, day(i)) for i in range(5, 8)] + [(40, day(4)), (101, None)],  # one of the mark's own moment, one without a time
+        [],
+        [(70, day(7)), (4, day(8))],  # a late tie, and a changed row
+    ]
+    there, loaded = [], None
+    for wave in arrivals:
+        there += wave
+        df = spark.createDataFrame(there, schema)
+        rows = incremental.incremental_scan(df, "t", incremental.load_high_water(spark, state, "s"), loaded, ["id"])
+        got = [tuple(r) for r in rows.collect()]
+        assert sorted(got, key=str) == sorted(wave, key=str)
+        new = spark.createDataFrame(got, schema)
+        incremental.advance_high_water(new, "t", state, "s")
+        loaded = new if loaded is None else loaded.unionByName(new)
+    assert incremental.load_high_water(spark, state, "s") == day(8)
     assert incremental.load_high_water(spark, state, "other") is None
 
 

@@ -269,3 +269,33 @@ def test_event_mode(spark, sf_dir, tmp_path):
     runs.run_available(started["events"])
     expected = views.table(spark, sf_dir, "events").agg(F.sum(F.get_json_object("props", "$.k").cast("int"))).first()[0]
     assert sum(seen) == expected
+
+
+@pytest.mark.parametrize("per_trigger", [None, 1, 3])
+def test_tables_kept_as_a_file_or_as_a_folder_of_parts(spark, sf_dir, tmp_path, per_trigger):
+    views.table(spark, sf_dir, "events").repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    views.table(spark, sf_dir, "events").write.parquet(str(tmp_path / "events.parquet.old"))  # not this table
+    for folder, name in ((str(tmp_path), "parts"), (sf_dir, "file")):
+        stream = runs.read_table_stream(spark, folder, "events", per_trigger)
+        out = str(tmp_path / f"out-{name}-{per_trigger}")
+        runs.run_available(runs.start_sink(stream, f"{name}-{per_trigger}", str(tmp_path / "c"), trigger=None, handler=batches.write_batches(out)))
+        rows = spark.read.parquet(out)
+        assert rows.count() == 1000
+        if per_trigger and name == "parts":
+            assert rows.select("batch_id").distinct().count() == -(-5 // per_trigger)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        runs.read_table_stream(spark, str(tmp_path), "absent")
+
+
+def test_schema_changes_do_not_depend_on_the_waves(spark, tmp_path):
+    versions = [(n, '{"name": "s", "version": %d, "fields": [%s]}' % (n, ", ".join('{"name": "f%d", "type": "int", "nullable": true}' % k for k in range(n % 3, n)))) for n in range(1, 8)]
+    found = []
+    for size in (1, 3, 7):
+        landed, known, events = (str(tmp_path / f"{label}{size}") for label in ("landed", "known", "events"))
+        for start in range(0, 7, size):
+            part = spark.createDataFrame(versions[start : start + size], "n int, value string").select("value")
+            part.write.mode("append").text(landed)
+            stream = schema_changes.schema_file_stream(spark, landed, "*.txt", one_per_file=False)
+            runs.run_available(runs.start_sink(stream, f"waves{size}", str(tmp_path / "c"), trigger=None, handler=schema_changes.record_schema_changes(known, events)))
+        found.append(sorted(tuple(r) for r in schema_changes.changed_fields(spark.read.parquet(events)).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 7

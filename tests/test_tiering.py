@@ -81,9 +81,8 @@ def test_group_quality_columns_match_null_groups(spark):
     assert {(r["g"], r["metric_completeness"]) for r in rows} == {("a", 1.0), (None, 0.25)}
 
 
-def test_group_quality_columns_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(tiering, "broadcast_if_small", lambda df: __import__("assayer.session", fromlist=["x"]).broadcast_if_small(df, 1))
-    df = spark.range(100).withColumn("g", F.col("id") % 10)
+def test_group_quality_columns_without_broadcast(spark):
+    df = spark.range(100).hint("merge").withColumn("g", F.col("id") % 10)
     joined = tiering.add_group_quality_columns(df, tiering.tier(df, QualitySpec(), by=["g"]), ["g"])
     assert joined.count() == 100
     assert joined.where("data_classification IS NULL").count() == 0
