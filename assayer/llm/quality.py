@@ -129,7 +129,8 @@ def upper_bound(k: int, n: int, error: float) -> float:
 class Risk:
     """At most ``false_rejection`` of any stratum's good documents are rejected, with probability 1 - ``error``.
 
-    A candidate is proposed only if it catches ``lift`` times as large a share of the bad as of the good.
+    A candidate is proposed only if it catches ``lift`` times as large a share of the bad as of the good, by
+    itself and in what it adds to the candidates before it.
     """
 
     false_rejection: float = 0.05
@@ -228,13 +229,14 @@ def learn_rules(features: DataFrame, labels: DataFrame, risk: Risk = Risk()) ->
         for step, (_, k, c) in enumerate(sorted(offers)):
             rules.steps[stratum, c][k] = step
 
+    drop_costly_steps(rules, known.where("not held"), risk)
     held = known.where("held and quality = 1").groupBy("stratum", first_step(rules)["step"].alias("step")).agg(F.count("*").alias("n")).collect()
     strata = sorted({s for s, _ in cuts})
     for stratum in strata:
         own = {r["step"]: r["n"] for r in held if r["stratum"] == stratum}
         total, rejected = sum(own.values()), 0
         rules.certified[stratum] = -1
-        for step in range(sum(len(v) for (s, _), v in rules.steps.items() if s == stratum)):
+        for step in sorted(k for (s, _), v in rules.steps.items() if s == stratum for k in v.tolist()):
             rejected += own.get(step, 0)
             if upper_bound(rejected, total, risk.error / len(strata)) > risk.false_rejection:
                 break
@@ -242,6 +244,17 @@ def learn_rules(features: DataFrame, labels: DataFrame, risk: Risk = Risk()) ->
     return rules
 
 
+def drop_costly_steps(rules: Rules, known: DataFrame, risk: Risk) -> None:
+    """Drop the cutoffs whose own step, after those before it, catches too few more bad for the good it costs."""
+    rows = known.groupBy("stratum", "quality", first_step(rules)["step"].alias("step")).agg(F.count("*").alias("n")).collect()
+    counts = {(r["stratum"], r["quality"], r["step"]): r["n"] for r in rows}
+    totals = {key: sum(n for (s, q, _), n in counts.items() if (s, q) == key) for key in {(s, q) for s, q, _ in counts}}
+    for (stratum, c), steps in rules.steps.items():
+        bad, good = (np.array([counts.get((stratum, q, k), 0) for k in steps.tolist()]) / max(totals.get((stratum, q), 0), 1) for q in (0, 1))
+        worth = (bad > 0) & (bad >= risk.lift * good)
+        rules.cuts[stratum, c], rules.steps[stratum, c] = rules.cuts[stratum, c][worth], steps[worth]
+
+
 def judge(features: DataFrame, rules: Rules) -> DataFrame:
     """doc_id, the base numbers, base_failed, kept and the rule that rejects (null if none of these does)."""
     last = F.create_map(*[x for s, k in sorted(rules.certified.items()) for x in (F.lit(s), F.lit(k))]) if rules.certified else F.create_map().cast("map<string,int>")
