@@ -25,7 +25,7 @@ HOT_WORDS = 100_000
 FILTER_BITS = 1 << 27
 BITS_PER_ENTRY, PROBES, SEGMENTS = 10, 4, 64
 BASE = 1.5  # of the logarithm that quantises counts
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 _U = np.uint64
 
 
@@ -281,8 +281,8 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
         base = np.log10((exact + 1) / norm)
         fields = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_hot", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
                 tokens = [codes.of(t) for t in batch.column(3).to_pylist()]
                 w = np.concatenate([x for t in tokens for x in (t, [end])]).astype(np.int64)
                 u = np.concatenate([x for t in tokens for x in ([end], t)]).astype(np.int64)
