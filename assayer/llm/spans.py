@@ -100,7 +100,7 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         starts = np.flatnonzero(new)
         pairs = np.stack((spans["first"], spans["count"]), 1).astype("<i4")
         data = [pairs[s:e].tobytes() for s, e in zip(starts, np.append(starts, len(spans))[1:], strict=True)]
-        bucket = ((spans["mark"][starts] % buckets + buckets) % buckets).astype(np.int32)
+        bucket = np.arange(len(starts), dtype=np.int32) % buckets  # anywhere: equal texts need not meet here
         return pa.table([pa.array(bucket, pa.int32()), pa.array(spans["doc"][starts], pa.int64()), pa.array(spans["mark"][starts], pa.int64()), pa.array(data, pa.binary())], schema=PART)
 
     def prepare(batches):
