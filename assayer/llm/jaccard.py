@@ -5,7 +5,8 @@ Two documents link when 100 * intersection >= 85 * union of their sets of 4-word
 1. Documents become sorted sets of shingle hashes; equal sets are one class.
 2. Blocks: linked sets of the sizes of one level differ in at most d shingles, a bound that follows from the
    sizes. The range of the hashes is cut into more than d strips, so linked sets agree on one of the
-   first d + 1 strips that hold anything. Classes that agree on a strip go into one block; agreement is kept
+   first d + 1 strips that hold anything. Strips are cut of shingles that are not very frequent, or texts
+   that share a common passage would agree on it. Classes that agree on a strip go into one block; agreement is kept
    as one edge from each class to the least one, so a block's table grows with its classes, not their pairs.
    Blocks hold every linked pair, and little else, since a strip holds several shingles.
 3. Product: within a block, overlaps of rows are accumulated over the columns they share, and pairs below the
@@ -26,6 +27,7 @@ from assayer.llm.components import components
 
 WORDS, PERCENT = 4, 85
 TILE_ROWS, TILE_SHINGLES = 2_000, 4_000_000
+MOST_FREQUENT = 200_000
 KNOWN_WORDS = 500_000
 _U = np.uint64
 
@@ -71,8 +73,15 @@ def levels(most: int, percent: int = PERCENT) -> np.ndarray:
     return np.array(bounds)
 
 
-def strip_marks(found: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Marks of the strips on which linked sets must agree once: of the own level and of the one below."""
+def strip_marks(found: np.ndarray, bounds: np.ndarray, percent: int = PERCENT, frequent: np.ndarray | None = None) -> np.ndarray:
+    """Marks of the strips on which linked sets must agree once: of the own level and of the one below.
+
+    Strips are cut of the shingles that are not ``frequent`` (sorted), whatever these are: linked sets differ in
+    no more of those than of all. A set with too few of them gives marks of all its shingles, too.
+    """
+    rare = found
+    if frequent is not None and len(frequent):
+        rare = found[frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] != found]
     level = int(np.searchsorted(bounds, len(found), side="right")) - 1
     marks = []
     for k in (level, level - 1):
@@ -81,14 +90,57 @@ def strip_marks(found: np.ndarray, bounds: np.ndarray, percent: int = PERCENT) -
         if d == 0:  # only equal sets are linked
             continue
         strips = d * 5 // 4 + 1
-        strip = ((found >> _U(32)) * _U(strips)) >> _U(32)
-        starts = np.flatnonzero(np.concatenate(([True], strip[1:] != strip[:-1])))
-        # a set that fills fewer than d + 1 strips gives all it has, and one mark for being so
-        own = mixed(np.add.reduceat(mixed(found), starts)[: d + 1] + strip[starts[: d + 1]] * _U(7919) + _U(k << 48))
-        marks.append(own if len(own) > d else np.append(own, mixed(np.array([k], dtype=np.uint64))))
+        for part, which in ((rare, 0), (found, 1)):
+            strip = ((part >> _U(32)) * _U(strips)) >> _U(32)
+            starts = np.flatnonzero(np.concatenate(([True], strip[1:] != strip[:-1]))) if len(part) else np.zeros(0, dtype=np.int64)
+            if len(starts):
+                marks.append(mixed(np.add.reduceat(mixed(part), starts)[: d + 1] + strip[starts[: d + 1]] * _U(7919) + _U((2 * k + which) << 48)))
+            if len(starts) > d:
+                break
+        else:  # a set that fills fewer than d + 1 strips has given all it has, and gives one mark for being so
+            marks.append(mixed(np.array([k], dtype=np.uint64)))
     return np.concatenate(marks) if marks else np.zeros(0, dtype=np.uint64)
 
 
+def frequent_shingles(docs: DataFrame, size: int, most: int = MOST_FREQUENT) -> np.ndarray:
+    """At most ``most`` shingles that very many different texts hold, sorted.
+
+    Each task counts all its shingles and passes on those it met twice or more; the least count, a power of
+    two from 16 on, is the first that leaves no more than ``most``. Which these are has no influence on the
+    links, only on how well blocks are told apart.
+    """
+
+    def count(batches):
+        hashes = kept("word hashes", WordHashes)
+        parts, filled, done = [], 0, set()
+
+        def emit():
+            found, n = np.unique(np.concatenate([*parts, np.zeros(0, dtype=np.uint64)]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1], pa.int64())], names=["shingle", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                mark = xxhash.xxh64_intdigest(text)
+                if mark not in done:
+                    done.add(mark)
+                    parts.append(shingles(text, hashes, size))
+                    filled += len(parts[-1])
+                if filled > 4_000_000:
+                    yield emit()
+                    parts, filled, done = [], 0, set()
+        yield emit()
+
+    counts = docs.select(raw().alias("text")).mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 16")
+    counts = landed(counts, "frequent-shingles")
+    sizes = {r["power"]: r["n"] for r in counts.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count("*").alias("n")).collect()}
+    least, total = max(sizes, default=4) + 1, 0
+    while least > 4 and total + sizes.get(least - 1, 0) <= most:
+        least -= 1
+        total += sizes.get(least, 0)
+    rows = counts.where(F.floor(F.log2("n")) >= least).select("shingle").collect()
+    return np.sort(np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
 def least_of_marks(marks: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct marks, the least node of each, edges from the other nodes to it)"""
     order = np.lexsort((nodes, marks))
@@ -111,8 +163,10 @@ def sets_and_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
     once by each task. Marks travel packed, some thousand to a row.
     """
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))  # MOST_FREQUENT numbers at most
 
     def prepare(batches):
+        often = frequent.value
         hashes, bounds = kept("word hashes", WordHashes), levels(1 << 40, percent)
         marks, nodes, done = [], [], {}
 
@@ -142,10 +196,10 @@ def sets_and_edges(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 sizes.append(len(found))
                 if len(found) and number not in done:
                     done[number] = True
-                    marks.append(strip_marks(found, bounds, percent))
+                    marks.append(strip_marks(found, bounds, percent, often))
                     nodes.append(np.full(len(marks[-1]), number, dtype=np.int64))
                     size_now += len(marks[-1])
-            own = np.array([c % buckets for c in classes], dtype=np.int32)
+            own = np.arange(len(classes), dtype=np.int32) % buckets  # anywhere: equal sets need not meet here
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([SET] * len(own), pa.int32()), ids, pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(own), pa.binary())], schema=PART)
             if size_now > 3_000_000:
                 yield from emit()

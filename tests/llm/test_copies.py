@@ -67,14 +67,20 @@ def test_linked_sets_share_a_strip():
         o, u = len(np.intersect1d(x, y)), len(np.union1d(x, y))
         if len(y) and o < u and 100 * o >= 85 * u:
             tried += 1
-            assert len(np.intersect1d(jaccard.strip_marks(x, bounds), jaccard.strip_marks(y, bounds)))
+            everything = np.union1d(x, y)
+            for share in (0, 0.3, 0.9, 1):  # whatever counts as frequent
+                frequent = everything[rng.random(len(everything)) < share]
+                assert len(np.intersect1d(jaccard.strip_marks(x, bounds, 85, frequent), jaccard.strip_marks(y, bounds, 85, frequent)))
     assert tried > 500
 
 
 def test_components_of_chains_stars_and_nothing(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5000, 5000), (-3, 2000)]
-    found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-    assert found == {**{i: 0 for i in range(41)}, **{1000 + i: 1000 for i in range(50)}, -3: -3, 2000: -3}
+    random.Random(3).shuffle(edges)
+    for per_task in (10, 30, 1000):
+        rows = components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(6), per_task).collect()
+        assert {r.node: r.label for r in rows} == {**{i: 0 for i in range(41)}, **{1000 + i: 1000 for i in range(50)}, -3: -3, 2000: -3}
+        assert len(rows) == 93
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
