@@ -1,11 +1,13 @@
-"""Language-model scores from a log-frequency Bloom filter.
+"""Language-model scores from log-frequency Bloom filters.
 
-The filter holds quantised counts of words and word pairs: an n-gram whose count has the quantum q is entered
-q times, as (n-gram, 1) to (n-gram, q), and its count is read back by probing until a probe fails. Smoothed
-probabilities come from these counts.
+A filter holds quantised counts of n-grams: one whose count has the quantum q is entered q times, as (n-gram, 1)
+to (n-gram, q), and its count is read back by probing until a probe fails. Smoothed probabilities come from
+these counts.
 
-What is broadcast is bounded: the frequent words (each at least 1 in HOT_WORDS of all tokens, so at most that
-many) and the filter (FILTER_BITS). Counts of all other words stay in a table and meet the texts in a join.
+All pairs of words count. Those that are frequent (at least 1 in HOT_WORDS of all tokens, so at most that many)
+and the frequent words are broadcast with their counts. All others are dealt out by hashes to segments, whose
+number grows with the texts; each counts its pairs and words, fills a filter of its own, probes it for the texts
+and sends the sums back to their rows. No part of the model has to fit one task.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import held_out, landed, raw
 
 HOT_WORDS = 100_000
-FILTER_BITS = 1 << 27
+SEGMENT_TOKENS = 1_500_000  # in a segment, about
+FLUSH_PAIRS, FLUSH_ROWS = 1_000_000, 60_000
 BITS_PER_ENTRY, PROBES, SEGMENTS = 10, 4, 64
 BASE = 1.5  # of the logarithm that quantises counts
 KNOWN_WORDS = 300_000
@@ -65,7 +68,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def pair_hash(pairs: np.ndarray) -> np.ndarray:
-    """Hashes of n-grams: of a word u as u, of the pair u, w as (u + 1) * HOT_WORDS + w."""
+    """Hashes of n-grams or words that are given as numbers."""
     return mixed(pairs.astype(np.uint64) + _U(0x9E3779B97F4A7C15))
 
 
@@ -164,85 +167,49 @@ def pair_counts(texts: DataFrame, hot: dict[int, int]) -> DataFrame:
     return texts.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def fill_segments(ngrams: DataFrame, bits: int) -> np.ndarray:
-    """The filter's bits. ``ngrams`` has gram, q; each segment is filled by one task, with a bounded share."""
-
-    def fill(frame):
-        import pandas as pd
-
-        own = bits // SEGMENTS
-        hashes, q = pair_hash(frame["gram"].to_numpy()), frame["q"].to_numpy()
-        segment = int(frame["segment"].iloc[0])
-        flags = np.zeros(own, dtype=np.uint8)
-        for level in range(1, int(q.max()) + 1):
-            here = hashes[q >= level]
-            for probe in range(PROBES):
-                flags[(bit_places(here, level, probe, bits) - _U(segment * own)).astype(np.int64)] = 1
-        return pd.DataFrame({"segment": [segment], "data": [np.packbits(flags, bitorder="little").tobytes()]})
-
-    @F.pandas_udf("int")
-    def segment_of(gram):
-        import pandas as pd
-
-        return pd.Series((pair_hash(gram.to_numpy()) >> _U(58)).astype("int32"))
-
-    rows = ngrams.withColumn("segment", segment_of("gram")).groupBy("segment").applyInPandas(fill, "segment int, data binary").collect()
-    own = bits // SEGMENTS // 8
-    data = np.zeros(bits // 8, dtype=np.uint8)
-    for r in rows:
-        data[r["segment"] * own : (r["segment"] + 1) * own] = np.frombuffer(r["data"], dtype=np.uint8)
-    return data
-
-
-def quantum_column(n: Column) -> Column:
-    return (1 + F.floor(F.log(n.cast("double")) / math.log(BASE) + 1e-9)).cast("int")
+def filled(hashes: np.ndarray, counts: np.ndarray) -> Filter:
+    """A filter of n-grams with their counts, of a size that they fill to BITS_PER_ENTRY or more."""
+    q = quantum(counts)
+    bits = max(1 << 16, 1 << math.ceil(math.log2(max(1, int(q.sum())) * BITS_PER_ENTRY)))
+    flags, levels = np.zeros(bits, dtype=np.uint8), int(q.max(initial=1))
+    for level in range(1, levels + 1):
+        here = hashes[q >= level]
+        for probe in range(PROBES):
+            flags[bit_places(here, level, probe, bits).astype(np.int64)] = 1
+    return Filter(np.packbits(flags, bitorder="little"), bits, levels)
 
 
 @dataclass
 class Model:
-    """A fitted model: ``counts`` is the table of all words, the rest is bounded."""
+    """A fitted model: ``docs`` have the training texts, the rest is bounded."""
 
-    counts: DataFrame
+    docs: DataFrame
     tokens: int
     words: int
     hot: dict[int, int]  # code -> number
     hot_counts: np.ndarray
-    filter: Filter
+    hot_pairs: np.ndarray  # sorted
+    hot_pair_counts: np.ndarray
     mass: float  # of the lower order in the smoothing
-    least_pair: int  # the least quantum of a pair in the filter
 
 
-def fit_language_model(docs: DataFrame, filter_bits: int = FILTER_BITS, masses: tuple[float, ...] = (30.0, 300.0, 3_000.0, 30_000.0)) -> Model:
-    """Count all training texts, and put the counts of frequent words and their pairs into the filter.
+def fit_language_model(docs: DataFrame, masses: tuple[float, ...] = (30.0, 300.0, 3_000.0, 30_000.0)) -> Model:
+    """Count all words of the training texts, and find the frequent ones and the frequent pairs.
 
-    If the pairs would fill the filter beyond BITS_PER_ENTRY, the least frequent quanta of pairs stay out, and
-    such pairs are scored by the lower order. ``mass`` is the one of ``masses`` that makes the counted pairs
-    likeliest, each left out once.
+    ``mass`` is the one of ``masses`` that makes the pairs of frequent words likeliest, each left out once.
+    The counts of all other pairs are made where they are needed, see ``score_texts``.
     """
     texts = training_rows(docs)
     counts = landed(word_counts(texts), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, words = total["n"], total["v"]
-    frequent = counts.where(F.col("n") * HOT_WORDS >= tokens).where("n > 1").orderBy("code").collect()  # at most HOT_WORDS
+    is_frequent = (F.col("n") * HOT_WORDS >= tokens) & (F.col("n") > 1)  # at most HOT_WORDS
+    frequent = counts.where(is_frequent).orderBy("code").collect()
     hot = {r["code"]: i for i, r in enumerate(frequent)}
     hot_counts = np.array([r["n"] for r in frequent], dtype=np.int64)
     pairs = landed(pair_counts(texts, hot), "pair-counts")
-
-    sizes = {r["q"]: r["n"] for r in pairs.groupBy(quantum_column(F.col("n")).alias("q")).agg(F.count("*").alias("n")).collect()}
-    room = filter_bits // BITS_PER_ENTRY - int(quantum(hot_counts).sum())
-    least, entries = max(sizes, default=0) + 1, 0
-    while least > 1 and entries + sizes.get(least - 1, 0) * (least - 1) <= room:
-        least -= 1
-        entries += sizes.get(least, 0) * least
-    entries += int(quantum(hot_counts).sum())
-    bits = min(filter_bits, max(1 << 16, 1 << math.ceil(math.log2(max(1, entries) * BITS_PER_ENTRY))))
-
-    spark = docs.sparkSession
-    singles = spark.createDataFrame([(i, int(q)) for i, q in enumerate(quantum(hot_counts))], "gram bigint, q int")
-    grams = singles.unionByName(pairs.select(F.col("pair").alias("gram"), quantum_column(F.col("n")).alias("q")).where(F.col("q") >= least))
-    data = fill_segments(grams, bits)
-    levels = max([*sizes, *quantum(hot_counts).tolist()], default=1)
-    return Model(counts, tokens, words, hot, hot_counts, Filter(data, bits, int(levels)), best_mass(pairs, hot_counts, tokens + words + 1, masses), least)
+    hot_pairs = np.array([(r["pair"], r["n"]) for r in pairs.where(is_frequent).orderBy("pair").collect()], dtype=np.int64).reshape(-1, 2)
+    return Model(docs, tokens, words, hot, hot_counts, hot_pairs[:, 0].copy(), hot_pairs[:, 1].copy(), best_mass(pairs, hot_counts, tokens + words + 1, masses))
 
 
 def best_mass(pairs: DataFrame, hot_counts: np.ndarray, norm: int, masses: tuple[float, ...]) -> float:
@@ -259,61 +226,183 @@ def best_mass(pairs: DataFrame, hot_counts: np.ndarray, norm: int, masses: tuple
     return masses[max(found, key=lambda r: r["gain"])["i"]] if found else masses[0]
 
 
-ROW = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_hot bigint, base double, score double, codes array<bigint>, times array<int>"
+PART = pa.schema([
+    ("bucket", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+    ("base", pa.float64()), ("score", pa.float64()), ("words", pa.binary()), ("runs", pa.binary()), ("others", pa.binary()), ("rows", pa.binary()), ("flags", pa.binary())])
+ROW = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+ROW_NAMES = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
+SUM = np.dtype([("row", "<i8"), ("known", "<i4"), ("base", "<f8"), ("score", "<f4")])  # what a segment adds to a row
+OTHER_BYTES = 5  # of the hash of a pair's first word, which tells the pairs of one second word apart
+TRAINS, SCORED = 1, 2
+
+
+def pair_key(words: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return mixed(pair_hash(words) + others * _U(0x9E3779B97F4A7C15))
+
+
+def packed(words: np.ndarray, others: np.ndarray, rows: np.ndarray, flags: np.ndarray, first_row: int, buckets: int) -> pa.RecordBatch:
+    """Pairs, one entry for each occurrence, by the bucket that owns them.
+
+    A word that is not frequent is owned, with all pairs that end on it, by one bucket; pairs that end on a frequent
+    word are spread.
+    """
+    owner = np.where(words < 0, pair_hash(words), pair_key(words, others)) % _U(buckets)
+    order = np.argsort(words)
+    order = order[np.argsort(owner[order].astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")]
+    owner, words, rows, flags = owner[order], words[order], rows[order].astype("<u2"), flags[order]
+    others = others[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :OTHER_BYTES]
+    new = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, dtype=np.int64)
+    columns: list[list] = [[] for _ in range(6)]
+    for a, b in zip(new, np.append(new, len(owner))[1:], strict=True):
+        own = words[a:b]
+        starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        runs = np.diff(np.append(starts, b - a)).astype("<u4")
+        for column, value in zip(columns, (int(owner[a]), own[starts].tobytes(), runs.tobytes(), others[a:b].tobytes(), rows[a:b].tobytes(), flags[a:b].tobytes()), strict=True):
+            column.append(value)
+    bucket, *data = columns
+    n = len(bucket)
+    own = {"bucket": bucket, "row": [first_row] * n, **dict(zip(("words", "runs", "others", "rows", "flags"), data, strict=True))}
+    return pa.RecordBatch.from_arrays([pa.array(own[f.name], f.type) if f.name in own else pa.nulls(n, f.type) for f in PART], schema=PART)
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; null texts are empty.
 
-    Frequent words are scored where the text is read. The others, one row for each different one of a
-    document, meet their counts in a join and are summed. Repeated rows are scored each on its own.
+    A text's score is the sum over its words w after u of log10 low(w) - log10(n(u) + mass) + log10(mass + n(u, w) / low(w)).
+    Frequent words and frequent pairs are scored where the text is read, all others by the bucket that owns them.
+    A word stands as often before another as after one, so its owner settles both. Repeated rows are scored each on its own.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.hot, model.hot_counts, model.filter.data))
-    norm, mass, bits, levels = model.tokens + model.words + 1, model.mass, model.filter.bits, model.filter.levels
+    order = np.argsort(model.hot_pairs)
+    shared = spark.sparkContext.broadcast((model.hot, model.hot_counts, model.hot_pairs[order], model.hot_pair_counts[order]))
+    norm, mass = model.tokens + model.words + 1, model.mass
+    rows = docs.select(F.col("doc_id").cast("bigint"), held_out(7, 2).alias("held_out"), raw().alias("text"))
+    if docs is model.docs:
+        rows = rows.withColumn("flags", F.when(F.col("held_out"), SCORED).otherwise(SCORED + TRAINS))
+    else:
+        train = training_rows(model.docs).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(False).alias("held_out"), "text", F.lit(TRAINS).alias("flags"))
+        rows = rows.withColumn("flags", F.lit(SCORED)).unionByName(train)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))  # of rows, for the sums
+    buckets = max(groups, size // (6 * SEGMENT_TOKENS) + 1)
+
+    def words_scored(n):
+        """(low, the terms of the base score, those of the score that a word has by itself) for words with counts ``n``."""
+        read = count_of_quantum(np.where(n > 0, quantum(n), 0))
+        low = (read + 1) / norm
+        return low, np.log10((n + 1) / norm), np.log10(low) - np.log10(read + mass)
 
     def run(batches):
-        hot, exact, data = shared.value
-        table = Filter(data, bits, levels)
+        from pyspark import TaskContext
+
+        hot, exact, pairs, pair_n = shared.value
         codes, end = Codes(hot), hot.get(END, END)
-        seen = table.counts(pair_hash(np.arange(len(hot)))) if len(hot) else np.zeros(0)
-        low = (seen + 1) / norm
-        base = np.log10((exact + 1) / norm)
-        fields = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_hot", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("codes", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
+        low, base, alone = words_scored(exact)
+        read = count_of_quantum(quantum(pair_n))
+        following, first = TaskContext.get().partitionId() << 33, TaskContext.get().partitionId() << 33
+        held, n_held = [], 0
+
+        def emit():
+            return packed(*(np.concatenate(c) for c in zip(*held, strict=True)), first, buckets)
+
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                tokens = [codes.of(t) for t in batch.column(3).to_pylist()]
+                tokens = [codes.of(t) for t in batch.column(2).to_pylist()]
                 w = np.concatenate([x for t in tokens for x in (t, [end])]).astype(np.int64)
                 u = np.concatenate([x for t in tokens for x in ([end], t)]).astype(np.int64)
+                flags = batch.column(3).to_numpy(zero_copy_only=False).astype(np.uint8)
                 sizes = np.array([len(t) + 1 for t in tokens])
                 starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-                known, context = w >= 0, u >= 0
-                given = np.zeros(len(w))
-                given[context] = seen[u[context]]
-                chance = np.ones(len(w))
-                chance[known] = low[w[known]]
-                both = known & context
-                together = np.zeros(len(w))
-                together[both] = np.minimum(table.counts(pair_hash((u[both] + 1) * HOT_WORDS + w[both])), given[both])
-                # words that are not frequent get the lower order's factor in the join
-                score = np.log10(np.where(known, together + mass * chance, mass) / (given + mass))
-                plain = np.zeros(len(w))
-                plain[known] = base[w[known]]
-                rare = [np.unique(w[a : a + n][w[a : a + n] < 0], return_counts=True) for a, n in zip(starts, sizes, strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0), batch.column(1), batch.column(2), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(plain, starts)), pa.array(np.add.reduceat(score, starts)),
-                    pa.array([c for c, _ in rare], pa.list_(pa.int64())), pa.array([n.astype(np.int32) for _, n in rare], pa.list_(pa.int32())),
-                ], schema=fields)
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), held_out(7, 2).alias("held_out"), raw().alias("text"))
-    scored = landed(rows.mapInArrow(run, ROW), "scored")
-    others = scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", "x.codes", "x.times")
-    chance = F.log10((F.coalesce(F.col("n"), F.lit(0)) + 1) / F.lit(float(norm)))
-    met = others.join(model.counts, F.col("codes") == F.col("code"), "left").groupBy("row").agg(
-        F.sum(F.col("times") * chance).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("met"))
-    more = F.coalesce(F.col("more"), F.lit(0.0))
-    return scored.select("row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score").join(met, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_hot") + F.coalesce(F.col("met"), F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+                known = w >= 0
+                plain, score = np.zeros(len(w)), np.zeros(len(w))
+                plain[known], score[known] = base[w[known]], alone[w[known]]
+                here = np.flatnonzero(known & (u >= 0))
+                ids = (u[here] + 1) * HOT_WORDS + w[here]
+                at = np.searchsorted(pairs, ids)
+                found = at < len(pairs)
+                found[found] = pairs[at[found]] == ids[found]
+                here, at = here[found], at[found]
+                score[here] += np.log10(mass + read[at] / low[w[here]])
+                left = np.ones(len(w), dtype=bool)
+                left[here] = False
+                number = np.repeat(np.arange(len(tokens)), sizes)[left]
+                held.append((w[left], pair_hash(u[left]) >> _U(64 - 8 * OTHER_BYTES), number + (following - first), flags[number]))
+                n_held += int(left.sum())
+                scored = flags & SCORED > 0
+                n = int(scored.sum())
+                sums = (sizes, np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(plain, starts), np.add.reduceat(score, starts))
+                own = {"bucket": (np.flatnonzero(scored) + following) % buckets, "row": np.flatnonzero(scored) + following, **dict(zip(("n_tokens", "n_known", "base", "score"), (x[scored] for x in sums), strict=True))}
+                keep = pa.array(scored)
+                own |= {"doc_id": batch.column(0).filter(keep), "held_out": batch.column(1).filter(keep)}
+                yield pa.RecordBatch.from_arrays([(own[f.name] if isinstance(own[f.name], pa.Array) else pa.array(own[f.name], f.type)) if f.name in own else pa.nulls(n, f.type) for f in PART], schema=PART)
+                following += batch.num_rows
+                if n_held > FLUSH_PAIRS or following - first > FLUSH_ROWS:
+                    yield emit()
+                    held, n_held, first = [], 0, following
+        if held:
+            yield emit()
+
+    def owned(part: pa.Table) -> pa.Table:
+        settled = part.filter(part["words"].is_null())
+        groups_of = (pair_hash(settled["row"].to_numpy()) % _U(groups)).astype(np.int32)
+        settled = settled.select(ROW_NAMES).add_column(0, "group", pa.array(groups_of, pa.int32())).append_column("sums", pa.nulls(len(settled), pa.binary()))
+        part = part.filter(part["words"].is_valid())
+        if not part.num_rows:
+            return settled
+        exact = shared.value[1]
+        words, runs, others, rows, flags = (np.frombuffer(b"".join(part[c].to_pylist()), dtype=t) for c, t in (("words", "<i8"), ("runs", "<u4"), ("others", "u1"), ("rows", "<u2"), ("flags", "u1")))
+        words = np.repeat(words, runs)
+        wide = np.zeros((len(words), 8), dtype=np.uint8)
+        wide[:, :OTHER_BYTES] = others.reshape(-1, OTHER_BYTES)
+        trains, scored = flags & TRAINS > 0, flags & SCORED > 0
+
+        grams, gram = np.unique(pair_key(words, wide.view("<u8").ravel()), return_inverse=True)
+        del wide, others
+        n = np.bincount(gram[trains], minlength=len(grams))
+        together = filled(grams[n > 0], n[n > 0]).counts(grams)[gram]
+        del grams, gram
+        kinds, kind = np.unique(words, return_inverse=True)
+        rare = kinds < 0
+        n = np.bincount(kind[trains], minlength=len(kinds))  # all places of a rare word are here
+        n[~rare] = exact[kinds[~rare]]
+        low, base, alone = words_scored(n)
+        met = (rare & (n > 0)).astype(float)
+        base, alone, most = np.where(rare, base, 0.0), np.where(rare, alone, 0.0), count_of_quantum(np.where(n > 0, quantum(n), 0))
+        score = alone[kind] + np.log10(mass + np.minimum(together, most[kind]) / low[kind])
+        del together
+
+        rows = np.repeat(part["row"].to_numpy(), [len(f) for f in part["flags"].to_pylist()]) + rows
+        texts, text = np.unique(rows[scored], return_inverse=True)
+        sums = np.zeros(len(texts), dtype=SUM)
+        sums["row"] = texts
+        for name, value in (("known", met[kind]), ("base", base[kind]), ("score", score)):
+            sums[name] = np.bincount(text, value[scored], len(texts))
+        group = (pair_hash(sums["row"]) % _U(groups)).astype(np.int32)
+        order = np.argsort(group, kind="stable")
+        group, sums = group[order], sums[order]
+        new = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, dtype=np.int64)
+        # field by field, which compresses better
+        data = [b"".join(np.ascontiguousarray(sums[f][a:b]).tobytes() for f in SUM.names) for a, b in zip(new, np.append(new, len(group))[1:], strict=True)]
+        back = {"group": pa.array(group[new], pa.int32()), "sums": pa.array(data, pa.binary())}
+        return pa.concat_tables([settled, pa.table([back.get(f.name, pa.nulls(len(new), f.type)) for f in settled.schema], schema=settled.schema)])
+
+    def summed(part: pa.Table) -> pa.Table:
+        settled = part.filter(part["sums"].is_null()).select(ROW_NAMES).sort_by("row")
+        rows = settled["row"].to_numpy()
+        totals = [settled[c].to_numpy().copy() for c in ROW_NAMES[-3:]]
+        for data in part["sums"].drop_null().to_pylist():
+            at, n = 0, len(data) // SUM.itemsize
+            fields = []
+            for f in SUM.names:
+                fields.append(np.frombuffer(data, dtype=SUM[f], count=n, offset=at))
+                at += n * SUM[f].itemsize
+            place = np.searchsorted(rows, fields[0])  # a row is once in each of them
+            for total, more in zip(totals, fields[1:], strict=True):
+                total[place] += more
+        return pa.table([*(settled[c] for c in ROW_NAMES[:-3]), *map(pa.array, totals)], names=ROW_NAMES)
+
+    ddl = "bucket int, " + ROW + ", words binary, runs binary, others binary, rows binary, flags binary"
+    back = rows.mapInArrow(run, ddl).groupBy("bucket").applyInArrow(owned, f"group int, {ROW}, sums binary")
+    return back.groupBy("group").applyInArrow(summed, ROW).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")

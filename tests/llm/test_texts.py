@@ -64,6 +64,23 @@ def test_odd_texts_are_scored(spark, odd_docs, no_docs):
     assert {(r.n_known, r.base_score) for r in lmscore.score_texts(odd_docs, nothing).collect()} == {(0, 0.0)}
 
 
+def test_all_pairs_of_words_are_counted(spark):
+    """Pairs of words that are not frequent are told from pairs that never occur."""
+    docs = spark.createDataFrame([(i, " ".join(f"f{i}x{k}" for k in range(100))) for i in range(30)], "doc_id bigint, text string")
+    i = next(i for i in range(30) if zlib.crc32(str(i).encode()) % 7 != 2)
+    model = lmscore.fit_language_model(docs)
+    texts = spark.createDataFrame([(1, f"f{i}x5 f{i}x6 f{i}x7 f{i}x8"), (2, f"f{i}x5 f{i}x7 f{i}x6 f{i}x8")], "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_known, r.base_score, r.score) for r in lmscore.score_texts(texts, model).collect()}
+    # by hand: every word occurs once, the end once for each text
+    norm, m, ends = model.tokens + model.words + 1, model.mass, float(model.hot_counts[model.hot[lmscore.END]])
+    read = float(lmscore.count_of_quantum(lmscore.quantum(np.array([ends])))[0])
+    low = 2 / norm
+    base = 4 * math.log10(low) + math.log10((ends + 1) / norm)
+    plain = 4 * math.log10(low / (1 + m)) + math.log10((read + 1) / norm / (read + m)) + 5 * math.log10(m)
+    assert found[1] == (5, pytest.approx(base), pytest.approx(plain + 3 * math.log10(1 + 1 / low / m)))
+    assert found[2] == (5, pytest.approx(base), pytest.approx(plain))
+
+
 def plain_measures(text):
     text = text or ""
     words = re.findall(BLANK, text)
