@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 from assayer.llm.common import LOWER, UPPER, landed
 
 
+MERGE_CHILDREN = 4096  # of a node that one task compares
+
+
 @dataclass(frozen=True)
 class Settings:
     """What makes a segment variable, branches alike and a template bad.
 
-    A node's children become wildcards if there are more than ``most_children``, or at least ``few_children``
-    that on average have fewer than ``pages_each`` pages. Segments from ``depth`` on count as one.
+    A child with ``own_pages`` pages or ``own_labels`` labelled ones stays literal, whatever its siblings are. The
+    other, thin children of a node become wildcards if there are more than ``most_children`` of them, or at least
+    ``few_children`` that on average have fewer than ``pages_each`` pages. Segments from ``depth`` on count as one.
     """
 
     few_children: int = 8
     pages_each: float = 4.0
     most_children: int = 64
+    own_pages: int = 64
+    own_labels: int = 8
     depth: int = 8
     alike: float = 1.96
     prior: float = 8.0
@@ -71,15 +77,17 @@ def generalise(paths: DataFrame, settings: Settings) -> DataFrame:
     deepest = nodes.agg(F.max(F.size("rest"))).first()[0] or 0
     for level in range(1, deepest + 1):
         node = nodes.withColumn("child", F.get("rest", F.lit(level - 1)))
-        children = node.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("n"))
-        per_node = children.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("n"))
+        children = node.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("n"), F.sum(F.col("good") + F.col("bad")).alias("labels"))
+        children = landed(children.withColumn("own", (F.col("n") >= settings.own_pages) | (F.col("labels") >= settings.own_labels)), "url-children")
+        per_node = children.where("not own").groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("n"))
         many = F.col("children") > settings.most_children
         vary = per_node.where(many | (F.col("children") >= settings.few_children) & (F.col("n") < settings.pages_each * F.col("children")))
         vary = landed(vary.select("host", "template", F.lit(True).alias("vary")), "url-variable")
-        found = node.join(vary, ["host", "template"], "left")
-        segment = F.when(F.col("vary"), wildcard(F.col("child"))).otherwise(F.col("child"))
+        own = children.where("own").select("host", "template", "child", "own")
+        found = node.join(vary, ["host", "template"], "left").join(own, ["host", "template", "child"], "left")
+        segment = F.when(F.col("vary") & F.col("own").isNull(), wildcard(F.col("child"))).otherwise(F.col("child"))
         found = found.withColumn("template", F.when(F.col("child").isNull(), F.col("template")).otherwise(F.array_append("template", segment)))
-        nodes = landed(found.drop("child", "vary"), "url-nodes")
+        nodes = landed(found.drop("child", "vary", "own"), "url-nodes")
     return nodes.drop("rest")
 
 
@@ -102,7 +110,8 @@ def alike_groups(good: np.ndarray, bad: np.ndarray, prior: float, limit: float)
 def merge_branches(templates: DataFrame, settings: Settings) -> DataFrame:
     """host, template, good, bad -> with ``branch``, the template after alike branches are merged, deepest first.
 
-    A node has at most ``most_children`` literal children and some wildcards, so one task can look at it.
+    A node with more than MERGE_CHILDREN children is looked at in parts, by a hash of the child, so that no task
+    has to hold all of a node. A branch of more than ``most_children`` is named by its first child and their number.
     """
 
     def grouped(frame):
@@ -110,7 +119,8 @@ def merge_branches(templates: DataFrame, settings: Settings) -> DataFrame:
 
         frame = frame.sort_values("child").reset_index(drop=True)
         groups = alike_groups(frame["good"].to_numpy(float), frame["bad"].to_numpy(float), settings.prior, settings.alike)
-        names = {g: "|".join(frame["child"][groups == g]) for g in set(groups)}
+        own = frame["child"].groupby(groups)
+        names = {g: "|".join(c) if len(c) <= settings.most_children else f"{c.iloc[0]}|+{len(c) - 1}" for g, c in own}
         return pd.DataFrame({"host": frame["host"], "parent": frame["parent"], "child": frame["child"], "merged": [names[g] for g in groups]})
 
     out = landed(templates.withColumn("branch", F.col("template")), "url-branches")
@@ -118,7 +128,10 @@ def merge_branches(templates: DataFrame, settings: Settings) -> DataFrame:
     for level in range(deepest, 0, -1):
         node = out.withColumns({"parent": F.concat_ws("/", F.slice("branch", 1, level - 1)) if level > 1 else F.lit(""), "child": F.get("branch", F.lit(level - 1))})
         children = node.where("child is not null").groupBy("host", "parent", "child").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-        merged = landed(children.groupBy("host", "parent").applyInPandas(grouped, "host string, parent string, child string, merged string"), "url-merged")
+        children = landed(children, "url-siblings")
+        parts = children.groupBy("host", "parent").agg(F.ceil(F.count("*") / MERGE_CHILDREN).alias("parts")).where("parts > 1")
+        dealt = children.join(parts, ["host", "parent"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("child"), F.col("parts")), F.lit(0))).drop("parts")
+        merged = landed(dealt.groupBy("host", "parent", "part").applyInPandas(grouped, "host string, parent string, child string, merged string"), "url-merged")
         joined = node.join(merged, ["host", "parent", "child"], "left")
         branch = F.concat(F.slice("branch", 1, level - 1) if level > 1 else F.array().cast("array<string>"), F.array("merged"), F.slice("branch", level + 1, settings.depth + 1))
         out = landed(joined.withColumn("branch", F.when(F.col("merged").isNull(), F.col("branch")).otherwise(branch)).drop("parent", "child", "merged"), "url-branches")

@@ -287,6 +287,22 @@ def test_bad_templates_are_rejected(spark):
     assert rows[0].template == "good|good2/{number}.html" and rows[0].template == rows[2].template
 
 
+def test_a_section_is_judged_by_itself_however_many_siblings_it_has(spark, monkeypatch):
+    def verdicts(paths):
+        pages = spark.createDataFrame([(i, f"http://h.net/{path}") for i, (path, _) in enumerate(paths)], "page_id bigint, url string")
+        labels = spark.createDataFrame([(i, bad) for i, (_, bad) in enumerate(paths)], "page_id bigint, bad int")
+        return {r.page_id: r.verdict for r in urlfilter.judge_urls(pages, labels, URL_RULES).collect()}
+
+    # a wholly bad section with a third of the pages beside very many of one page
+    thin = [(f"spam/{i}.html", 1) if i % 3 == 0 else (f"s{i}x/{i}.html", 0) for i in range(1200)]
+    assert verdicts(thin) == {i: "block" if bad else "allow" for i, (_, bad) in enumerate(thin)}
+    for sections in (64, 65):
+        full = [(f"z{i % sections}/{i}.html", int(i % sections == 7)) for i in range(20 * sections)]
+        assert verdicts(full) == {i: "block" if bad else "allow" for i, (_, bad) in enumerate(full)}
+    monkeypatch.setattr(urlfilter, "MERGE_CHILDREN", 16)
+    assert verdicts(full) == {i: "block" if bad else "allow" for i, (_, bad) in enumerate(full)}
+
+
 def test_urls_of_empty_tables(spark):
     nothing = urlfilter.judge_urls(spark.createDataFrame([], "page_id bigint, url string"), spark.createDataFrame([], "page_id bigint, bad int"), URL_RULES)
     assert nothing.collect() == []
