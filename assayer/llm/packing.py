@@ -27,10 +27,14 @@ KNOWN_PIECES = 800_000
 
 
 class Tokens:
-    """Ids of a text as little-endian 32-bit numbers. Each different word is encoded once and kept."""
+    """Ids of a text as little-endian 32-bit numbers. Each different word is encoded once and kept.
+
+    The tokeniser's added tokens part a text before its words are cut.
+    """
 
     def __init__(self, ranks_file: str | None = None):
         import base64
+        import json
         import re
 
         import public_tokenizers
@@ -42,17 +46,25 @@ class Tokens:
         self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.common, self.plain = re.compile(rf"[\t\n -~{_LETTERS}]*").fullmatch, re.compile(_SPLIT).findall
         self.full = regex.compile(public_tokenizers.PATTERN).findall
+        with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        self.added = {content: np.array([number], dtype="<u4").tobytes() for content, number in added.items()}
+        self.parted = re.compile("(" + ("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or "(?!)") + ")").split
         self.known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         known, out = self.known, []
-        for piece in self.plain(text) if self.common(text) else self.full(text):
-            found = known.get(piece)
-            if found is None:
-                found = np.array(self.encoding._encode_single_piece(piece), dtype="<u4").tobytes()
-                if len(known) < KNOWN_PIECES:
-                    known[piece] = found
-            out.append(found)
+        for k, part in enumerate(self.parted(text)):
+            if k % 2:
+                out.append(self.added[part])
+                continue
+            for piece in self.plain(part) if self.common(part) else self.full(part):
+                found = known.get(piece)
+                if found is None:
+                    found = np.array(self.encoding._encode_single_piece(piece), dtype="<u4").tobytes()
+                    if len(known) < KNOWN_PIECES:
+                        known[piece] = found
+                out.append(found)
         out.append(b"\0\0\0\0")
         return b"".join(out)
 

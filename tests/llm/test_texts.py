@@ -200,6 +200,16 @@ def test_common_pattern_cuts_as_the_tokenisers_own():
         assert tokens.ids(text) == np.array([*tokens.encoding.encode_ordinary(text), 0], dtype="<u4").tobytes()
 
 
+def test_added_tokens_are_the_tokenisers():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer, tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.Tokens()
+    e = "<|endoftext|>"
+    for text in (e, f"{e}start", f"a {e} b", f"a{e}{e}b", f"end  {e}", f"a \n{e}  \n b", f"你好{e} ñ's", "<|endoftext|", f"<|{e}|>"):
+        assert tokens.ids(text) == np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], dtype="<u4").tobytes(), text
+
+
 def fewest(lengths, capacity):
     """By exhaustion."""
     best = len(lengths)
