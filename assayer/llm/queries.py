@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, jaccard, linedup, lmscore, packing, quality, spans, urlfilter
+from assayer.llm import decontam, jaccard, lexsearch, linedup, lmscore, packing, quality, spans, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -77,6 +77,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -88,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
+    "op12_lexical_search": op12_lexical_search,
 }
-ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL}
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL, "op12_lexical_search": lexsearch.SQL}
