@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, jaccard, lexsearch, linedup, lmscore, packing, quality, spans, urlfilter
+from assayer.llm import decontam, jaccard, lexsearch, linedup, lmscore, packing, quality, setsketch, spans, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -81,6 +81,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -93,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
     "op12_lexical_search": op12_lexical_search,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
-ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL, "op12_lexical_search": lexsearch.SQL}
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL, "op12_lexical_search": lexsearch.SQL, "op13_minhash_dedup": setsketch.SQL}

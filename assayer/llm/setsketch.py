@@ -22,7 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.common import kept, landed, raw
@@ -36,6 +36,7 @@ BASE = 1.1  # 255 steps of a tenth: least values from about 2 down to 6e-11, set
 UNLIKELY = 14.0  # a pair goes if its likelihood at the bound is below e^-14 of the greatest one
 TILE_ROWS, TILE_BYTES, PIVOTS = 2_000, 64 << 20, 16
 POINTS = 4  # points drawn at a time
+SLICE_BYTES = 2 << 20
 _U = np.uint64
 
 
@@ -53,7 +54,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     at = np.zeros(len(seed))
     step = 0
     while len(seed):
-        for _ in range(POINTS):
+        for _ in range(POINTS if step else 1):
             step += 1
             drawn = mixed(seed + _U(step * 0x9E3779B97F4A7C15 % (1 << 64)))
             at -= np.log(((drawn >> _U(12)).astype(np.float64) + 0.5) / 2.0**52) / REGISTERS
@@ -208,14 +209,22 @@ def joined(members: DataFrame, content: DataFrame, percent: int, sets: bool) ->
     return landed(first.unionByName(second), "sketch-edges")
 
 
+def slices(batch: pa.RecordBatch, texts: int):
+    """Parts of a batch whose texts, in column ``texts``, have some SLICE_BYTES."""
+    upto = np.cumsum([len(t) for t in batch.column(texts).to_pylist()]) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def sketch_texts(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, node (the number of its set), n (shingles), registers (once for each set a task meets) of every row of ``docs``."""
 
     def prepare(batches):
         hashes, done = kept("word hashes", WordHashes), set()
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for part in slices(batch, 1):
                 sets = [shingles(text, hashes, size) for text in part.column(1).to_pylist()]
                 nodes = [class_id(s) for s in sets]
                 new = [i for i in {n: i for i, n in enumerate(nodes)}.values() if len(sets[i]) and nodes[i] not in done]
@@ -253,15 +262,18 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def read(batches):
         hashes = kept("word hashes", WordHashes)
         for batch in batches:
-            sets = [shingles(text, hashes, size) for text in batch.column(0).to_pylist()]
-            same = [class_id(s) == n for s, n in zip(sets, batch.column(1).to_pylist(), strict=True)]  # else a document that shares the id
-            found = pa.array([s.tobytes() for s in sets], pa.binary())
-            columns = [batch.column(1), batch.column(2), batch.column(3), found]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "registers", "found"]).filter(pa.array(same, pa.bool_()))
+            for part in slices(batch, 0):
+                sets = [shingles(text, hashes, size) for text in part.column(0).to_pylist()]
+                same = [class_id(s) == n for s, n in zip(sets, part.column(1).to_pylist(), strict=True)]  # else a document that shares the id
+                columns = [*part.columns[1:], pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "registers", "found"]).filter(pa.array(same, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").cast("bigint"), raw().alias("text")).join(wanted.hint("shuffle_hash"), "doc_id")
     rows = texts.select("text", "node", "size", "registers").mapInArrow(read, "node bigint, size bigint, registers binary, found binary")
-    return rows.groupBy("node").agg(F.first("size").alias("size"), F.first("registers").alias("registers"), F.first("found").alias("found"))
+    rows = landed(rows, "sketch-sets")
+    if rows.count() > wanted.count():  # equal rows
+        rows = landed(rows.dropDuplicates(["node"]), "sketch-sets")
+    return rows
 
 
 def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -269,8 +281,8 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
 
     ``component_id`` is the smallest doc_id that links reach, the own one included; ``kept`` says whether that is the
     row's own. Texts without a word, null among them, have no shingles and link with nothing, equal ones neither.
-    Rows that repeat an id are looked at each on its own. Rows without an id take part where an equal text has an
-    id; a component of such rows alone has none, and they are kept, since nothing says which one stays. An empty
+    Rows that repeat an id are looked at each on its own. Rows without an id are linked where an equal text has an
+    id; other rows without one have no component and are kept, since nothing says which one stays. An empty
     table gives no rows.
     """
     rows = landed(sketch_texts(docs, size), "sketch-rows")
@@ -280,7 +292,7 @@ def near_duplicates(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     near = joined(buckets_of(classes), content, percent, sets=False)
     groups = landed(components(near).select(F.col("label").alias("group"), "node"), "sketch-near")
     wanted = landed(groups.select("node").join(classes, "node").where("doc_id is not null").select("doc_id", "node", "size", "registers"), "sketch-wanted")
-    content = landed(sets_of(docs, wanted, size), "sketch-sets")
+    content = sets_of(docs, wanted, size)
     labels = landed(components(joined(groups, content, percent, sets=True)), "sketch-links")
     labelled = rows.where("n > 0").select("doc_id", "node", "n").join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label"))
     labelled = landed(labelled, "sketch-labelled")
