@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.common import table
 from assayer.llm.langid import fit_languages, identify_language
-from assayer.llm import decontam, jaccard, lexsearch, linedup, lmscore, packing, quality, setsketch, spans, urlfilter
+from assayer.llm import decontam, jaccard, lexsearch, linedup, lmscore, packing, prefixtrie, quality, setsketch, spans, urlfilter
 from assayer.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -77,6 +77,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(prefixtrie.rebuilt(prefixtrie.numbered(table(spark, sf_dir, "conversations"))))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -96,7 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_lexical_search": op12_lexical_search,
     "op13_minhash_dedup": op13_minhash_dedup,
 }
-ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL, "op12_lexical_search": lexsearch.SQL, "op13_minhash_dedup": setsketch.SQL}
+ORACLES: dict[str, str] = {"op5_ngram_jaccard_join": jaccard.SQL, "op8_decontamination": decontam.SQL, "op9_line_dedup": linedup.SQL, "op11_prefix_trie": prefixtrie.SQL, "op12_lexical_search": lexsearch.SQL, "op13_minhash_dedup": setsketch.SQL}
