@@ -21,7 +21,7 @@ def test_queries_are_registered_with_the_pipeline():
 
     assert [n for n in __spark_entry__.queries() if n.startswith("op")] == list(QUERIES)
     assert "pipeline" in __spark_entry__.queries()
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 def test_only_given_queries_have_python(spark, sf_dir):
