@@ -110,7 +110,7 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, tru
                     model.tables[j, y, s] = ((here * votes[:, j]).sum() + 0.5) / (here.sum() + 1.0)
         model.tables = np.clip(model.tables, 1e-6, 1 - 1e-6)
         last, p = p, model.posterior(votes, gold, trust)
-        if turn and np.abs(p - last).max() < 1e-6:
+        if turn and np.abs(p - last).max(initial=0.0) < 1e-6:
             break
     return model
 
