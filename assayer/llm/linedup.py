@@ -126,7 +126,7 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     texts = marked.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))).select(
         "doc_id", "mark", F.explode(F.filter(F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("line_no"), line.alias("line"))), lambda x: F.array_contains("wanted", x["line_no"]))).alias("x"))
     candidates = landed(texts.select(F.struct("doc_id", "mark", F.col("x.line_no").alias("line_no")).alias("place"), normal(F.col("x.line")).alias("norm")).groupBy("place").agg(F.min("norm").alias("norm")), "near-lines")
-    matched = landed(earlier_partner(variants(candidates)), "line-matches")
+    matched = landed(earlier_partner(landed(variants(candidates), "line-variants")), "line-matches")
     mine = candidates.select("place", F.split("norm", " ").alias("mine"))
     theirs = candidates.select(F.col("place").alias("partner"), F.split("norm", " ").alias("theirs"))
     near = matched.join(mine, "place").join(theirs, "partner").where(one_edit_apart(F.col("mine"), F.col("theirs"))).select("place.doc_id", "place.mark", "place.line_no")
