@@ -57,14 +57,15 @@ def digests(lines: DataFrame, least_words: int) -> DataFrame:
 
 def firsts(marks: DataFrame) -> DataFrame:
     """Each different line once, at its earliest place, with its number of places."""
-    return marks.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("place"), F.count("*").alias("places"), F.first("halves").alias("halves"))
+    return marks.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("place"), F.count("*").alias("places"))
 
 
-def partnered(lines: DataFrame) -> DataFrame:
-    """The places of the lines that share a half with a different line."""
-    keys = lines.where("halves is not null").select("h1", "h2", "place", F.explode("halves").alias("half"))
+def partnered(marks: DataFrame, different: DataFrame) -> DataFrame:
+    """The places of the lines that share a half with a different line. Only pairs of hashes travel for that."""
+    keys = marks.where("halves is not null").select("h1", F.explode("halves").alias("half"))
     shared = landed(keys.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("half"), "shared-halves")
-    return keys.join(shared, "half", "left_semi").groupBy("h1", "h2").agg(F.first("place").alias("place"))
+    near = landed(keys.join(shared, "half", "left_semi").select("h1").distinct(), "near-hashes")
+    return different.select("h1", "place").join(near, "h1", "left_semi").select("place")
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -121,7 +122,7 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     repeated = different.where("places > 1").select("h1", "h2", "place")
     copies = marks.join(repeated, ["h1", "h2"]).where("not (struct(doc_id, mark, line_no) <=> place)").select(*PLACE)
 
-    wanted = partnered(different).groupBy(F.col("place.doc_id").alias("of"), F.col("place.mark").alias("of_mark")).agg(F.collect_set("place.line_no").alias("wanted"))
+    wanted = partnered(marks, different).groupBy(F.col("place.doc_id").alias("of"), F.col("place.mark").alias("of_mark")).agg(F.collect_set("place.line_no").alias("wanted"))
     marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     texts = marked.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))).select(
         "doc_id", "mark", F.explode(F.filter(F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("line_no"), line.alias("line"))), lambda x: F.array_contains("wanted", x["line_no"]))).alias("x"))
