@@ -26,8 +26,8 @@ PLACE = ("doc_id", "mark", "line_no")
 
 
 def normal(line: Column) -> Column:
-    """Lower case, words parted by one space."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+    """Lower case, words parted by one space; only what is not a single space has to be replaced."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -88,6 +88,12 @@ def variants(lines: DataFrame) -> DataFrame:
     return sums.select("place", F.explode(keys).alias("key")).where("key is not null").select("place", "key.*")
 
 
+def met(keys: DataFrame) -> DataFrame:
+    """The keys that come more than once; most variants are the only ones of their kind."""
+    several = keys.groupBy("v1", "v2").agg(F.count("*").alias("n")).where("n > 1").select("v1", "v2")
+    return keys.join(several, ["v1", "v2"], "left_semi")
+
+
 def earlier_partner(keys: DataFrame) -> DataFrame:
     """place, partner, gone: for each line the earliest line one word edit away, where that one is earlier."""
     deleted, full = F.when(F.col("gone") >= 0, F.col("place")), F.when(F.col("gone") < 0, F.col("place"))
@@ -127,7 +133,8 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     texts = marked.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark"))).select(
         "doc_id", "mark", F.explode(F.filter(F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("line_no"), line.alias("line"))), lambda x: F.array_contains("wanted", x["line_no"]))).alias("x"))
     candidates = landed(texts.select(F.struct("doc_id", "mark", F.col("x.line_no").alias("line_no")).alias("place"), normal(F.col("x.line")).alias("norm")).groupBy("place").agg(F.min("norm").alias("norm")), "near-lines")
-    matched = landed(earlier_partner(landed(variants(candidates), "line-variants")), "line-matches")
+    keys = landed(met(landed(variants(candidates), "line-variants")), "met-variants")
+    matched = landed(earlier_partner(keys), "line-matches")
     mine = candidates.select("place", F.split("norm", " ").alias("mine"))
     theirs = candidates.select(F.col("place").alias("partner"), F.split("norm", " ").alias("theirs"))
     near = matched.join(mine, "place").join(theirs, "partner").where(one_edit_apart(F.col("mine"), F.col("theirs"))).select("place.doc_id", "place.mark", "place.line_no")
