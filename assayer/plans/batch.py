@@ -27,7 +27,8 @@ from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggreg
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
 from assayer.session import cut_lineage, fresh_path
 from assayer.sinks.documents import write_documents, write_metrics
-from assayer.sinks.tiers import write_rejected, write_tier_files, write_with_fallback
+from assayer.sinks.published import commit, published, write_attempt
+from assayer.sinks.tiers import retire_older_files, retire_older_partitions, write_rejected, write_tier_files, write_with_fallback
 from assayer.sources.catalog import read_table
 from assayer.sources.config import all_sources, find_source
 from assayer.sources.cve import filter_cves, published_between, read_cve_pages
@@ -65,6 +66,8 @@ class Run:
     table, where sources without any leave the one generated from their data. ``state_path`` keeps the
     marks of incremental loads. ``tables`` (the options of ``write_tier_table``) sends data to tier
     tables, and to files only where that fails. ``profile`` adds column profiles to the reports.
+    With ``store_path`` data is published by manifest instead: written once, to its final place
+    (see ``sinks.published``).
     """
 
     run_id: str
@@ -78,6 +81,7 @@ class Run:
     state_path: str | None = None
     tables: Mapping[str, Any] | None = None
     profile: bool = False
+    store_path: str | None = None
 
     def definition(
         self, spark: SparkSession, name: str, version: int | str | None = None
@@ -191,10 +195,16 @@ def stage_and_assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinit
     spark, checked, path = df.sparkSession, definition or definition_from_frame(df, spec.name), fresh_path(df.sparkSession, "staged")
     counts, seen = assessment_aggregates(df, spec, checked, as_of), Observation()
     df.observe(seen, *counts).write.parquet(path)
-    staged = spark.read.schema(df.schema).parquet(path)
-    schema = df.agg(*counts).schema
-    counted = spark.createDataFrame([tuple(seen.get[f.name] for f in schema.fields)], schema)
-    return staged, judge(counted, df, spec, definition, checked).first()
+    return spark.read.schema(df.schema).parquet(path), judge_counts(df, counts, seen.get, spec, definition, checked)
+
+
+def judge_counts(
+    df: DataFrame, counts: list[Column], seen: Mapping[str, Any], spec: QualitySpec, definition: SchemaDefinition | None, checked: SchemaDefinition
+) -> Row:
+    """The assessment that observed counts of ``df`` amount to. They are constants, so no job runs."""
+    one = df.sparkSession.sql("SELECT * FROM VALUES (0) AS one(__none)")
+    counted = one.select(*(F.lit(seen.get(f.name)).cast(f.dataType).alias(f.name) for f in df.agg(*counts).schema.fields))
+    return judge(counted, df, spec, definition, checked).first()
 
 
 def evolve_if_needed(df: DataFrame, source: Mapping[str, Any], run: Run) -> DataFrame:
@@ -222,13 +232,34 @@ def stage_and_grade(
     df: DataFrame, source: Mapping[str, Any], run: Run, streaming: bool = False
 ) -> tuple[DataFrame, Any, SchemaDefinition | None]:
     """(the evolved data with quality columns, its assessment, the schema generated for it if it had none)."""
+    evolved, spec, definition, generated = to_be_graded(df, source, run, streaming)
+    staged, row = stage_and_assess(evolved, spec, definition, run.run_at)
+    return add_quality_columns(staged, row, spec.name, run.run_at), row, generated
+
+
+def publish_source(
+    df: DataFrame, source: Mapping[str, Any], run: Run, streaming: bool = False
+) -> tuple[DataFrame, Any, SchemaDefinition | None]:
+    """As ``stage_and_grade``, but written once, to the place where the data stays, and committed by the manifest."""
+    spark = df.sparkSession
+    evolved, spec, definition, generated = to_be_graded(df, source, run, streaming)
+    checked = definition or generated
+    counts = assessment_aggregates(evolved, spec, checked, run.run_at)
+    attempt, seen = write_attempt(evolved, run.store_path, spec.name, counts)
+    row = judge_counts(evolved, counts, seen, spec, definition, checked)
+    commit(spark, run.store_path, spec.name, run.run_id, attempt, row, run.run_at)
+    return published(spark, run.store_path, spec.name, run_id=run.run_id).drop("run_id"), row, generated
+
+
+def to_be_graded(
+    df: DataFrame, source: Mapping[str, Any], run: Run, streaming: bool
+) -> tuple[DataFrame, QualitySpec, SchemaDefinition | None, SchemaDefinition | None]:
+    """(the evolved data, its scoring rules, its schema if it has one, else the schema generated for it)."""
     evolved = evolve_if_needed(df, source, run)
     spec = quality_spec(source, run.thresholds, streaming)
     version = source.get("target_schema_version") or source.get("schema_version", "latest")
     definition = run.definition(df.sparkSession, spec.name, version)
-    staged, row = stage_and_assess(evolved, spec, definition, run.run_at)
-    generated = definition_from_frame(evolved, spec.name) if definition is None else None
-    return add_quality_columns(staged, row, spec.name, run.run_at), row, generated
+    return evolved, spec, definition, definition_from_frame(evolved, spec.name) if definition is None else None
 
 
 @dataclass
@@ -260,9 +291,12 @@ def treat_source(spark: SparkSession, family: str, source: Mapping[str, Any], ru
         df = fresh_rows(spark, family, source, run)
         if family == "kafka":
             df = keep_dead_letters(df, name, run)
-        graded, row, generated = stage_and_grade(df, source, run, family == "kafka")
+        if run.store_path:
+            graded, row, generated = publish_source(df, source, run, family == "kafka")
+        else:
+            graded, row, generated = stage_and_grade(df, source, run, family == "kafka")
+            write_graded(graded, row, source, run)
         tier = row["data_classification"]
-        write_graded(graded, row, source, run)
         if source.get("incremental") and run.state_path:
             advance_high_water(graded, source["incremental"]["column"], run.state_path, name)
         result = (
@@ -293,6 +327,11 @@ def fresh_rows(spark: SparkSession, family: str, source: Mapping[str, Any], run:
 
 def loaded_rows(spark: SparkSession, name: str, run: Run) -> DataFrame | None:
     """What earlier runs wrote of a source, in whatever tier; None if nothing."""
+    if run.store_path:
+        try:
+            return published(spark, run.store_path, name)
+        except ValueError:
+            return None
     found = None
     for folder in run.target_paths.values():
         try:
@@ -313,15 +352,27 @@ def keep_dead_letters(df: DataFrame, name: str, run: Run) -> DataFrame:
 
 
 def write_graded(graded: DataFrame, row: Any, source: Mapping[str, Any], run: Run) -> None:
-    """Write the data where its tier belongs: rejected data with its issues, the rest to tables or files as configured."""
-    tier, name = row["data_classification"], source.get("name", "unnamed_source")
+    """Write the data where its tier belongs: rejected data with its issues, the rest to tables or files as configured.
+
+    Copies that an earlier try of this run left elsewhere, under another grade, go once the new one is there.
+    """
+    tier, name, spark, where = row["data_classification"], source.get("name", "unnamed_source"), graded.sparkSession, None
     if tier == "rejected" and run.target_paths:
-        issues = graded.sparkSession.createDataFrame([(tier, *issue) for issue in row["issues"]], f"classification string, {ISSUE_FIELDS}")
+        issues = spark.createDataFrame([(tier, *issue) for issue in row["issues"]], f"classification string, {ISSUE_FIELDS}")
         write_rejected(graded, issues, name, run.run_id, run.target_paths, run.run_at)
+        where = "files"
     elif run.tables is not None:
-        write_with_fallback(graded, tier, name, run.target_paths, run.run_at, run.run_id, **run.tables)
+        where, _ = write_with_fallback(graded, tier, name, run.target_paths, run.run_at, run.run_id, **run.tables)
     elif run.target_paths:
         write_tier_files(graded, tier, name, run.target_paths, run.run_at, run.run_id)
+        where = "files"
+    if where and run.target_paths:
+        retire_older_files(spark, tier if where == "files" else None, name, run.target_paths, run.run_at.date(), run.run_id)
+    if where and run.tables is not None:
+        try:
+            retire_older_partitions(spark, tier if where == "table" else None, name, run.run_at.date(), run.run_id, **run.tables)
+        except Exception as failure:  # the table store that was down for the write
+            log.warning("older partitions of %s are still there: %s", name, str(failure).split("\n", 1)[0])
 
 
 def with_reports(spark: SparkSession, treated: list[tuple[tuple, Report]], run: Run) -> list[tuple]:

@@ -25,6 +25,7 @@ from assayer.plans.scores import (
 )
 from assayer.plans.views import CUSTOMER_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
 from assayer.session import fresh_path
+from assayer.sinks.published import published, regrade, retire
 from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table, write_with_fallback
 from assayer.sinks.documents import read_documents
 from assayer.sources.catalog import describe_tables, read_table
@@ -253,3 +254,32 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = describe_tables(spark).where(F.col("table_name") == name)
     rows = spark.read.table(name).agg(F.count(F.lit(1)).alias("row_count"))
     return columns.select(F.col("column_name").alias("name"), "type", "is_partition", F.lit(rows.first()[0]).cast("bigint").alias("row_count"))
+
+
+@register(
+    "published_runs",
+    f"""SELECT 'feed-' || CAST(event_id % {FEEDS} AS VARCHAR) AS source_name, 'archived' AS data_classification, 'morning' AS run_id, count(*) AS rows,
+ count(value) AS held FROM events WHERE event_id % {FEEDS} < 3 GROUP BY 1
+ UNION ALL SELECT 'feed-' || CAST(event_id % {FEEDS} AS VARCHAR), 'silver', 'evening',
+ count(*), count(value) FROM (SELECT event_id, CASE WHEN event_id % 4 > 1 THEN value END AS value FROM events) q WHERE event_id % {FEEDS} < 3 GROUP BY 1""",
+)
+def published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs published by manifest: one repeated with other data and grade, one given another tier by hand; each shows one copy."""
+    store, landing = fresh_path(spark, "published"), fresh_path(spark, "feeds")
+    events = views.table(spark, sf_dir, "events").withColumn("feed", (F.col("event_id") % FEEDS).cast("int")).where("feed < 3")
+    events.write.partitionBy("feed").parquet(f"{landing}/full")
+    events.withColumn("value", F.when(F.col("event_id") % 4 > 1, F.col("value"))).write.partitionBy("feed").parquet(f"{landing}/half")
+
+    def publish(run_id: str, part: str) -> None:
+        sources = [{"name": f"feed-{i}", "type": "parquet", "path": f"{landing}/{part}/feed={i}", "datetime_column": "ts", "classification_rules": {"timeliness": 100000}} for i in range(3)]
+        process_all(spark, {"file_sources": sources}, Run(run_id, RUN_AT, store_path=store))
+
+    for run_id, part in (("morning", "full"), ("evening", "full"), ("evening", "half")):
+        publish(run_id, part)
+    found = None
+    for i in range(3):
+        regrade(spark, store, f"feed-{i}", "morning", "archived")
+        retire(spark, store, f"feed-{i}")
+        rows = published(spark, store, f"feed-{i}").groupBy("source_name", "data_classification", "run_id").agg(F.count("*").alias("rows"), F.count("value").alias("held"))
+        found = rows if found is None else found.unionByName(rows)
+    return found

@@ -53,3 +53,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of Spark's own storage layer."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    system, where = _file_system(spark, path)
+    if not system.exists(where):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(where) if entry.isDirectory())
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all that is in it; whether there was one."""
+    system, where = _file_system(spark, path)
+    return bool(system.exists(where) and system.delete(where, True))
+
+
+def claim_path(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there: true for one caller only, whoever asks at the same time."""
+    system, where = _file_system(spark, path)
+    system.mkdirs(where.getParent())
+    return bool(system.createNewFile(where))
