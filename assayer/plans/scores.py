@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from assayer.functions import cells
 from assayer.functions.text import match_band, quality_band, score_text
 from assayer.operators import checks, monitor, profile, scoring, tiering
+from assayer.operators.sketches import DISTINCT_ERROR, RANK_ERROR, merge_sketches, profile_from_sketches, profile_sketches
 from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec
 from assayer.plans import views
 from assayer.plans.batch import Run, assess, grade_source
 from assayer.plans.catalog import register
 from assayer.plans.definitions import CUSTOMER_ID, CUSTOMER_V1, EMAIL, PAYMENT_METHOD, PAYMENT_METHODS, PHONE, SALES_V1
 from assayer.plans.views import AS_OF, CUSTOMER_SRC, EVENT_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
+from assayer.session import fresh_path
 
 QUANTITY_RULE = {"quantity": {"min": 1, "max": 10000}}
 FEED_SPEC = QualitySpec(name="feeds", rules={"value": {"min": 1, "max": 100}}, date_column="ts", max_age_days=60)
@@ -405,3 +407,43 @@ def preview_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = profile.preview(views.table(spark, sf_dir, "events"), order=["ts", "event_id"])[1]
     return first.select("event_id", "user_id", "event_type", "value")
+
+
+PROFILED = ("event_id", "user_id", "value", "event_type", "props")
+PROFILE_SQL = """WITH e AS (SELECT event_id, user_id, event_type, props, CASE WHEN event_id % 4 > 0 THEN value END AS value FROM events)
+ SELECT 'event_id' AS column_name, count(*) AS record_count, count(*) - count(event_id) AS null_count, CAST(NULL AS BIGINT) AS empty_count,
+  CAST(min(event_id) AS DOUBLE) AS min_value, CAST(max(event_id) AS DOUBLE) AS max_value, true AS distinct_within, true AS median_within FROM e
+ UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), NULL, min(user_id), max(user_id), true, true FROM e
+ UNION ALL SELECT 'value', count(*), count(*) - count(value), NULL, min(value), max(value), true, true FROM e
+ UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type), count(*) FILTER (WHERE event_type = ''), NULL, NULL, true, NULL FROM e
+ UNION ALL SELECT 'props', count(*), count(*) - count(props), count(*) FILTER (WHERE props = ''), NULL, NULL, true, NULL FROM e"""
+
+
+def profiled_events(events: DataFrame) -> DataFrame:
+    """The events with some values missing."""
+    return events.withColumn("value", F.when(F.col("event_id") % 4 > 0, F.col("value")))
+
+
+def within_error(profile: DataFrame, events: DataFrame) -> DataFrame:
+    """A profile from sketches, with its estimates held against exact counts of the rows."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text"), (F.col(c).cast("double") if i < 3 else F.lit(None).cast("double")).alias("number")) for i, c in enumerate(PROFILED)])
+    cells = events.select(F.explode(pairs).alias("p")).select("p.*").groupBy("column_name", "text", "number").agg(F.count("*").alias("n"))
+    median = F.element_at("quantiles", 2)
+    exact = cells.join(profile.select("column_name", median.alias("median")), "column_name").groupBy("column_name").agg(
+        F.count("*").alias("exact"), F.sum(F.when(F.col("number") < F.col("median"), F.col("n"))).alias("below"),
+        F.sum(F.when(F.col("number") <= F.col("median"), F.col("n"))).alias("upto"))
+    filled = F.col("non_null_count")
+    near = (F.coalesce("below", F.lit(0)) <= (0.5 + RANK_ERROR) * filled) & (F.col("upto") >= (0.5 - RANK_ERROR) * filled)
+    return profile.join(exact, "column_name").select(
+        "column_name", "record_count", "null_count", "empty_count", "min_value", "max_value",
+        (F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(1.0), DISTINCT_ERROR * F.col("exact"))).alias("distinct_within"),
+        F.when(median.isNotNull(), near).alias("median_within"))
+
+
+@register("profile_of_days", PROFILE_SQL)
+def profile_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile of all days from sketches that were kept day by day, without reading the rows again."""
+    path, events = fresh_path(spark, "sketches"), profiled_events(views.table(spark, sf_dir, "events"))
+    daily = profile_sketches(events.withColumn("day", F.to_date("ts")), PROFILED, ["day"])
+    daily.write.partitionBy("day").parquet(path)
+    return within_error(profile_from_sketches(merge_sketches(spark.read.parquet(path))), events)

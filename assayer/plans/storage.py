@@ -25,6 +25,7 @@ from assayer.plans.scores import (
 )
 from assayer.plans.views import CUSTOMER_SRC, RUN_AT, SALES_SRC, SOURCE_RUNS
 from assayer.session import fresh_path
+from assayer.sinks.document_store import merge_documents, read_store, vacuum
 from assayer.sinks.published import published, regrade, retire
 from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table, write_with_fallback
 from assayer.sinks.documents import read_documents
@@ -283,3 +284,27 @@ def published_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = published(spark, store, f"feed-{i}").groupBy("source_name", "data_classification", "run_id").agg(F.count("*").alias("rows"), F.count("value").alias("held"))
         found = rows if found is None else found.unionByName(rows)
     return found
+
+
+@register(
+    "document_store_runs",
+    """SELECT CAST(event_id AS VARCHAR) AS _id, 'run ' || CASE WHEN event_id % 5 IN (2, 3) THEN '2' ELSE '1' END || ': ' || event_type AS _source,
+ (SELECT count(*) FROM events WHERE event_id % 5 = 2) AS updated, (SELECT count(*) FROM events WHERE event_id % 7 = 0 AND event_id % 5 < 4) AS deleted,
+ (SELECT count(*) FROM events WHERE event_id % 7 = 0 AND event_id % 5 = 4) AS not_found
+ FROM events WHERE event_id % 5 < 4 AND event_id % 7 <> 0""",
+)
+def document_store_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store after three merges: documents created, some of them written again, and some deleted."""
+    store, events = fresh_path(spark, "store"), views.table(spark, sf_dir, "events")
+
+    def documents(rows: DataFrame, run: int | None) -> DataFrame:
+        body = F.concat(F.lit(f"run {run}: "), "event_type") if run else F.lit(None).cast("string")
+        return rows.select(F.lit("events").alias("_index"), F.col("event_id").cast("string").alias("_id"), body.alias("_source"))
+
+    kind = F.col("event_id") % 5
+    merge_documents(spark, store, documents(events.where(kind < 3), 1), buckets=16)
+    second = merge_documents(spark, store, documents(events.where(kind.isin(2, 3)), 2))
+    third = merge_documents(spark, store, documents(events.where(F.col("event_id") % 7 == 0), None))
+    vacuum(spark, store)
+    counts = {"updated": second["updated"], "deleted": third["deleted"], "not_found": third["not_found"]}
+    return read_store(spark, store).select("_id", "_source", *(F.lit(n).cast("bigint").alias(c) for c, n in counts.items()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,12 @@ from assayer.plans.batch import Run
 from assayer.plans.catalog import register
 from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2
 from assayer.plans.live import grade_and_write_batches, start_event_streams, start_graded_streams
-from assayer.plans.scores import FEED_SCORES, FEED_SPEC, TIER_SQL, rounded_tiers
+from assayer.plans.scores import FEED_SCORES, FEED_SPEC, PROFILE_SQL, PROFILED, TIER_SQL, profiled_events, rounded_tiers, within_error
 from assayer.plans.views import AS_OF, CUSTOMER_SRC, DECLARED_FIELDS, EVENT_SRC, RUN_AT
 from assayer.session import fresh_path
 from assayer.sources.payloads import decode_values, value_state
-from assayer.streaming import batches, schema_changes, windows
+from assayer.streaming import batches, progress, schema_changes, windows
+from assayer.streaming.progress import ProgressLog
 from assayer.streaming.runs import read_table_stream, run_available, start_sink
 
 TUMBLING_SQL = """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n,
@@ -308,3 +310,70 @@ def message_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = spark.read.parquet(f"{path}/messages/dead_letters").count()
     rows = spark.read.parquet(f"{path}/messages/rows").count()
     return batch.withColumns({"dead_in_stream": F.lit(dead).cast("bigint"), "rows_in_stream": F.lit(rows).cast("bigint")})
+
+
+def parts_of(events: DataFrame, folder: str, which: range) -> None:
+    """Some of seven parts of the events, as files that a stream takes up one by one."""
+    for i in which:
+        events.where(F.pmod(F.col("event_id"), F.lit(7)) == i).coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+
+
+@register("stream_update", TUMBLING_SQL)
+def stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only changed windows leave an update query; after many batches, a fold and a restart they make up the complete result."""
+    folder, path, checkpoint, name = fresh_path(spark, "tables"), fresh_path(spark, "updates"), fresh_path(spark, "checkpoint"), query_name("update")
+    events, keys = views.table(spark, sf_dir, "events"), ["window_start", "window_end"]
+    for which in (range(4), range(4, 7)):
+        parts_of(events, folder, which)
+        stream = windows.with_event_time(read_table_stream(spark, folder, "events", files_per_trigger=1), "ts")
+        counted = windows.window_counts(stream, "1 day", delay="1000 days", aggregates={"sum": F.sum("value")})
+        run_available(start_sink(counted, name, checkpoint, output_mode="update", trigger=None, handler=batches.upsert_result(path)))
+        if which.start == 0:
+            batches.fold_updates(spark, path, keys)
+    return batches.read_updates(spark, path, keys).select(*keys, "n", F.round("sum", 4).alias("total"))
+
+
+@register(
+    "stream_progress",
+    """SELECT 'by type' AS query, 2::BIGINT AS runs, 0::BIGINT AS failures, 7::BIGINT AS batches, count(*) AS input_rows FROM events
+ UNION ALL SELECT 'broken', 1, 1, 0, 0""",
+)
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress table accounts for all rows of a stream that was started twice, and for one that failed."""
+    folder, path, checkpoint, log = fresh_path(spark, "tables"), fresh_path(spark, "small"), fresh_path(spark, "checkpoint"), fresh_path(spark, "progress")
+    events, names, queries = views.table(spark, sf_dir, "events"), {query_name("counted"): "by type", query_name("broken"): "broken"}, []
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        raise ValueError("this sink takes nothing")
+
+    listener = ProgressLog(spark, log, rows_at_once=5)
+    spark.streams.addListener(listener)
+    try:
+        for which in (range(3), range(3, 7)):
+            parts_of(events, folder, which)
+            for name, handler in zip(names, (batches.write_batches(path), fail), strict=True):
+                if handler is fail and which.start:
+                    continue
+                queries.append(start_sink(read_table_stream(spark, folder, "events", files_per_trigger=1), name, checkpoint, trigger=None, handler=handler))
+                try:
+                    run_available(queries[-1])
+                except StreamingQueryException:
+                    if handler is not fail:
+                        raise
+        listener.close(queries)
+    finally:
+        spark.streams.removeListener(listener)
+    label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    named = progress.read_progress(spark, log).groupBy("query_id").agg(F.max("query_name").alias("name"))
+    found = progress.progress_summary(progress.read_progress(spark, log)).drop("query_name").join(named, "query_id")
+    return found.select(label[F.col("name")].alias("query"), "runs", "failures", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("batches", "input_rows")))
+
+
+@register("stream_profile", PROFILE_SQL)
+def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a stream, from the sketches of its batches."""
+    folder, path, events = fresh_path(spark, "tables"), fresh_path(spark, "sketches"), views.table(spark, sf_dir, "events")
+    parts_of(events, folder, range(7))
+    stream = profiled_events(read_table_stream(spark, folder, "events", files_per_trigger=2))
+    run_available(start_sink(stream, query_name("profile"), fresh_path(spark, "checkpoint"), trigger=None, handler=batches.sketch_batches(path, PROFILED)))
+    return within_error(batches.profiled_stream(spark, path), profiled_events(events))

@@ -80,3 +80,8 @@ def claim_path(spark: SparkSession, path: str) -> bool:
     system, where = _file_system(spark, path)
     system.mkdirs(where.getParent())
     return bool(system.createNewFile(where))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return bool(system.exists(where))

@@ -13,8 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from assayer.operators.checks import fields_conform
 from assayer.operators.schema import SchemaDefinition
+from assayer.operators.latest import latest_per_key
 from assayer.operators.scoring import QualitySpec, count_cells, merge_counts, scores_from_counts
+from assayer.operators.sketches import merge_sketches, profile_from_sketches, profile_sketches
 from assayer.operators.tiering import add_date_parts, classify, moment_column
+from assayer.session import list_folders, path_exists, remove_path
 from assayer.sinks.tiers import tier_path
 from assayer.sources.payloads import parse_value, split_values, value_state
 from assayer.streaming.runs import start_sink
@@ -52,6 +55,43 @@ def read_result(spark: SparkSession, path: str, query: StreamingQuery) -> DataFr
     return both.where(F.col("__batch") == last).drop("__batch")
 
 
+def upsert_result(path: str) -> Handler:
+    """Keep the groups that each batch of an ``update`` query changed, under its batch id; see ``read_updates``."""
+    return lambda batch, batch_id: overwrite_batch(batch.withColumn("__batch", F.lit(batch_id).cast("bigint")), path, batch_id)
+
+
+def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The result so far of an ``update`` query: of each group (``keys``) the row of the last batch that changed it."""
+    try:
+        rows = spark.read.option("mergeSchema", "true").parquet(path).drop("batch_id")
+    except AnalysisException:
+        raise ValueError("the stream has not delivered anything") from None
+    return latest_per_key(rows, list(keys), ["__batch"]).select(*(c for c in rows.columns if c != "__batch"))
+
+
+def fold_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Make one partition of all batches so far, so that reading a result costs what it holds, not what it went through.
+
+    The fold is written beside the batches before these go, and rows keep the number of their batch: a reader in between, a
+    fold that breaks off, or a batch that comes again see the same result. To be called while the query is stopped.
+    """
+    parts = [name for name in list_folders(spark, path) if name.startswith("batch_id=")]
+    if not parts:
+        return
+    rows = spark.read.option("mergeSchema", "true").parquet(path).drop("batch_id")
+    last = rows.agg(F.max("__batch")).first()[0]
+    if last is None:
+        return
+    fold = f"batch_id={-1 - last}"
+    if not path_exists(spark, f"{path}/{fold}/_SUCCESS"):
+        if remove_path(spark, f"{path}/{fold}"):  # of a fold that broke off; the batches are still there
+            rows = spark.read.option("mergeSchema", "true").parquet(path).drop("batch_id")
+        latest_per_key(rows, list(keys), ["__batch"]).write.parquet(f"{path}/{fold}")
+    for name in parts:
+        if name != fold:
+            remove_path(spark, f"{path}/{name}")
+
+
 def write_tier_batches(path: str, run_moment: datetime | None = None) -> Handler:
     """Append each batch to a tier table with batch id and integer date parts."""
 
@@ -155,3 +195,13 @@ def write_tier_stream_files(
         trigger=trigger,
         options={"path": tier_path(target_paths, tier, source_name)},
     )
+
+
+def sketch_batches(path: str, columns: Sequence[str] | None = None) -> Handler:
+    """Keep the profile sketches of each batch; ``profiled_stream`` merges them."""
+    return lambda batch, batch_id: overwrite_batch(profile_sketches(batch, columns), path, batch_id)
+
+
+def profiled_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The profile of everything the stream has delivered, from the sketches of its batches."""
+    return profile_from_sketches(merge_sketches(spark.read.parquet(path)))
