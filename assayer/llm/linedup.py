@@ -31,9 +31,13 @@ def normal(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, line_no, norm of every line that has a word. ``mark`` tells rows apart that repeat an id."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", "mark", "line_no", normal(F.col("line")).alias("norm")).where("norm != ''")
+    """doc_id, mark, line_no, norm of every line that has a word. ``mark`` tells rows apart that repeat an id.
+
+    A whole text is made lower case and loses its odd blanks at once, as ``normal`` does line by line.
+    """
+    clean = F.regexp_replace(F.lower("text"), r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " ")
+    lines = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(clean, "\n", -1)).alias("line_no", "line"))
+    return lines.select("doc_id", "mark", "line_no", F.trim("line").alias("norm")).where("norm != ''")
 
 
 def digests(lines: DataFrame, least_words: int) -> DataFrame:
@@ -41,7 +45,7 @@ def digests(lines: DataFrame, least_words: int) -> DataFrame:
 
     Halves are cut for the line as the shorter or the longer one of a pair, whose shorter line has 2m or 2m + 1 words.
     """
-    counted = lines.withColumn("n", F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
+    counted = lines.withColumn("n", F.octet_length("norm") - F.octet_length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     cut = counted.withColumns({"m1": F.floor(F.col("n") / 2).cast("int"), "m2": F.floor((F.col("n") - 1) / 2).cast("int")})
 
     def half(m: str, side: int) -> Column:
