@@ -329,12 +329,19 @@ def jaccard_components(docs: DataFrame, size: int = WORDS, percent: int = PERCEN
 def keep_one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id, all columns as they are.
 
-    Documents without a word all stay, and so do rows without an id. Of rows that repeat an id one stays.
+    Documents without a word stay, and so do all rows without an id. Rows that repeat an id with other texts are documents of
+    their own: of those with the smallest id in a component one stays, the others are judged by their own component. Of rows with
+    the same id and text the one stays whose other columns come first as JSON.
     """
-    found = jaccard_components(docs.where("doc_id is not null"), size, percent)
-    stays = landed(found.where("doc_id = component_id").select("doc_id").distinct(), "stays").hint("shuffle_hash")
-    kept_rows = docs.join(stays, docs["doc_id"] == stays["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept_rows.unionByName(docs.where("doc_id is null"))
+    named = docs.withColumn("__key", F.xxhash64("doc_id", "text")).where("doc_id is not null")
+    found = jaccard_components(named.select(F.col("__key").alias("doc_id"), "text"), size, percent)
+    found = landed(found.withColumnRenamed("doc_id", "__key").distinct(), "components-of-rows")
+    ids = named.select("__key", "doc_id").join(found.where("n_shingles > 0"), "__key")
+    first = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "__key")).alias("first")).select("first.__key")
+    stays = landed(first.unionByName(found.where("n_shingles = 0").select("__key")), "stays").hint("shuffle_hash")
+    others = F.to_json(F.struct("doc_id", *(c for c in docs.columns if c not in ("doc_id", "text"))))
+    chosen = named.join(stays, "__key", "left_semi").groupBy("__key").agg(F.min_by(F.struct(*docs.columns), others).alias("row")).select("row.*")
+    return chosen.unionByName(docs.where("doc_id is null"))
 
 
 SQL = r"""

@@ -92,7 +92,7 @@ def test_near_copies_of_odd_texts(spark, odd_docs, no_docs):
     kept = jaccard.keep_one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 6, 8, 9, 10] and ids.count(None) == 3
+    assert sorted(i for i in ids if i) == [1, 1, 2, 3, 4, 5, 6, 8, 9, 10] and ids.count(None) == 3  # id 1 has two texts
     assert jaccard.jaccard_components(no_docs).count() == 0
 
 
@@ -245,3 +245,16 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     columns = ("doc_id", "piece", "length", "ids_crc32")
     assert sorted(tuple(r[c] for c in columns) for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(tuple(r[c] for c in columns) for r in packed)
     assert packing.CAPACITY == 2048
+
+
+def test_rows_that_share_an_id_are_judged_each_on_its_own(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "s"), (5, text + " x", "s"), (5, "quite another text of its own words here", "s"), (7, "one more", "b"), (7, "one more", "a"), (8, "", "s"), (8, "", "s"), (None, text, "s")]
+    kept = jaccard.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 5, 80).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5], rows[7]], key=repr)
+
+
+def test_pipeline_of_nothing(spark, tmp_path, sf_dir):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
