@@ -10,7 +10,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,7 @@ from assayer.operators.schema import (
     evolve_definition,
     version_number,
 )
+from assayer.session import claim_text, remove_path
 
 REGISTRY_SCHEMA = "schema_name string, version int, definition string, registered_at timestamp"
 EVENT_SCHEMA = (
@@ -35,8 +38,64 @@ EVENT_SCHEMA = (
 FIELD_TYPE = "struct<name:string,type:string,nullable:boolean,default:string,previous_name:string>"
 
 
+class VersionTaken(ValueError):
+    """Another writer has registered, or is registering, another definition under this version of the schema."""
+
+
+def claim_version(spark: SparkSession, table_path: str, definition: SchemaDefinition) -> None:
+    """Claim a version of a schema for a definition, or raise ``VersionTaken``.
+
+    The claim is a file named by schema and number that is created once and holds the definition, so of two writers of one
+    number one wins. The same definition may claim again: a writer that died between claim and registration is simply
+    run again. The unversioned definition (0) claims number 1. A claim whose writer died while creating it is empty and holds its
+    number until ``release_version``.
+    """
+    text = definition_to_json(replace(definition, version=max(definition.version, 1)))
+    held = claim_text(spark, _claim_file(table_path, definition.name, definition.version), text)
+    if held != text:
+        raise VersionTaken(f"version {max(definition.version, 1)} of schema {definition.name!r} is taken by another definition")
+
+
+def release_version(spark: SparkSession, table_path: str, name: str, version: str | int) -> bool:
+    """Give up a claim that no registered version stands for; whether there was one."""
+    if _registered(spark, table_path, name, version_number(version)):
+        raise ValueError(f"version {version!r} of schema {name!r} is registered")
+    return remove_path(spark, _claim_file(table_path, name, version_number(version)))
+
+
+def _claim_file(table_path: str, name: str, version: int) -> str:
+    return f"{table_path.rstrip('/')}/_claims/{quote(name, safe='')}/v{max(version, 1)}"  # readers skip names that begin with _
+
+
+def _registered(spark: SparkSession, table_path: str, name: str, version: int) -> list[str]:
+    """The definitions that were registered under a number, 0 being 1, newest last."""
+    try:
+        rows = spark.read.schema(REGISTRY_SCHEMA).parquet(table_path)
+    except AnalysisException:  # nothing was registered yet
+        return []
+    found = rows.where((F.col("schema_name") == name) & (F.greatest("version", F.lit(1)) == max(version, 1)))
+    return [r["definition"] for r in found.orderBy("registered_at").collect()]
+
+
+def add_version(spark: SparkSession, table_path: str, definition: SchemaDefinition) -> None:
+    """Register a version that must be new: claimed first, so that no two writers register it with different definitions.
+
+    Registering the same definition again adds nothing. A number that was registered without a claim is taken, too.
+    """
+    claim_version(spark, table_path, definition)
+    same = definition_to_json(replace(definition, version=0))
+    there = _registered(spark, table_path, definition.name, definition.version)
+    if not there:
+        register_versions(spark, table_path, [definition])
+    elif definition_to_json(definition_from_json(there[-1], definition.name, 0)) != same:
+        raise VersionTaken(f"version {max(definition.version, 1)} of schema {definition.name!r} is registered with another definition")
+
+
 def register_version(spark: SparkSession, table_path: str, definition: SchemaDefinition) -> None:
-    """Append one version. The first one may be unversioned (0); it counts as 1 once others follow."""
+    """Append one version without a claim: a registration that replaces an earlier one of the same number.
+
+    The first one may be unversioned (0); it counts as 1 once others follow.
+    """
     register_versions(spark, table_path, [definition])
 
 
@@ -82,12 +141,15 @@ def evolve(
     new_version: str | int,
     events_path: str | None = None,
 ) -> SchemaDefinition:
-    """Apply changes to the latest version, register the result, and note a ``schema_evolved`` event."""
+    """Apply changes to the latest version, register the result, and note a ``schema_evolved`` event.
+
+    The version is claimed (``add_version``): of two writers that evolve to one number with different changes, one gets ``VersionTaken``.
+    """
     latest = get_version(spark, table_path, name)
     evolved = evolve_definition(latest, changes, new_version)
     if evolved.version <= latest.version:  # an unversioned definition counts as version 1
         raise ValueError(f"schema {name!r} is at version {latest.version} already")
-    register_version(spark, table_path, evolved)
+    add_version(spark, table_path, evolved)
     if events_path:
         append_event(spark, events_path, "schema_evolved", name, evolved.version, json.dumps(changes, default=str))
     return evolved

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators.latest import latest_per_key
@@ -19,6 +21,28 @@ RUN_SCHEMA = (
 SOURCE_SCHEMA = (
     "seq bigint, source_name string, source_type string, status string, classification string, record_count bigint"
 )
+SOURCE_FIELDS = ("seq", "source_name", "source_type", "status", "classification", "record_count")
+COUNTERS = ("sources_processed", "sources_failed", "records_processed", "bronze_count", "silver_count", "gold_count", "rejected_count")
+
+
+def write_run_log(results: DataFrame, record: DataFrame, path: str, run_id: str) -> None:
+    """Write a run's log lines: one for each source's result and one for its totals, after all of them by sequence.
+
+    A run that is repeated replaces its own lines. ``read_run_log`` gives the lines of all runs.
+    """
+    when = F.current_timestamp()
+    sources = results.select("seq", F.lit(SOURCE_MARKER).alias("marker"), F.to_json(F.struct("run_id", *SOURCE_FIELDS)).alias("payload"))
+    end = F.unix_micros("end_time") / F.lit(1e6)
+    totals = record.withColumn("seq", F.col("sources_processed") + F.col("sources_failed"))  # the sources are numbered from 0
+    runs = totals.select("seq", F.lit(RUN_MARKER).alias("marker"), F.to_json(F.struct("run_id", "seq", end.alias("end_time"), *COUNTERS)).alias("payload"))
+    stamp = F.date_format(when, "yyyy-MM-dd HH:mm:ss,SSS")
+    lines = sources.unionByName(runs).select(F.concat_ws(" ", F.concat(stamp, F.lit(" - assayer - INFO -")), "marker", "payload").alias("value"))
+    lines.write.mode("overwrite").text(f"{path}/run={quote(run_id, safe='')}")
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log lines of all runs, as ``parse_lines`` takes them."""
+    return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
 def parse_lines(lines: DataFrame, tail: int | None = None) -> DataFrame:

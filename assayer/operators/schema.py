@@ -246,11 +246,15 @@ def evolve_definition(current: SchemaDefinition, changes: Mapping[str, Any], new
     )
 
 
-def apply_evolution(df: DataFrame, source: SchemaDefinition, target: SchemaDefinition) -> DataFrame:
+def apply_evolution(df: DataFrame, source: SchemaDefinition, target: SchemaDefinition, rescued: str | None = None) -> DataFrame:
     """Bring data from one schema version to another in a single projection.
 
     Removed columns go, renamed ones keep their data, new ones get their default or null of the
     declared type, and columns whose type changed are cast; a cell that does not fit becomes null.
+
+    With ``rescued``, and if some column is cast, a column of that name keeps the cells that did not fit: a map from the
+    new column's name to the old value as text (JSON for nested values, hexadecimal for bytes), null where all cells fit. Which
+    columns are cast stands in the column's metadata; ``rescue_counts`` reads it. A column of that name in the data is an error.
     """
     old, new = source.by_name, target.by_name
     renamed = {
@@ -260,16 +264,41 @@ def apply_evolution(df: DataFrame, source: SchemaDefinition, target: SchemaDefin
     }
     kept = [c for c in df.columns if c not in old or c in new or c in renamed]
     selected: list[Column] = []
+    unfit: dict[str, Column] = {}
     for column in kept:
         name = renamed.get(column, column)
         value = F.col(f"`{column}`")
         if name in new:
             wanted = spark_type(new[name].type, new[name].fields, new[name].element_type)
             if not is_compatible(declared_type(new[name]), df.schema[column].dataType.simpleString()):
+                unfit[name] = F.when(value.isNotNull() & value.try_cast(wanted).isNull(), _as_text(value, df.schema[column].dataType))
                 value = value.try_cast(wanted)
         selected.append(value.alias(name))
     present = {renamed.get(c, c) for c in kept}
     for f in target.fields:
         if f.name not in present and f.name not in old:
             selected.append(F.lit(f.default).cast(spark_type(f.type, f.fields, f.element_type)).alias(f.name))
-    return df.select(*selected)
+    if rescued is None or not unfit:
+        return df.select(*selected)
+    if rescued in present or rescued in new:
+        raise ValueError(f"there is a column {rescued!r} already")
+    cells = F.filter(F.array(*(F.struct(F.lit(n).alias("key"), text.alias("value")) for n, text in unfit.items())), lambda c: c["value"].isNotNull())
+    kept_cells = F.when(F.size(cells) > 0, F.map_from_entries(cells))
+    return df.select(*selected, kept_cells.alias(rescued, metadata={RESCUED_COLUMNS: list(unfit)}))
+
+
+RESCUED_COLUMNS = "rescued_columns"
+
+
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    return F.hex(value) if isinstance(kind, T.BinaryType) else value.cast("string")
+
+
+def rescue_counts(df: DataFrame, rescued: str) -> dict[str, Column]:
+    """For each column that was cast, the count of the cells that did not fit, as an aggregate of the scan that counts all else."""
+    if rescued not in df.columns:
+        return {}
+    columns = df.schema[rescued].metadata.get(RESCUED_COLUMNS, [])
+    return {c: F.count_if(F.coalesce(F.map_contains_key(F.col(rescued), c), F.lit(False))) for c in columns}

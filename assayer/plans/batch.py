@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
 import time
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,7 +24,8 @@ from assayer.operators.documents import document_rows, stamp_metrics
 from assayer.operators.monitor import run_totals
 from assayer.operators.profile import profile_columns
 from assayer.operators.registry import append_events, get_version, has_schema, register_versions
-from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame, version_number
+from assayer.operators.schema import SchemaDefinition, apply_evolution, definition_from_frame, rescue_counts, version_number
+from assayer.operators.runlog import write_run_log
 from assayer.operators.scoring import TIER_THRESHOLDS, QualitySpec, count_aggregates, score_columns
 from assayer.operators.tiering import add_quality_columns, classify, merge_thresholds
 from assayer.session import cut_lineage, fresh_path
@@ -33,9 +36,10 @@ from assayer.sources.catalog import read_table
 from assayer.sources.config import all_sources, find_source
 from assayer.sources.cve import filter_cves, published_between, read_cve_pages
 from assayer.sources.files import declared_struct, read_files
-from assayer.sources.jdbc import read_jdbc
 from assayer.sources.incremental import advance_high_water, incremental_scan, load_high_water, retain_days
+from assayer.sources.jdbc import read_jdbc
 from assayer.sources.kafka import read_kafka_range
+from assayer.sources.ledger import Ledger, begin_load, end_load, holds_for, load_ledger, unseen_rows
 from assayer.sources.payloads import (
     csv_payload_rows,
     decode_values,
@@ -162,17 +166,28 @@ def quality_spec(source: Mapping[str, Any], thresholds: Mapping[str, Mapping[str
     )
 
 
+RESCUED = "_rescued"  # cells that did not fit a new type; kept with the data, and no part of what is graded
+LOST = "__rescued_"
+
+
 def assessment_aggregates(df: DataFrame, spec: QualitySpec, checked: SchemaDefinition, as_of=None) -> list[Column]:
     """All that has to be counted of a dataset, as aggregate columns of one scan."""
-    return [*count_aggregates(df, spec, as_of), *check_aggregates(df, checked), *[metric.alias(name) for name, metric in spec.metrics.items()]]
+    graded = df.drop(RESCUED)
+    lost = [count.alias(LOST + column) for column, count in rescue_counts(df, RESCUED).items()]
+    return [*count_aggregates(graded, spec, as_of), *check_aggregates(graded, checked), *[metric.alias(name) for name, metric in spec.metrics.items()], *lost]
 
 
 def judge(counted: DataFrame, df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, checked: SchemaDefinition) -> DataFrame:
     """Scores, schema result with issues, and tier, from the one row of counts of ``df``."""
     scored = counted.withColumns(score_columns(spec, spec.date_column in df.columns))
-    judged = scored.withColumns(result_columns(checks_of(df, checked)))
+    judged = scored.withColumns(result_columns(checks_of(df.drop(RESCUED), checked)))
     if definition is None:  # the generated schema fits by construction; say that it was generated
         judged = judged.withColumns({"schema_warning_count": F.lit(1), "issues": generated_issue(judged)})
+    if lost := list(rescue_counts(df, RESCUED)):
+        judged = judged.withColumns({
+            "schema_warning_count": F.col("schema_warning_count") + sum((F.col(LOST + c) > 0).cast("int") for c in lost),
+            "issues": F.concat("issues", rescue_issues(judged, lost)),
+        }).drop(*(LOST + c for c in lost))
     return classify(judged, spec.thresholds, F.col("schema_valid"))
 
 
@@ -184,6 +199,19 @@ def generated_issue(judged: DataFrame) -> Column:
     return F.array(F.struct(*fields)).cast(kind)
 
 
+def rescue_issues(judged: DataFrame, columns: list[str]) -> Column:
+    """A warning for each column of which cells did not fit its new type."""
+    kind = judged.schema["issues"].dataType
+
+    def issue(column: str) -> Column:
+        said = F.concat(F.col(LOST + column).cast("string"), F.lit(f" cells do not fit the new type; they are kept in {RESCUED}"))
+        values = {"column_name": F.lit(column), "severity": F.lit("warning"), "issue_type": F.lit("cast"), "description": said}
+        fields = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.elementType.fields]
+        return F.when(F.col(LOST + column) > 0, F.struct(*fields))
+
+    return F.filter(F.array(*(issue(c) for c in columns)), lambda i: i.isNotNull()).cast(kind)
+
+
 def assess(df: DataFrame, spec: QualitySpec, definition: SchemaDefinition | None, as_of=None) -> DataFrame:
     """Counts, scores, schema result with issues, and tier of a dataset: one row from one aggregate scan."""
     checked = definition or definition_from_frame(df, spec.name)
@@ -208,13 +236,16 @@ def judge_counts(
 
 
 def evolve_if_needed(df: DataFrame, source: Mapping[str, Any], run: Run) -> DataFrame:
-    """Bring data to the target schema version, if the source names one; on failure leave it as it is."""
+    """Bring data to the target schema version, if the source names one; on failure leave it as it is.
+
+    Cells that do not fit a new type are kept in the column ``_rescued`` and reported as issues.
+    """
     target, current = source.get("target_schema_version"), source.get("schema_version", "latest")
     if not target or target == current:
         return df
     try:
         old, new = (run.definition(df.sparkSession, source["name"], version) for version in (current, target))
-        return df if old is None or new is None else apply_evolution(df, old, new)
+        return df if old is None or new is None else apply_evolution(df, old, new, RESCUED)
     except (ValueError, AnalysisException) as failure:
         log.warning("%s was not evolved: %s", source["name"], failure)
         return df
@@ -259,7 +290,7 @@ def to_be_graded(
     spec = quality_spec(source, run.thresholds, streaming)
     version = source.get("target_schema_version") or source.get("schema_version", "latest")
     definition = run.definition(df.sparkSession, spec.name, version)
-    return evolved, spec, definition, definition_from_frame(evolved, spec.name) if definition is None else None
+    return evolved, spec, definition, definition_from_frame(evolved.drop(RESCUED), spec.name) if definition is None else None
 
 
 @dataclass
@@ -288,17 +319,19 @@ def treat_source(spark: SparkSession, family: str, source: Mapping[str, Any], ru
     """
     name = source.get("name", "unnamed_source")
     try:
-        df = fresh_rows(spark, family, source, run)
+        df, load = fresh_rows(spark, family, source, run)
         if family == "kafka":
             df = keep_dead_letters(df, name, run)
+        if load is not None:
+            begin_load(spark, run.state_path, name, load.high_water)
         if run.store_path:
             graded, row, generated = publish_source(df, source, run, family == "kafka")
         else:
             graded, row, generated = stage_and_grade(df, source, run, family == "kafka")
             write_graded(graded, row, source, run)
         tier = row["data_classification"]
-        if source.get("incremental") and run.state_path:
-            advance_high_water(graded, source["incremental"]["column"], run.state_path, name)
+        if load is not None:
+            remember_load(spark, df, graded, source, load, run)
         result = (
             run.run_id, seq, name, family, "success", tier, row["record_count"], row["completeness"],
             row["accuracy"], row["timeliness"], row["schema_valid"], run.run_at, None, None,
@@ -310,19 +343,48 @@ def treat_source(spark: SparkSession, family: str, source: Mapping[str, Any], ru
         return (run.run_id, seq, name, family, "failed", None, 0, None, None, None, None, run.run_at, reason, None), Report(name)
 
 
-def fresh_rows(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run) -> DataFrame:
-    """A source's rows: all of them, or with ``incremental`` those that no earlier load has written.
+@dataclass
+class Load:
+    """Where an incremental load stands: the mark before it, and the ledger if it holds."""
+
+    high_water: datetime | None
+    ledger: Ledger | None
+
+
+def fresh_rows(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run) -> tuple[DataFrame, Load | None]:
+    """A source's rows: all of them, or with ``incremental`` those that no earlier load has written; and its load.
 
     ``incremental`` names the ``column`` of the last change and the ``keys`` of a row; ``retention`` a
-    ``column`` and a number of ``days``.
+    ``column`` and a number of ``days``. Rows that were loaded are known by the ledger; where none holds, by what was written.
     """
     df = read_source(spark, family, source)
     if retention := source.get("retention"):
         df = retain_days(df, retention["column"], retention["days"], run.run_at)
-    if (settings := source.get("incremental")) and run.state_path:
-        name = source.get("name", "unnamed_source")
-        df = incremental_scan(df, settings["column"], load_high_water(spark, run.state_path, name), loaded_rows(spark, name, run), settings.get("keys"))
-    return df
+    settings = source.get("incremental")
+    if not settings or not run.state_path:
+        return df, None
+    name, keys = source.get("name", "unnamed_source"), settings.get("keys")
+    ledger = load_ledger(spark, run.state_path, name)
+    if holds_for(ledger, df, keys):
+        return unseen_rows(df, settings["column"], ledger), Load(ledger.high_water, ledger)
+    mark = load_high_water(spark, run.state_path, name)
+    return incremental_scan(df, settings["column"], mark, loaded_rows(spark, name, run), keys), Load(mark, None)
+
+
+def remember_load(spark: SparkSession, df: DataFrame, graded: DataFrame, source: Mapping[str, Any], load: Load, run: Run) -> None:
+    """Move the mark and enter the written rows in the ledger.
+
+    Keys that evolution renames or casts cannot be entered from written rows: then only the mark moves, and the next load
+    compares with the written rows.
+    """
+    name, settings = source.get("name", "unnamed_source"), source["incremental"]
+    columns = settings.get("keys") or df.columns
+    written = {f.name: f.dataType for f in graded.schema.fields}
+    if any(written.get(c) != df.schema[c].dataType for c in [*columns, settings["column"]]):
+        advance_high_water(graded, settings["column"], run.state_path, name)
+        return
+    loaded = loaded_rows(spark, name, run) if load.ledger is None and load.high_water is not None else None
+    end_load(graded, settings["column"], columns, run.state_path, name, load.high_water, load.ledger, loaded)
 
 
 def loaded_rows(spark: SparkSession, name: str, run: Run) -> DataFrame | None:
@@ -439,7 +501,7 @@ def write_profiles(reports: list[Report], run: Run) -> None:
 
 def profile_source(df: DataFrame, name: str, run: Run, distinct: str = "approx") -> None:
     """Append the column profile of a source to the monitoring tables."""
-    rows = profile_columns(df, distinct=distinct)
+    rows = profile_columns(df.drop(RESCUED), distinct=distinct)
     rows.withColumns({"run_id": F.lit(run.run_id), "source_name": F.lit(name)}).write.mode("append").parquet(
         f"{run.monitor_path}/column_profile"
     )
@@ -454,22 +516,57 @@ def process_one(spark: SparkSession, config: Mapping[str, Any], name: str, run:
 def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run, at_once: int = 4) -> DataFrame:
     """Process every enabled source in family order: one result row per source.
 
-    Some sources run side by side, so that small ones do not leave a cluster idle; their reports are
-    written together afterwards. With a monitoring folder the results and the run's totals are
-    appended to its tables.
+    Some sources run side by side, so that small ones do not leave a cluster idle; each has a scheduler pool of its own, so that
+    with ``spark.scheduler.mode`` FAIR a large source does not hold up the jobs of small ones for longer than its running tasks take. A source with
+    ``time_limit_seconds`` is cancelled at its limit and fails alone. The reports are written together afterwards. With a
+    monitoring folder the results, the run's totals and its log lines are appended to its tables.
     """
     started = time.time()
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        treated = list(pool.map(lambda item: treat_source(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))))
+        treated = list(pool.map(lambda item: treat_side_by_side(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))))
     results = spark.createDataFrame(with_reports(spark, treated, run), RESULT_SCHEMA)
     if run.monitor_path:
         results.write.mode("append").parquet(f"{run.monitor_path}/source_runs")
         record = run_record(results, run, "batch", started)
         record.write.mode("append").parquet(f"{run.monitor_path}/pipeline_runs")
         write_metrics(stamp_metrics(record, run.run_at), f"{run.monitor_path}/metrics")
+        write_run_log(results, record, f"{run.monitor_path}/run_log", run.run_id)
     return results
 
 
+def treat_side_by_side(spark: SparkSession, family: str, source: Mapping[str, Any], run: Run, seq: int) -> tuple[tuple, Report]:
+    """``treat_source`` in a scheduler pool and under a job tag of its own, within the source's time limit.
+
+    At the limit all jobs with the tag are cancelled, and so is every further one until the source has failed, so that no
+    fallback goes on behind it. What it wrote before is treated as that of any failed source: its run id is tried again.
+    """
+    name, limit = source.get("name", "unnamed_source"), source.get("time_limit_seconds")
+    context, tag, ended, late = spark.sparkContext, f"source-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if not ended.wait(float(limit)):
+            late.set()
+        while not ended.wait(0.2):
+            context.cancelJobsWithTag(tag)
+
+    context.setLocalProperty("spark.scheduler.pool", f"source-{seq}")
+    context.addJobTag(tag)
+    watcher = threading.Thread(target=watch, daemon=True) if limit is not None else None
+    try:
+        if watcher:
+            watcher.start()
+        result, report = treat_source(spark, family, source, run, seq)
+    finally:
+        ended.set()
+        if watcher:
+            watcher.join()
+        context.removeJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", None)
+    if late.is_set() and result[4] == "failed":
+        result = (*result[:-2], f"{name} was stopped at its time limit of {limit} s", None)
+    return result, report
+
+
 def run_record(results: DataFrame, run: Run, mode: str, started: float) -> DataFrame:
     """The run's row of the ``pipeline_runs`` table; ``started`` is a clock reading in seconds."""
     totals = run_totals(results).drop("start_time", "end_time", "duration_seconds")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators import checks, monitor, profile, registry
-from assayer.operators.schema import Field, apply_evolution, compatible
+from assayer.operators.schema import Field, SchemaDefinition, apply_evolution, compatible
 from assayer.plans import views
 from assayer.plans.batch import Run, evolve_if_needed, grade_source
 from assayer.plans.catalog import register
@@ -18,7 +18,7 @@ from assayer.plans.views import (
     OBSERVED_FIELDS,
     VERSIONS_IN_USE,
 )
-from assayer.session import fresh_path
+from assayer.session import cut_lineage, fresh_path
 
 # The declared fields of each schema's newest version, and the comparison of type names, as SQL.
 LATEST_FIELDS = f"""(SELECT d.schema_name, d.name, d.type, d.nullable FROM {DECLARED_FIELDS.replace(') declared_fields', ') d')}
@@ -209,3 +209,58 @@ def evolved_by_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry.evolve(spark, path, "customers", changes, 2)
     evolved = evolve_if_needed(customers, {"name": "customers", "schema_version": 1, "target_schema_version": 2}, run)
     return evolved.select("c_custkey", "c_name", F.col("c_acctbal").isNull().alias("no_balance"), "loyalty")
+
+
+# Codes of the customer table: a third are names, which do not fit the type of the second version.
+CODED_V1 = SchemaDefinition("coded", 1, (Field("c_custkey", "long"), Field("code", "string"), Field("balance", "string")))
+CODED_V2 = SchemaDefinition("coded", 2, (Field("c_custkey", "long"), Field("number", "int", previous_name="code"), Field("balance", "double")))
+
+
+def coded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise(F.col("c_custkey").cast("string"))
+    return views.table(spark, sf_dir, "customer").select("c_custkey", code.alias("code"), F.lit("1.5").alias("balance"))
+
+
+@register(
+    "evolved_with_rescue",
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS INT) END AS number, 1.5e0 AS balance,
+ CASE WHEN c_custkey % 3 = 0 THEN c_name END AS unfit, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS cells FROM customer""",
+)
+def evolved_with_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column takes a type that a third of its cells do not fit; no value is lost."""
+    evolved = apply_evolution(coded_customers(spark, sf_dir), CODED_V1, CODED_V2, "rescued")
+    cells = F.coalesce(F.size("rescued"), F.lit(0))
+    return evolved.select("c_custkey", "number", "balance", F.try_element_at("rescued", F.lit("number")).alias("unfit"), F.greatest(cells, F.lit(0)).alias("cells"))
+
+
+@register(
+    "rescue_issues",
+    """SELECT 'number' AS column_name, 'cast' AS issue_type, 'warning' AS severity,
+ CAST(count(*) AS VARCHAR) || ' cells do not fit the new type; they are kept in _rescued' AS description FROM customer WHERE c_custkey % 3 = 0""",
+)
+def rescue_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run reports of cells that did not fit, counted in the scan that grades the data."""
+    run = Run("run-1", views.RUN_AT, schemas={(d.name, d.version): d for d in (CODED_V1, CODED_V2)})
+    source = {"name": "coded", "schema_version": 1, "target_schema_version": 2}
+    _, row = grade_source(coded_customers(spark, sf_dir), source, run)
+    issues = spark.createDataFrame(row["issues"], "column_name string, issue_type string, severity string, description string")
+    return issues.where("issue_type = 'cast'")
+
+
+@register(
+    "evolution_requested",
+    f"""SELECT 'evolution_requested' AS event_type, schema_name, count(*) AS changes, min(field) AS first_field, max(field) AS last_field
+ FROM ({CHANGES_SQL}) c GROUP BY schema_name""",
+)
+def evolution_requested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred changes of every schema, left as events for someone to decide on."""
+    path = fresh_path(spark, "schema-events")
+    changes = cut_lineage(infer_changes(spark, sf_dir))
+    for row in changes.select("schema_name").distinct().collect():
+        registry.request_evolution(changes, row["schema_name"], path)
+    events = spark.read.parquet(path)
+    told = F.from_json("changes", "array<struct<field:string>>")
+    return events.withColumn("told", told).select(
+        "event_type", "schema_name", F.size("told").cast("bigint").alias("changes"),
+        F.array_min("told.field").alias("first_field"), F.array_max("told.field").alias("last_field"),
+    )

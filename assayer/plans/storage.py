@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from assayer.operators.checks import issue_rows, validate
 from assayer.operators.monitor import run_totals
+from assayer.operators.runlog import parse_lines, read_run_log
 from assayer.operators.scoring import TIER_THRESHOLDS
 from assayer.operators.tiering import add_ingest_columns
 from assayer.plans import views
-from assayer.plans.batch import Run, grade_source, process_all
+from assayer.plans.batch import Run, grade_source, process_all, process_one
 from assayer.plans.catalog import register
 from assayer.plans.definitions import CUSTOMER_ID, CUSTOMER_V1, EMAIL, PHONE, SALES_V1
 from assayer.plans.scores import (
@@ -29,6 +30,7 @@ from assayer.sinks.document_store import merge_documents, read_store, vacuum
 from assayer.sinks.published import published, regrade, retire
 from assayer.sinks.tiers import write_rejected, write_tier_files, write_tier_table, write_with_fallback
 from assayer.sinks.documents import read_documents
+from assayer.sources import ledger
 from assayer.sources.catalog import describe_tables, read_table
 
 SCHEMAS = {("sales_transactions", 1): SALES_V1, ("customer_data", 1): CUSTOMER_V1}
@@ -244,6 +246,58 @@ def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@register(
+    "incremental_ledger",
+    """WITH e AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN date_trunc('day', ts) END AS changed FROM events)
+ SELECT event_id, CAST(changed AS TIMESTAMP) AS changed FROM e WHERE changed IS NULL OR changed = (SELECT max(changed) FROM e)""",
+)
+def incremental_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a source's ledger holds after four loads: the rows without a time and those of the mark's moment, once each."""
+    folders, landing, state = tier_folders(spark), fresh_path(spark, "events"), fresh_path(spark, "state")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    events = views.table(spark, sf_dir, "events").withColumn("changed", F.when(F.col("event_id") % 7 != 0, day))
+    source = {"name": "changes", "type": "parquet", "path": landing, "incremental": {"column": "changed", "keys": ["event_id"]}}
+    kind, last = F.pmod("event_id", F.lit(3)), events.agg(F.max("changed")).first()[0]
+    early = F.coalesce(F.col("changed") < F.lit(last), F.lit(False))
+    waves = (early, ~early & (kind == 0), ~early & (kind == 1), ~early & (kind == 2))  # rows of the last day arrive in three loads
+    for number, wave in enumerate(waves):
+        events.where(wave).write.mode("append").parquet(landing)
+        process_all(spark, {"file_sources": [source]}, Run(f"load-{number}", RUN_AT, folders, state_path=state))
+    held = spark.read.schema(ledger.ENTRY).parquet(*ledger.load_ledger(spark, state, "changes").parts)
+    held = held.where(F.col("moment").isNull() | (F.col("moment") == F.lit(last)))
+    return held.select(F.get_json_object("entry", "$.event_id").cast("bigint").alias("event_id"), F.col("moment").alias("changed"))
+
+
+@register(
+    "run_log_of_runs",
+    """SELECT run, 'source' AS kind, source_name, status, records, 0::BIGINT AS failed FROM (VALUES ('first'), ('second')) r(run),
+ (SELECT 'user_events' AS source_name, 'success' AS status, (SELECT count(*) FROM events) AS records UNION ALL SELECT 'no_such_file', 'failed', 0) q
+ UNION ALL SELECT run, 'pipeline', NULL, NULL, (SELECT count(*) FROM events), 1 FROM (VALUES ('first'), ('second')) r(run)""",
+)
+def run_log_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that three runs wrote, one of them a repeated one, read back."""
+    monitor = fresh_path(spark, "monitor")
+    config = {"file_sources": [
+        {"name": "user_events", "type": "parquet", "path": f"{sf_dir}/events.parquet"},
+        {"name": "no_such_file", "type": "parquet", "path": f"{monitor}-absent"},
+    ]}
+    for run_id in ("first", "second", "second"):
+        process_all(spark, config, Run(run_id, RUN_AT, monitor_path=monitor))
+    logged = parse_lines(read_run_log(spark, f"{monitor}/run_log"))
+    told = F.from_json("payload", "run_id string, source_name string, status string, record_count bigint, records_processed bigint, sources_failed bigint")
+    return logged.select("kind", told.alias("p")).select(
+        F.col("p.run_id").alias("run"), "kind", "p.source_name", "p.status", F.coalesce("p.record_count", "p.records_processed").alias("records"),
+        F.coalesce("p.sources_failed", F.lit(0)).cast("bigint").alias("failed"),
+    )
+
+
+@register("process_one", "SELECT 'user_events' AS source_name, 'file' AS source_type, 'success' AS status, count(*) AS record_count FROM events")
+def process_one_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = [{"name": n, "type": "parquet", "path": f"{sf_dir}/{n.removeprefix('user_')}.parquet"} for n in ("orders", "user_events")]
+    done = process_one(spark, {"file_sources": sources}, "user_events", Run("run-1", RUN_AT, tier_folders(spark)))
+    return done.select("source_name", "source_type", "status", "record_count")
+
+
 @register(
     "catalog_columns",
     """SELECT name, type, is_partition, (SELECT count(*) FROM events) AS row_count FROM (VALUES ('event_id', 'bigint', false), ('event_type', 'string', false),

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayer.operators.checks import fields_conform
@@ -238,19 +241,30 @@ def stream_full_grading(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "stream_schema_changes",
-    f"""WITH d AS (SELECT * FROM {DECLARED_FIELDS}),
+SCHEMA_CHANGES_SQL = f"""WITH d AS (SELECT * FROM {DECLARED_FIELDS}),
  v AS (SELECT schema_name, version, lag(version) OVER (PARTITION BY schema_name ORDER BY version) AS old FROM (SELECT DISTINCT schema_name, version FROM d)),
  l AS (SELECT v.schema_name, v.version, d.name, d.type, d.nullable FROM v JOIN d ON d.schema_name = v.schema_name AND d.version = v.old),
  r AS (SELECT schema_name, version, name, type, nullable FROM d)
  SELECT coalesce(l.schema_name, r.schema_name) AS schema_name, coalesce(l.version, r.version) AS version, coalesce(l.name, r.name) AS field,
   CASE WHEN l.name IS NULL THEN 'add' WHEN r.name IS NULL THEN 'remove' ELSE 'modify' END AS change
  FROM l FULL OUTER JOIN r ON l.schema_name = r.schema_name AND l.version = r.version AND l.name = r.name
- WHERE l.name IS NULL OR r.name IS NULL OR l.type <> r.type OR l.nullable <> r.nullable""",
-)
+ WHERE l.name IS NULL OR r.name IS NULL OR l.type <> r.type OR l.nullable <> r.nullable"""
+
+
+@register("stream_schema_changes", SCHEMA_CHANGES_SQL)
 def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema versions land in three waves; each new one is compared with the version before it."""
+    return changes_of_waves(spark, sf_dir, (F.col("version") <= 6, F.col("version").between(7, 9), F.col("version") > 9))
+
+
+@register("stream_schema_changes_late", SCHEMA_CHANGES_SQL)
+def stream_schema_changes_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from waves that land out of order: late versions correct the events of those after them."""
+    return changes_of_waves(spark, sf_dir, (F.col("version").between(7, 9), F.col("version") % 2 == 0, F.lit(True)))
+
+
+def changes_of_waves(spark: SparkSession, sf_dir: str, waves: Sequence[Column]) -> DataFrame:
+    """Changed fields of all declared versions, which land wave by wave, each version in the first that it fits."""
     landed, checkpoint, known, events = (fresh_path(spark, label) for label in ("schemas", "checkpoint", "registry", "changes"))
     definitions = (
         views.declared_fields(spark, sf_dir)
@@ -259,8 +273,9 @@ def stream_schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("version", F.to_json(F.struct(F.col("schema_name").alias("name"), "version", "fields")).alias("value"))
     )
     name = query_name("schemas")
-    for wave in (F.col("version") <= 6, F.col("version").between(7, 9), F.col("version") > 9):
-        definitions.where(wave).select("value").write.mode("append").text(landed)
+    for number, wave in enumerate(waves):
+        earlier = reduce(or_, waves[:number], F.lit(False))
+        definitions.where(wave & ~earlier).select("value").write.mode("append").text(landed)
         run_available(
             start_sink(
                 schema_changes.schema_file_stream(spark, landed, "*.txt", one_per_file=False),

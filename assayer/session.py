@@ -15,6 +15,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -82,6 +83,25 @@ def claim_path(spark: SparkSession, path: str) -> bool:
     return bool(system.createNewFile(where))
 
 
+def claim_text(spark: SparkSession, path: str, text: str) -> str:
+    """Create a file that holds ``text`` unless it is there, and give what the file holds.
+
+    Of callers that ask at the same time one gets its own text back and the others that one's. A file whose writer has not
+    filled it yet, or died before, gives an empty text.
+    """
+    system, where = _file_system(spark, path)
+    if claim_path(spark, path):
+        out = system.create(where, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        return text
+    held = system.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(held)).decode("utf-8")
+    finally:
+        held.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, where = _file_system(spark, path)
     return bool(system.exists(where))

@@ -27,12 +27,12 @@ def incremental_scan(
     """
     if high_water is None:
         return df
-    due = F.col(modified).isNull() | (F.col(modified) >= _literal(df, modified, high_water))
+    due = F.col(modified).isNull() | (F.col(modified) >= moment_literal(df, modified, high_water))
     rows = df.where(due)
     if loaded is None:
         return rows
     same = list(dict.fromkeys([*(keys or [c for c in df.columns if c in loaded.columns]), modified]))
-    known = loaded.where(F.col(modified).isNull() | (F.col(modified) >= _literal(df, modified, high_water))).select(*(F.col(c).alias(f"__{c}") for c in same)).distinct()
+    known = loaded.where(F.col(modified).isNull() | (F.col(modified) >= moment_literal(df, modified, high_water))).select(*(F.col(c).alias(f"__{c}") for c in same)).distinct()
     return rows.join(known, reduce(and_, [rows[c].eqNullSafe(known[f"__{c}"]) for c in same]), "left_anti")
 
 
@@ -40,18 +40,19 @@ def date_range(df: DataFrame, column: str, start: datetime | None, end: datetime
     """Rows of a closed time interval; either end may be open."""
     kept = df
     if start is not None:
-        kept = kept.where(F.col(column) >= _literal(df, column, start))
+        kept = kept.where(F.col(column) >= moment_literal(df, column, start))
     if end is not None:
-        kept = kept.where(F.col(column) <= _literal(df, column, end))
+        kept = kept.where(F.col(column) <= moment_literal(df, column, end))
     return kept
 
 
 def retain_days(df: DataFrame, column: str, days: int, as_of: datetime) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of``."""
-    return df.where(F.col(column) >= _literal(df, column, as_of) - F.expr(f"INTERVAL {int(days)} DAYS"))
+    return df.where(F.col(column) >= moment_literal(df, column, as_of) - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
-def _literal(df: DataFrame, column: str, moment: datetime) -> Column:
+def moment_literal(df: DataFrame, column: str, moment: datetime) -> Column:
+    """A moment as a value of a column's type."""
     return F.lit(moment.isoformat(sep=" ")).cast(df.schema[column].dataType)
 
 

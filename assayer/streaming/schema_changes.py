@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assayer.operators.latest import latest_per_key
 from assayer.operators.registry import FIELD_TYPE, both_sides
-from assayer.session import cut_lineage
+from assayer.session import cut_lineage, list_folders, remove_path
 from assayer.streaming.batches import overwrite_batch
 
 
@@ -36,27 +36,49 @@ def schema_file_stream(spark: SparkSession, folder: str, pattern: str = "*.json"
     )
 
 
-def record_schema_changes(registry_path: str, events_path: str) -> Callable[[DataFrame, int], None]:
+def record_schema_changes(registry_path: str, events_path: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """Register each new schema version and append a ``schema_updated`` event with old and new definition.
 
-    Both tables are written by batch id, so a batch that runs twice is recorded once. The old
-    definition is that of the version before it, in this batch or registered earlier, so the events do
-    not depend on how versions are dealt into batches as long as they land in order.
+    The old definition is that of the version before it, in this batch or registered earlier. A version that lands after a
+    later one also leaves a ``schema_corrected`` event for that one, whose old definition it now is; of several events of
+    a version the last counts (``changed_fields``). So the result does not depend on how versions are dealt into batches, nor on
+    their order.
+
+    The newest definition of every schema is kept in hash buckets beside the registry, and a batch reads and rewrites
+    only the buckets of its schemas: its cost follows from the batch, not from the registry. Only schemas of
+    which a version lands late are looked up in the registry. All tables are written by batch id, and a bucket keeps the
+    state before its last batch, so a batch that runs twice is recorded once.
     """
+    latest_path = f"{registry_path.rstrip('/')}/_latest"  # readers of the registry skip names that begin with _
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = cut_lineage(batch)
-        versions = batch.withColumn("__new", F.lit(True))
-        try:
-            registered = batch.sparkSession.read.parquet(registry_path).where(F.col("batch_id") < batch_id)
-            names = batch.select("schema_name").distinct()
-            known = latest_per_key(registered.select("schema_name", "version", "definition").join(names, "schema_name", "left_semi"), ["schema_name"], ["version"])
-            versions = versions.unionByName(known.withColumn("__new", F.lit(False)).select(*versions.columns))
-        except AnalysisException:  # no version was registered yet
-            pass
-        before = F.lag("definition").over(Window.partitionBy("schema_name").orderBy("version", "__new"))
-        events = versions.withColumn("old_definition", before).where("__new").select(
-            F.lit("schema_updated").alias("event_type"),
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64("schema_name"), F.lit(buckets)).cast("int")
+        batch = cut_lineage(batch.select("schema_name", "version", "definition", bucket.alias("bucket")))
+        touched = [r[0] for r in batch.select("bucket").distinct().collect()]
+        first = not list_folders(spark, latest_path)
+        kept = latest_per_key(registered(spark, registry_path, batch_id).drop("batch_id").withColumn("bucket", bucket), ["schema_name"], ["version"]) if first else None
+        known = kept if first else read_latest(spark, latest_path, batch_id, touched)
+
+        names = batch.groupBy("schema_name").agg(F.min("version").alias("__least"))
+        here = known.join(names, "schema_name")
+        late = cut_lineage(here.where(F.col("__least") <= F.col("version")).select("schema_name", "bucket"))
+        old = here.join(late.select("schema_name"), "schema_name", "left_anti").select("schema_name", "version", "definition")
+        late_buckets = [r[0] for r in late.select("bucket").distinct().collect()]
+        if late_buckets:
+            history = registered(spark, registry_path, batch_id).where(F.col("bucket").isin(late_buckets) | F.col("bucket").isNull())
+            history = history.join(late.select("schema_name"), "schema_name", "left_semi")
+            old = old.unionByName(latest_per_key(history, ["schema_name", "version"], ["batch_id"]).select(*old.columns))
+
+        new = batch.drop("bucket").withColumn("__new", F.lit(True))
+        order = Window.partitionBy("schema_name").orderBy("version", "__new")
+        versions = new.unionByName(old.withColumn("__new", F.lit(False)))
+        lined = versions.withColumns({"old_definition": F.lag("definition").over(order), "__after_new": F.lag("__new").over(order)})
+        # a version that is registered again is new itself; its earlier registration is not corrected
+        lined = lined.withColumn("__again", F.lead("version").over(order) == F.col("version"))
+        corrected = F.col("__after_new") & ~F.coalesce("__again", F.lit(False))
+        events = lined.where(F.col("__new") | corrected).select(
+            F.when(F.col("__new"), "schema_updated").otherwise("schema_corrected").alias("event_type"),
             "schema_name",
             "version",
             "old_definition",
@@ -65,12 +87,59 @@ def record_schema_changes(registry_path: str, events_path: str) -> Callable[[Dat
         )
         overwrite_batch(events, events_path, batch_id)
         overwrite_batch(batch, registry_path, batch_id)
+        if touched:
+            write_latest(known, batch, latest_path, batch_id)
+            for number in touched:
+                retire_latest(spark, latest_path, number, batch_id)
 
     return handle
 
 
+LATEST = "schema_name string, version int, definition string"
+
+
+def registered(spark: SparkSession, registry_path: str, batch_id: int) -> DataFrame:
+    """Versions that earlier batches registered."""
+    columns = f"{LATEST}, bucket int, batch_id bigint"
+    try:
+        return spark.read.schema(columns).parquet(registry_path).where(F.col("batch_id") < batch_id)
+    except AnalysisException:  # no version was registered yet
+        return spark.createDataFrame([], columns)
+
+
+def generations(spark: SparkSession, latest_path: str, bucket: int) -> list[int]:
+    """The batches that wrote a bucket's kept states, oldest first."""
+    return sorted(int(name.removeprefix("batch=")) for name in list_folders(spark, f"{latest_path}/bucket={bucket}"))
+
+
+def read_latest(spark: SparkSession, latest_path: str, batch_id: int, buckets: Sequence[int]) -> DataFrame:
+    """The newest definitions in some buckets, as they were before a batch."""
+    found = {b: [g for g in generations(spark, latest_path, b) if g < batch_id] for b in buckets}
+    paths = [f"{latest_path}/bucket={b}/batch={kept[-1]}" for b, kept in found.items() if kept]
+    if not paths:
+        return spark.createDataFrame([], f"{LATEST}, bucket int")
+    rows = spark.read.schema(f"{LATEST}, bucket int").option("basePath", latest_path).parquet(*paths)
+    return rows.select("schema_name", "version", "definition", "bucket")
+
+
+def write_latest(known: DataFrame, batch: DataFrame, latest_path: str, batch_id: int) -> None:
+    """Lay a batch over the kept definitions; of a version that is registered again the batch's counts."""
+    both = known.select(*batch.columns).withColumn("__new", F.lit(False)).unionByName(batch.withColumn("__new", F.lit(True)))
+    newest = latest_per_key(both, ["schema_name"], ["version", "__new"]).drop("__new").withColumn("batch", F.lit(batch_id))
+    spread = newest.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spread.partitionBy("bucket", "batch").parquet(latest_path)
+
+
+def retire_latest(spark: SparkSession, latest_path: str, bucket: int, batch_id: int) -> None:
+    """Delete a bucket's states but for a batch's and the one before it, from which the batch may be run again."""
+    for old in [g for g in generations(spark, latest_path, bucket) if g < batch_id][:-1]:
+        remove_path(spark, f"{latest_path}/bucket={bucket}/batch={old}")
+
+
 def changed_fields(events: DataFrame) -> DataFrame:
-    """Fields added, removed or changed by each schema event."""
+    """Fields added, removed or changed by each version; of several events of a version the last counts."""
+    order = "batch_id" if "batch_id" in events.columns else "timestamp"
+    events = latest_per_key(events.select("schema_name", "version", "old_definition", "new_definition", order), ["schema_name", "version"], [order])
     fields = f"array<{FIELD_TYPE}>"
 
     def side(definition: str) -> DataFrame:
