@@ -26,6 +26,7 @@ from assayer.operators.schema import (
     definition_from_json,
     definition_to_json,
     evolve_definition,
+    version_column,
     version_number,
 )
 from assayer.session import claim_text, remove_path
@@ -196,8 +197,7 @@ def definition_rows(spark: SparkSession, definition: SchemaDefinition) -> DataFr
 
 def latest_versions(versions: DataFrame, schema: str = "schema_name", version: str = "version") -> DataFrame:
     """Greatest version number per schema, from numbers or from texts such as ``v10``."""
-    number = F.regexp_extract(F.col(version).cast("string"), "([0-9]+)", 1).cast("int")
-    return versions.groupBy(schema).agg(F.max(number).alias("latest"))
+    return versions.groupBy(schema).agg(F.max(version_column(F.col(version))).alias("latest"))
 
 
 def at_version(fields: DataFrame, versions: DataFrame, version_column: str) -> DataFrame:

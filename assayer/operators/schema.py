@@ -80,13 +80,28 @@ class SchemaDefinition:
 
 
 def version_number(version: str | int | None) -> int:
-    """``v10`` is 10, so that it comes after ``v9``; no version is 0."""
+    """``v10`` is 10, so that it comes after ``v9``; no version is 0.
+
+    A version is one whole number, with any letters about it. Several numbers (``v1.10``) are refused, as they have no
+    place in that order; ``version_column`` keeps the same rule.
+    """
     if version is None or version == "":
         return 0
-    digits = re.sub(r"\D", "", str(version))
-    if not digits:
+    numbers = re.findall(r"[0-9]+", str(version))
+    if not numbers:
         raise ValueError(f"no number in schema version {version!r}")
-    return int(digits)
+    if len(numbers) > 1:
+        raise ValueError(f"several numbers in schema version {version!r}")
+    return int(numbers[0])
+
+
+def version_column(version: Column) -> Column:
+    """``version_number`` of a column, from numbers or texts; a text that is no version fails the job."""
+    text = F.coalesce(version.cast("string"), F.lit(""))
+    numbers = F.regexp_extract_all(text, F.lit("([0-9]+)"))
+    problem = F.when(F.size(numbers) == 0, "no number").otherwise("several numbers")
+    refused = F.raise_error(F.format_string("%s in schema version '%s'", problem, text)).cast("int")
+    return F.when(text == "", 0).when(F.size(numbers) == 1, F.element_at(numbers, 1).cast("int")).otherwise(refused)
 
 
 def spark_type(type_name: str, fields: tuple[Field, ...] = (), element_type: str | None = None) -> T.DataType:

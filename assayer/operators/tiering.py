@@ -164,7 +164,7 @@ def stamp_events(df: DataFrame, source_name: str, moment: Column | None = None)
     """Source name and time of day of handling, as each event carries them."""
     when = F.current_timestamp() if moment is None else moment
     return df.withColumns(
-        {"source_name": F.lit(source_name), "event_time": F.date_format(when, "yyyy-MM-dd HH:mm:ss")}
+        {"source_name": F.lit(source_name), "timestamp": F.date_format(when, "yyyy-MM-dd HH:mm:ss")}
     )
 
 

@@ -256,11 +256,11 @@ def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "stamp_events",
-    "SELECT event_id, 'user_events' AS source_name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM events",
+    "SELECT event_id, 'user_events' AS source_name, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp FROM events",
 )
 def stamp_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tiering.stamp_events(views.table(spark, sf_dir, "events"), "user_events", F.col("ts"))
-    return events.select("event_id", "source_name", "event_time")
+    return events.select("event_id", "source_name", "timestamp")
 
 
 @register(

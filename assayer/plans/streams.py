@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
@@ -79,6 +80,25 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_result(spark, sliding(events_stream(spark, sf_dir)), "sliding")
 
 
+@register("stream_processing_time", "SELECT event_type, count(*) AS n, true AS seen_now FROM events GROUP BY event_type")
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events counted in windows of the time at which they are handled, by a query that a processing-time trigger starts anew
+    until its files are worked off. All of these windows lie at or after the start of the query."""
+    path, name = fresh_path(spark, "processing-time"), query_name("processing-time")
+    begun = datetime.now(timezone.utc)
+    stream = windows.with_event_time(read_table_stream(spark, sf_dir, "events", files_per_trigger=1))
+    counted = windows.window_counts(stream, "1 hour", by=("event_type",))
+    query = start_sink(
+        counted, name, fresh_path(spark, "checkpoint"), output_mode="complete", trigger="1 second", handler=batches.replace_result(path)
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    now = F.col("window_end") > F.lit(begun).cast("timestamp_ntz")
+    return batches.read_result(spark, path, query).groupBy("event_type").agg(F.sum("n").alias("n"), F.min(now).alias("seen_now"))
+
+
 @register(
     "stream_late_data",
     """SELECT date_trunc('day', ts) AS window_start, count(*) AS n FROM events

@@ -20,6 +20,7 @@ from assayer.operators.schema import (
     spark_type,
     to_struct,
     type_name,
+    version_column,
     version_number,
 )
 from assayer.plans.definitions import CUSTOMER_V1, CUSTOMER_V2, SALES_V1
@@ -90,6 +91,17 @@ def test_versions_are_numbers():
     assert version_number(None) == 0
     with pytest.raises(ValueError, match="no number"):
         version_number("newest")
+    with pytest.raises(ValueError, match="several numbers"):
+        version_number("v1.10")
+
+
+def test_version_columns_keep_the_rule_of_version_numbers(spark):
+    texts = ["v10", "9", "", None, "schema-v007"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r.n for r in df.orderBy("i").select(version_column(F.col("t")).alias("n")).collect()] == [version_number(t) for t in texts]
+    for text, message in (("v1.10", "several numbers"), ("newest", "no number")):
+        with pytest.raises(Exception, match=message):
+            spark.createDataFrame([(text,)], "t string").select(version_column(F.col("t"))).collect()
 
 
 def test_landing_form_round_trips():

@@ -103,7 +103,8 @@ def test_date_parts_as_configured(spark):
 def test_ingest_columns_and_stamps(spark):
     row = tiering.add_ingest_columns(spark.range(1), "gold", RUN_AT).first()
     assert (row["ingestion_timestamp"], row["classification_level"]) == (RUN_AT, "gold")
-    assert tiering.stamp_events(spark.range(1), "s").first()["source_name"] == "s"
+    stamped = tiering.stamp_events(spark.range(1), "s", F.lit("2024-02-01 03:04:05").cast("timestamp")).first()
+    assert (stamped["source_name"], stamped["timestamp"]) == ("s", "2024-02-01 03:04:05")
 
 
 def test_thresholds_from_a_table_grade_like_thresholds_from_settings(spark):
