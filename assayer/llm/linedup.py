@@ -146,7 +146,8 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, count_as: str | None = None) -> DataFrame:
-    """``docs`` with the columns it has and ``text`` without the lines that go; ``count_as`` names a column for their number.
+    """``docs`` with the columns it has and ``text`` without the lines that go; ``count_as`` names a column for their number
+    (a column of that name is replaced).
 
     Lines are parted by ``\\n``. Lines without a word always stay; lines of fewer than ``least_words`` words go
     only if an earlier one has the same words. No document goes: one whose lines all go keeps an empty text,
@@ -158,7 +159,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, count_as: str |
     kept = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda line, i: ~F.array_contains(gone["numbers"], i)), "\n")
     text = F.when(gone["numbers"].isNull(), docs["text"]).otherwise(kept)
     count = [F.coalesce(F.size(gone["numbers"]), F.lit(0)).alias(count_as)] if count_as else []
-    return joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns), *count)
+    return joined.select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns if c != count_as), *count)
 
 
 SQL = r"""

@@ -1,14 +1,18 @@
 """Substring deduplication by sliding sentence spans.
 
-A span is a run of consecutive sentences: from every sentence on the shortest run that holds LEAST_WORDS
-words, and up to every sentence the shortest such run; usually two to four sentences, but a sentence that
-long is a run of its own. All spans are hashed (128 bits) and joined over the corpus. The first of equal spans
-is that with the smallest (doc_id, sentence); sentences that any other one covers are removed.
+A sentence ends after its mark or line; one of LONG words or more is cut further, at words that its own content
+chooses (the least hash of every LONG words running), so that a passage is cut alike wherever it stands. A span is
+a run of consecutive sentences: from every sentence on the shortest run that holds LEAST_WORDS words, and up to
+every sentence the shortest such run; usually two to four sentences. All spans are hashed (128 bits) and joined
+over the corpus. The first of equal spans is that with the smallest (doc_id, sentence); sentences that any other
+one covers are removed. Of a passage that repeats from within a long sentence, fewer than LONG words at either end
+can stay. In scripts without spaces each character counts as a word.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +23,77 @@ from pyspark.sql import functions as F
 from assayer.llm.common import landed
 
 LEAST_WORDS = 20
+LONG = 16
 _CUT = re.compile(r"(?<=[.!?])[^\S\n]+|\s*\n\s*")
+# Thai to Lao, Burmese, Khmer, kana and CJK with their marks, full-width forms
+_NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_NO_SPACES}]")
+_CUT_UNSPACED = re.compile(r"\s*\n\s*|(?<=[.!?])[^\S\n]+|(?<=[\u3002\uff01\uff1f\uff61])[^\S\n]*")
+_WORD_UNSPACED = re.compile(f"[{_NO_SPACES}]|[^\\s{_NO_SPACES}]+")
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NO_ID = -(1 << 63)  # stands for a null id
 SPAN = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("mark", "<i8"), ("first", "<i4"), ("count", "<i4")])
 
 
 def sentences(text: str) -> list[str]:
-    """A text in pieces that end after a sentence's mark and white space, or after line ends; joined they are the text."""
-    edges = [0, *(m.end() for m in _CUT.finditer(text)), len(text)]
-    return [text[a:b] for a, b in zip(edges, edges[1:], strict=False) if b > a]
+    """A text in pieces that end after a sentence's mark and white space, after line ends, or within long sentences
+    at words that these choose; joined they are the text."""
+    unspaced = not text.isascii() and _UNSPACED.search(text) is not None
+    edges = [0, *(m.end() for m in (_CUT_UNSPACED if unspaced else _CUT).finditer(text)), len(text)]
+    more = chosen_cuts(text, edges, unspaced)
+    if more:
+        edges = sorted(edges + more)
+    return [text[a:b] for a, b in pairwise(edges) if b > a]
+
+
+def chosen_cuts(text: str, edges: list[int], unspaced: bool) -> list[int]:
+    """Places of words before which sentences of LONG words and more are cut.
+
+    Of every LONG - 1 consecutive pairs of words in such a sentence the first with the least hash is chosen, so that
+    what stands LONG words away has no influence. Words that repeat at once are not chosen again for LONG - 1 words.
+    """
+    if max(b - a for a, b in pairwise(edges)) < (LONG if unspaced else 2 * LONG - 1):
+        return []
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    inside = code > 32
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    if unspaced:
+        alone = np.zeros(len(code), dtype=bool)
+        alone[[m.start() for m in _UNSPACED.finditer(text)]] = True
+        begins |= alone
+        begins[1:] |= inside[1:] & alone[:-1]
+    starts = np.flatnonzero(begins)
+    if len(starts) < LONG:
+        return []
+    last = inside
+    last[:-1] &= begins[1:] | ~inside[1:]
+    ends = np.flatnonzero(last)
+    # a word's hash is of its first two and its last character and its length; case does not matter
+    word = (code[starts] | 32) * _B1 + (code[np.minimum(starts + 1, ends)] | 32) * _B2
+    word += ((code[ends] | 32) + ((ends - starts) << 21).astype(np.uint64)) * (_B1 ^ _B2)
+    pairs = ((word[:-1] ^ (word[:-1] >> np.uint64(31))) * _B2 + (word[1:] ^ (word[1:] >> np.uint64(29)))) * _B1 >> np.uint64(32)
+    # the least of LONG - 1 = 8 + 7 pairs, the first among equal ones
+    key = pairs << np.uint64(32) | np.arange(len(pairs), dtype=np.uint64)
+    for step in (1, 2, 4, LONG - 9):
+        key = np.minimum(key[:-step], key[step:])
+    sentence = np.searchsorted(edges, starts, side="right")
+    whole = sentence[: len(key)] == sentence[LONG - 1 :]
+    chosen = np.unique(key[whole] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    if (pairs[chosen[1:]] == pairs[chosen[:-1]]).any():
+        kept: list[int] = []
+        for c in chosen.tolist():
+            if not kept or pairs[c] != pairs[kept[-1]] or c - kept[-1] >= LONG - 1:
+                kept.append(c)
+        chosen = np.array(kept)
+    return starts[chosen].tolist()
+
+
+def words_of(piece: str) -> list[str]:
+    """Lower-cased words; in scripts without spaces, characters."""
+    if not piece.isascii() and _UNSPACED.search(piece):
+        return _WORD_UNSPACED.findall(piece.lower())
+    return piece.lower().split()
 
 
 def spans_of(text: str, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -38,7 +103,7 @@ def spans_of(text: str, least_words: int) -> tuple[np.ndarray, np.ndarray, np.nd
     """
     digests, counts, places = [], [], []
     for place, piece in enumerate(sentences(text)):
-        words = piece.lower().split()
+        words = words_of(piece)
         if words:
             digests.append(xxhash.xxh3_128_digest(" ".join(words)))
             counts.append(len(words))
@@ -142,7 +207,8 @@ def repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, count_as: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with the columns it has and ``text`` without removed sentences.
 
-    ``count_as`` names columns for the numbers of all and of removed sentences. No document goes: one whose
+    ``count_as`` names columns for the numbers of all and of removed sentences; columns of these names are replaced.
+    No document goes: one whose
     sentences all go keeps an empty text, null stays null. Equal rows keep the same; rows without an id come
     before all others.
     """
@@ -170,4 +236,5 @@ def remove_repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS, count
 
     found = joined.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), cleaned(docs["text"], gone["pairs"]).alias("clean"))
     counts = [F.col(f"clean.{c}").alias(name) for c, name in zip(("sentences", "removed"), count_as or (), strict=False)]
-    return found.select(*(F.col("clean.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns), *counts)
+    others = [c for c in docs.columns if c not in (count_as or ())]
+    return found.select(*(F.col("clean.text").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in others), *counts)

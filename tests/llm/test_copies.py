@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assayer.llm import jaccard, linedup, spans
@@ -201,6 +202,45 @@ def test_spans_of_odd_texts(spark, odd_docs, no_docs):
     assert spans.remove_repeated_spans(no_docs).count() == 0
 
 
+def test_passages_within_one_long_sentence_go(spark):
+    rng = random.Random(5)
+    shared = [f"{rng.choice('abcdefgh')}{rng.randint(0, 10**6)}" for _ in range(300)]
+    own = lambda n: [f"x{rng.randint(0, 10**9)}" for _ in range(n)]
+    texts = {1: own(90) + shared + own(41), 2: own(17) + shared + own(8), 3: own(200), 4: own(33) + shared[100:160] + own(5)}
+    kept = {r.doc_id: r.text for r in spans.remove_repeated_spans(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id bigint, text string")).collect()}
+    assert kept[1] == " ".join(texts[1]) and kept[3] == " ".join(texts[3])
+    for i, part in ((2, shared), (4, shared[100:160])):
+        left = set(kept[i].split()) & set(part)
+        assert len(left) < 2 * 2 * spans.LONG and set(texts[i]) - set(part) <= set(kept[i].split())
+
+
+def test_sentences_join_to_the_text_and_are_short():
+    rng = random.Random(6)
+    for text in ("", "\n", "tie " * 400, "天地玄黄。宇宙洪荒！\n「日月盈昃」。 a b。c", "字" * 300, "a" * 500, " ".join(f"w{rng.random()}" for _ in range(5000)), "İ. ẞ " * 40, "one. two\x85three\u3000four"):
+        pieces = spans.sentences(text)
+        assert "".join(pieces) == text
+        assert max((len(spans.words_of(p)) for p in pieces), default=0) <= 2 * spans.LONG
+    assert spans.words_of("Ab 天地 c天d") == ["ab", "天", "地", "c", "天", "d"]
+    assert spans.sentences("天地玄黄。宇宙洪荒！\nAb。") == ["天地玄黄。", "宇宙洪荒！\n", "Ab。"]
+
+
+def test_repeated_passages_in_scripts_without_spaces_go(spark):
+    rng = random.Random(7)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n))
+    passage = "。".join(han(14) for _ in range(5)) + "。"
+    docs = spark.createDataFrame([(1, han(9) + "。" + passage + han(8)), (2, han(11) + "！" + passage + han(7)), (3, han(90))], "doc_id bigint, text string")
+    before, kept = ({r.doc_id: r.text for r in d.collect()} for d in (docs, spans.remove_repeated_spans(docs)))
+    assert kept == before | {2: before[2].replace(passage, "")}
+
+
+def test_counts_replace_columns_of_their_names(spark, odd_docs):
+    docs = odd_docs.withColumns({"n_sentences": F.lit("a"), "n_removed": F.lit("b")})
+    found = spans.remove_repeated_spans(docs, count_as=("n_sentences", "n_removed"))
+    assert sorted(found.columns) == sorted(docs.columns) and found.where("doc_id = 11").first()["n_removed"] > 0
+    lines = linedup.dedup_lines(docs, count_as="n_removed")
+    assert sorted(lines.columns) == sorted(docs.columns) and lines.where("doc_id = 11").first()["n_removed"] == 1
+
+
 def test_span_query_matches_brute_force(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert {r.doc_id: r.text for r in QUERIES["op6_substring_dedup"](spark, sf_dir).collect()} == plain_spans(texts, spans.LEAST_WORDS)
