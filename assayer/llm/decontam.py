@@ -83,9 +83,9 @@ RESULT = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<
 
 
 def blocks_of(benchmark: DataFrame, size: int = WINDOW) -> list[list[tuple[str, bytes]]]:
-    """The benchmark in blocks of at most BLOCK_BYTES: a stated query set, read block by block."""
+    """The benchmark in blocks of at most BLOCK_BYTES: a stated query set, read block by block. Rows without an id are one item, named by the empty text."""
     blocks, filled = [[]], 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("item"), raw().alias("text")).where("item is not null").toLocalIterator():
+    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), raw().alias("text")).toLocalIterator():
         text = b" ".join(words_of(bytes(row["text"])))
         if filled and filled + len(text) > BLOCK_BYTES:
             blocks.append([])
@@ -164,8 +164,8 @@ SQL = r"""
 WITH doc_words AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
 ), item_words AS (
-  SELECT CAST(item_id AS VARCHAR) AS item, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
-  FROM benchmark WHERE item_id IS NOT NULL
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark
 ), item_windows AS (
   SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS v
   FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)

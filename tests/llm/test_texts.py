@@ -160,6 +160,14 @@ def test_decontamination_of_odd_texts(spark, odd_docs, no_docs, tables):
     assert decontam.find_contamination(no_docs, tables["benchmark"]).count() == 0
 
 
+def test_benchmark_rows_without_an_id_count_as_one_item(spark):
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five"), ("a", "five six"), ("b", None)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "One two, three four five six!"), (2, "three four"), (3, None)], "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.find_contamination(docs, bench).collect()}
+    assert found == {1: (6, 6, ["", "a"]), 2: (2, 0, []), 3: (0, 0, [])}
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()} == {2, 3}
+
+
 def test_pieces_are_the_tokenisers(spark, sf_dir):
     import public_tokenizers
     from tokenizers import Tokenizer
