@@ -437,8 +437,9 @@ def write_graded(graded: DataFrame, row: Any, source: Mapping[str, Any], run: Ru
             log.warning("older partitions of %s are still there: %s", name, str(failure).split("\n", 1)[0])
 
 
-def with_reports(spark: SparkSession, treated: list[tuple[tuple, Report]], run: Run) -> list[tuple]:
-    """Write the reports of all sources together, each table once; result rows say what could not be written.
+def with_reports(spark: SparkSession, treated: list[tuple[tuple, Report]], run: Run, at_once: int = 1) -> list[tuple]:
+    """Write the reports of all sources together, each table once, and documents of some sources side by side; result
+    rows say what could not be written.
 
     The primary writes have succeeded by then, and that is what a result's status counts.
     """
@@ -456,20 +457,45 @@ def with_reports(spark: SparkSession, treated: list[tuple[tuple, Report]], run:
         except Exception as failure:
             log.warning("the %s of run %s were not written: %s", what, run.run_id, str(failure).split("\n", 1)[0])
             failed.append(f"{what}: {str(failure).split(chr(10), 1)[0]}")
+    lost = write_all_documents(spark, done, run, at_once)
     rows = []
     for result, report in treated:
-        lost = list(failed) if report.graded is not None else []
-        if report.graded is not None and run.documents_path:
-            try:
-                index = document_index(F.col("data_classification"), F.lit(report.name), F.lit(run.run_at.date()))
-                write_documents(document_rows(report.graded, index), run.documents_path, f"{run.run_at:%Y%m%dT%H%M%S}-{run.run_id}")
-            except Exception as failure:
-                log.warning("the documents of %s were not written: %s", report.name, str(failure).split("\n", 1)[0])
-                lost.append(f"documents: {str(failure).split(chr(10), 1)[0]}")
-        rows.append((*result[:-1], "; ".join(lost) or None))
+        said = [*failed, *lost.get(id(report), [])] if report.graded is not None else []
+        rows.append((*result[:-1], "; ".join(said) or None))
     return rows
 
 
+def write_all_documents(spark: SparkSession, reports: list[Report], run: Run, at_once: int = 1) -> dict[int, list[str]]:
+    """Write the documents of all sources, some side by side, and say by report what could not be written.
+
+    Sources of one index, as names differ in case only, are written one after the other, in their order.
+    """
+    if not run.documents_path:
+        return {}
+    by_index: dict[str, list[Report]] = {}
+    for report in reports:
+        by_index.setdefault(report.name.lower(), []).append(report)
+    lost: dict[int, list[str]] = {}
+
+    def write(number: int, same: list[Report]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"documents-{number}")
+        try:
+            for report in same:
+                try:
+                    index = document_index(F.col("data_classification"), F.lit(report.name), F.lit(run.run_at.date()))
+                    write_documents(document_rows(report.graded, index), run.documents_path, f"{run.run_at:%Y%m%dT%H%M%S}-{run.run_id}")
+                except Exception as failure:
+                    reason = str(failure).split("\n", 1)[0]
+                    log.warning("the documents of %s were not written: %s", report.name, reason)
+                    lost[id(report)] = [f"documents: {reason}"]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        list(pool.map(lambda item: write(*item), enumerate(by_index.values())))
+    return lost
+
+
 def write_issues(spark: SparkSession, reports: list[Report], run: Run) -> None:
     issues = [(run.run_id, report.name, *issue) for report in reports for issue in report.row["issues"]]
     if run.monitor_path and issues:
@@ -518,13 +544,13 @@ def process_all(spark: SparkSession, config: Mapping[str, Any], run: Run, at_onc
 
     Some sources run side by side, so that small ones do not leave a cluster idle; each has a scheduler pool of its own, so that
     with ``spark.scheduler.mode`` FAIR a large source does not hold up the jobs of small ones for longer than its running tasks take. A source with
-    ``time_limit_seconds`` is cancelled at its limit and fails alone. The reports are written together afterwards. With a
-    monitoring folder the results, the run's totals and its log lines are appended to its tables.
+    ``time_limit_seconds`` is cancelled at its limit and fails alone. The reports are written together afterwards, documents
+    of as many sources side by side. With a monitoring folder the results, the run's totals and its log lines are appended to its tables.
     """
     started = time.time()
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         treated = list(pool.map(lambda item: treat_side_by_side(spark, item[1][0], item[1][1], run, item[0]), enumerate(all_sources(config))))
-    results = spark.createDataFrame(with_reports(spark, treated, run), RESULT_SCHEMA)
+    results = spark.createDataFrame(with_reports(spark, treated, run, at_once), RESULT_SCHEMA)
     if run.monitor_path:
         results.write.mode("append").parquet(f"{run.monitor_path}/source_runs")
         record = run_record(results, run, "batch", started)
